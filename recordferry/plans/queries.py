@@ -74,13 +74,12 @@ def candidates(b: Bindings, mode: str = "intended") -> DataFrame:
     return match.stage_candidates(full_source(b), b.export_log, b.county_xwalk, target_slice(b), mode)
 
 
-def staged_parties(b: Bindings, tag: str = RUN.tag) -> DataFrame:
-    run = Run(RUN.at, tag, RUN.user)
-    return people.parties(b.src_lease, b.grantor, b.grantee, b.tgt_record, b.export_log, b.state_lookup, run)
+def staged_parties(b: Bindings) -> DataFrame:
+    return people.parties(b.src_lease, b.grantor, b.grantee, b.tgt_record, b.export_log, b.state_lookup, RUN)
 
 
-def staged_prior_refs(b: Bindings, tag: str = RUN.tag) -> DataFrame:
-    return prior.prior_refs(b.src_lease, b.tgt_record, b.export_log, PRIOR_RUN, tag)
+def staged_prior_refs(b: Bindings) -> DataFrame:
+    return prior.prior_refs(b.lease_deed, b.tgt_record, b.export_log, PRIOR_RUN, RUN.tag)
 
 
 def resolved_images(b: Bindings) -> DataFrame:
@@ -330,7 +329,9 @@ def parties(b):
 
 @query
 def parties_load(b):
-    return plain(people.append_parties(staged_parties(b, "keyed"), staged_parties(b)))
+    staged = staged_parties(b)
+    present = staged.where("recordType = 'grantee'").withColumn("note", F.lit("keyed by hand"))
+    return plain(people.append_parties(present, staged))
 
 
 @query
@@ -340,7 +341,8 @@ def prior_refs(b):
 
 @query
 def prior_refs_load(b):
-    return plain(prior.append_prior_refs(staged_prior_refs(b, "keyed"), staged_prior_refs(b)))
+    staged = staged_prior_refs(b)
+    return plain(prior.append_prior_refs(staged.where("drVolume is null"), staged))
 
 
 # ---- images -------------------------------------------------------------------------------
@@ -391,7 +393,7 @@ def image_requeue(b):
 
 @query
 def image_register(b):
-    return plain(images.register(resolved_images(b), b.export_log, RUN.tag, RUN))
+    return plain(images.register(resolved_images(b), b.export_log, "LEGACY", RUN))
 
 
 @query
@@ -497,7 +499,7 @@ def county_reconcile_global(b):
 @query
 def funnel(b):
     logged = b.tgt_record.select("record_id").join(b.export_log, "record_id")
-    leased = logged.join(b.src_lease, "lease_id")
+    leased = logged.join(b.lease_deed, "lease_id")
     filled = leased.where((F.rtrim("deed_vol") != "") & (F.rtrim("deed_pg") != ""))
     return quality.funnel({"batch records": batch(b), "with log row": logged, "with lease": leased,
                            "with deed reference": filled})

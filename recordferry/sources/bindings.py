@@ -108,6 +108,12 @@ select l.*, created as effective_date, created as instrument_date,
   acres / 3 as extension_bonus, lease_id % 2 = 0 as is_blm, lease_id % 3 = 0 as is_state,
   acres / 7 as delay_rental, acres / 9 as delay_rental_value
 from src_lease l""",
+    # Leases whose deed columns take every shape for logged leases too.
+    "lease_deed": """
+select o_orderkey as lease_id,
+  case when o_orderkey % 16 < 4 then 'null' when o_orderkey % 16 < 8 then '  ' when o_orderkey % 16 < 13 then ' ' || cast(o_orderkey % 300 as {S}) || ' ' else null end as deed_vol,
+  case when o_orderkey % 5 = 0 then '' when o_orderkey % 13 = 0 then 'NULL' else cast(o_orderkey % 50 as {S}) end as deed_pg
+from orders""",
     # One document per lease, its legal texts, and the abstracts they cite.
     "document_mapping": """
 select lease_id, md5(cast(lease_id as {S})) as mapping_id from src_lease""",
@@ -123,10 +129,10 @@ select r.*, x.state_id from tgt_record r join county_xwalk x on x.src_county_id
 select record_id, lease_id, batch_tag as zip_name,
   case when batch_tag = 'RETRY' and lease_id is null then 'importer' else null end as created_by,
   cast(null as {S}) as modified_by from export_log""",
-    # Records whose images are registered already.
+    # Records whose images were put in the registry, with or without success.
     "image_registry": """
-select record_id, case when lease_id is null then 'error' else 'copied' end as status
-from export_log where batch_tag = 'LEGACY'""",
+select record_id, case when outsource_id < 5 then 'error' else 'copied' end as status
+from tgt_record where remarks = 'BATCH(2)' and outsource_id < 15""",
     # Outcome of each delete call.
     "delete_outcome": """
 select record_id, case when package_id is null then 500 else 204 end as http_status
