@@ -29,20 +29,14 @@ def update_from(base: DataFrame, updates: DataFrame, key: str, assignments: dict
     return joined.withColumns(changed).select(*base.columns)
 
 
-def update_conflicts(updates: DataFrame, key: str, value: str) -> DataFrame:
-    """Keys for which the updates disagree."""
-    spread = updates.groupBy(key).agg(F.count_distinct(value).alias("candidates"))
-    return spread.where("candidates > 1")
-
-
-def fill_log_leases(log: DataFrame, candidates: DataFrame, tag: str, run_at: str) -> DataFrame:
+def fill_log_leases(log: DataFrame, choices: DataFrame, tag: str, run_at: str) -> DataFrame:
     """Write the matched lease into log rows that nobody has touched.
 
-    Touched means: has a lease, or carries an author stamp.  The least lease of
-    a record is used; `update_conflicts` lists records with several.
+    Touched means: has a lease, or carries an author stamp.  `choices` has one
+    `source_lease_id` per `target_record_id` (`match.log_fill_choices`).
     """
-    picked = (candidates.groupBy(F.col("target_record_id").alias("record_id"))
-              .agg(F.min("source_lease_id").alias("new_lease")))
+    picked = choices.select(F.col("target_record_id").alias("record_id"),
+                            F.col("source_lease_id").alias("new_lease"))
     joined = log.join(picked, "record_id", "left")
     fill = (F.col("new_lease").isNotNull() & F.col("lease_id").isNull()
             & F.col("created_by").isNull() & F.col("modified_by").isNull())

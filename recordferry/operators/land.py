@@ -95,14 +95,15 @@ def land_base(texts: DataFrame, log: DataFrame, records: DataFrame, states: Data
               .join(records.select("record_id", "county_id", "state_id"), "record_id")
               .join(named_states.select("state_id", "state_name"), "state_id")
               .join(counties.select("county_id", "county_name"), "county_id"))
-    block = range_or_block(F.col("range_no"), F.col("range_dir"), F.col("survey_block"), mode)
-    shaped = joined.withColumns({
-        "record_id": F.lower("record_id"),
-        "range_or_block": block,
-        "land_description_id": stable_id(F.lit("land"), F.lower("record_id"), F.col("abstract_id"),
+    rows = joined.select(F.lower("record_id").alias("record_id"), "county_id", "county_name", "state_name",
+                         "abstract_id", "abstract_no", "descriptions", "range_no", "range_dir", "survey_block")
+    if mode != "reference":
+        rows = rows.distinct()
+    shaped = rows.withColumns({
+        "range_or_block": range_or_block(F.col("range_no"), F.col("range_dir"), F.col("survey_block"), mode),
+        "land_description_id": stable_id(F.lit("land"), F.col("record_id"), F.col("abstract_id"),
                                          F.col("descriptions"))})
-    base = shaped.select(*[rule(run).cast(kind).alias(name) for name, kind, rule in LAND_RULES])
-    return base if mode == "reference" else base.dropDuplicates(["landDescriptionID"])
+    return shaped.select(*[rule(run).cast(kind).alias(name) for name, kind, rule in LAND_RULES])
 
 
 def apply_parsed(base: DataFrame, parsed: DataFrame, key: str = "landDescriptionID",

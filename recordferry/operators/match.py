@@ -266,6 +266,14 @@ def missing_in_target(leases: DataFrame, records: DataFrame, log: DataFrame, upd
     return missing.orderBy(updated, "lease_id") if ordered else missing
 
 
+def _same_number(left: str, right: str) -> Column:
+    return _equal(left, right, ["number_key", "day", "county_key"])
+
+
+def _number_keys(side: DataFrame, key: str) -> DataFrame:
+    return side.withColumnRenamed(key, "number_key")
+
+
 def log_fill_candidates(log: DataFrame, target: DataFrame, source: DataFrame) -> DataFrame:
     """Records whose log row lacks a lease and whose number now matches one."""
     open_rows = log.where("lease_id is null").select(F.col("record_id").alias("target_record_id"))
@@ -273,6 +281,22 @@ def log_fill_candidates(log: DataFrame, target: DataFrame, source: DataFrame) ->
             .withColumn("category", F.lit("Category 1: in the target, log row without lease")))
 
 
+def log_fill_choices(log: DataFrame, target: DataFrame, source: DataFrame) -> DataFrame:
+    """For each record of `log_fill_candidates`, the least lease and how many compete.
+
+    Leases are reduced per number, date and county before the join, so a number
+    that many leases share costs one row and not one row per pair.
+    """
+    open_rows = log.where("lease_id is null").select(F.col("record_id").alias("target_record_id"))
+    per_key = (_number_keys(_source_side(source), "source_key")
+               .groupBy("number_key", "day", "county_key")
+               .agg(F.min("source_lease_id").alias("least"), F.count_distinct("source_lease_id").alias("leases")))
+    records = _number_keys(_target_side(target), "target_key").join(open_rows, "target_record_id", "left_semi")
+    return (records.join(per_key, ["number_key", "day", "county_key"])
+            .groupBy("target_record_id")
+            .agg(F.min("least").alias("source_lease_id"), F.sum("leases").alias("candidates")))
+
+
 def stage_candidates(source: DataFrame, log: DataFrame, crosswalk: DataFrame, target: DataFrame | None = None,
                      mode: str = "intended") -> DataFrame:
     """Source leases to stage: not logged, and in a county the target knows.
@@ -285,5 +309,8 @@ def stage_candidates(source: DataFrame, log: DataFrame, crosswalk: DataFrame, ta
     fresh = not_logged(source, log, "lease_id").join(counties, "county_id")
     if mode == "reference" or target is None:
         return fresh
-    present = match_exact(target, source).select(F.col("source_lease_id").alias("lease_id"))
-    return fresh.join(present, "lease_id", "left_anti")
+    present = _number_keys(_target_side(target), "target_key").select("number_key", "day", "county_key")
+    keyed = with_match_keys(fresh).withColumns({
+        "day": F.col("record_date"), "county_key": fold(F.col("county_name"))})
+    return (keyed.alias("s").join(present.alias("t"), _same_number("s", "t"), "left_anti")
+            .drop("number_key", "day", "county_key"))

@@ -20,26 +20,18 @@ def batch_records(records: DataFrame, log: DataFrame, tag: str) -> DataFrame:
                        "record_id")
 
 
-def _chain(kind: str, people: DataFrame, key: str, lease_records: DataFrame, states: DataFrame,
-           run: Run) -> DataFrame:
+def _chain(kind: str, people: DataFrame, key: str, lease_records: DataFrame, states: DataFrame) -> DataFrame:
     named = people.where(is_filled(F.col("name"))).withColumn("state_key", fold(F.col("state_abbr")))
     codes = states.select(fold(F.col("state_abbr")).alias("state_key"), "state_id")
-    return (lease_records.select("record_id", key).join(named, key)
-            .join(codes, "state_key", "left")
-            .select(
-                F.col("record_id").alias("recordID"),
-                F.lit(kind).alias("recordType"),
-                blank_to_null(F.col("name")).alias("gName"),
-                blank_to_null(F.col("address")).alias("gAddress"),
-                blank_to_null(F.col("zip")).alias("gZip"),
-                blank_to_null(F.col("city")).alias("gCity"),
-                F.col("state_id").cast("int").alias("StateID"),
-                run.time.alias("_CreatedDateTime"),
-                F.lit(run.user).alias("_CreatedBy"),
-                run.time.alias("_ModifiedDateTime"),
-                F.lit(run.user).alias("_ModifiedBy"),
-                F.lit(None).cast("string").alias("interestAssigned"),
-                F.lit(0).alias("IsDeleted")))
+    coded = named.join(codes, "state_key", "left")
+    return lease_records.select("record_id", key).join(coded, key).select(
+        F.col("record_id").alias("recordID"),
+        F.lit(kind).alias("recordType"),
+        blank_to_null(F.col("name")).alias("gName"),
+        blank_to_null(F.col("address")).alias("gAddress"),
+        blank_to_null(F.col("zip")).alias("gZip"),
+        blank_to_null(F.col("city")).alias("gCity"),
+        F.col("state_id").cast("int").alias("StateID"))
 
 
 def parties(leases: DataFrame, grantors: DataFrame, grantees: DataFrame, records: DataFrame, log: DataFrame,
@@ -48,14 +40,19 @@ def parties(leases: DataFrame, grantors: DataFrame, grantees: DataFrame, records
 
     Leases meet the batch by their own id first; the join to the people, whose
     keys may be very uneven, comes last and directly before a new shuffle, where
-    adaptive execution may split it.
+    adaptive execution may split it.  Constant columns are added after the
+    deduplication, so they are not shuffled.
     """
     lease_records = batch_records(records, log, run.tag).join(
         leases.select("lease_id", "grantor_id", "grantee_id"), "lease_id")
-    return union_distinct(
-        _chain("grantor", grantors, "grantor_id", lease_records, states, run),
-        _chain("grantee", grantees, "grantee_id", lease_records, states, run),
+    rows = union_distinct(
+        _chain("grantor", grantors, "grantor_id", lease_records, states),
+        _chain("grantee", grantees, "grantee_id", lease_records, states),
         text_columns=TEXT_COLUMNS)
+    return rows.withColumns({
+        "_CreatedDateTime": run.time, "_CreatedBy": F.lit(run.user),
+        "_ModifiedDateTime": run.time, "_ModifiedBy": F.lit(run.user),
+        "interestAssigned": F.lit(None).cast("string"), "IsDeleted": F.lit(0)})
 
 
 def append_parties(table: DataFrame, staged: DataFrame) -> DataFrame:

@@ -137,12 +137,18 @@ def county_reconcile_global(leases: DataFrame, records: DataFrame, log: DataFram
         "county_name", "state_id", "source_leases", "target_leases", "difference")
 
 
-def funnel(steps: dict[str, DataFrame], key: str = "record_id") -> DataFrame:
-    """Distinct keys after each step, in step order."""
-    counts = [df.agg(F.count_distinct(key).alias("distinct_keys")).select(
-        F.lit(i).alias("step"), F.lit(name).alias("step_name"), "distinct_keys")
-        for i, (name, df) in enumerate(steps.items(), 1)]
-    return reduce(DataFrame.unionByName, counts)
+def funnel(df: DataFrame, steps: dict[str, Column], key: str = "record_id") -> DataFrame:
+    """Distinct keys that reach each step, in step order.
+
+    `df` has the outer-joined inputs and `steps` the test of each step.  Rows
+    are reduced to one per key first, so all steps cost one pass.
+    """
+    reached = df.where(F.col(key).isNotNull()).groupBy(key).agg(*[
+        F.bool_or(F.coalesce(test, F.lit(False))).alias(f"_{i}") for i, test in enumerate(steps.values())])
+    counts = reached.agg(*[F.count_if(F.col(f"_{i}")).alias(f"_{i}") for i in range(len(steps))])
+    rows = F.array(*[F.struct(F.lit(i + 1).alias("step"), F.lit(name).alias("step_name"),
+                              F.col(f"_{i}").alias("distinct_keys")) for i, name in enumerate(steps)])
+    return counts.select(F.inline(rows))
 
 
 def name_coverage(staged: DataFrame, *sources: DataFrame, name: str = "gName") -> DataFrame:

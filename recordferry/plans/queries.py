@@ -205,8 +205,8 @@ def log_fill_candidates(b):
 
 @query
 def log_fill_apply(b):
-    found = match.log_fill_candidates(b.export_log, target_slice(b), source_slice(b))
-    return plain(changes.fill_log_leases(b.stamped_log, found, "BATCH(1)", RUN.at))
+    choices = match.log_fill_choices(b.export_log, target_slice(b), source_slice(b))
+    return plain(changes.fill_log_leases(b.stamped_log, choices, "BATCH(1)", RUN.at))
 
 
 @query
@@ -498,11 +498,14 @@ def county_reconcile_global(b):
 
 @query
 def funnel(b):
-    logged = b.tgt_record.select("record_id").join(b.export_log, "record_id")
-    leased = logged.join(b.lease_deed, "lease_id")
-    filled = leased.where((F.rtrim("deed_vol") != "") & (F.rtrim("deed_pg") != ""))
-    return quality.funnel({"batch records": batch(b), "with log row": logged, "with lease": leased,
-                           "with deed reference": filled})
+    log = b.export_log.withColumn("logged", F.lit(True))
+    deeds = b.lease_deed.withColumn("leased", F.lit(True))
+    joined = b.tgt_record.join(log, "record_id", "left").join(deeds, "lease_id", "left")
+    return quality.funnel(joined, {
+        "batch records": F.col("remarks") == "BATCH(2)",
+        "with log row": F.col("logged"),
+        "with lease": F.col("leased"),
+        "with deed reference": (F.rtrim("deed_vol") != "") & (F.rtrim("deed_pg") != "")})
 
 
 @query
@@ -641,8 +644,8 @@ def dup_keys(b):
 
 @query
 def log_fill_conflicts(b):
-    found = match.log_fill_candidates(b.export_log, target_slice(b), source_slice(b))
-    return changes.update_conflicts(found, "target_record_id", "source_lease_id")
+    choices = match.log_fill_choices(b.export_log, target_slice(b), source_slice(b))
+    return choices.where("candidates > 1").select("target_record_id", "candidates")
 
 
 @query
