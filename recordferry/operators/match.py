@@ -99,30 +99,40 @@ def index_key(text: Column) -> Column:
     return text.substr(1, INDEX_WIDTH)
 
 
-def explode_contained(df: DataFrame, text: str, key: str = "contained_key") -> DataFrame:
+def explode_contained(df: DataFrame, text: str, widths: Column | None = None, key: str = "contained_key",
+                      ) -> DataFrame:
     """One row per distinct piece of `text` that a shorter number could equal.
 
     Pieces are the windows of 5 to `INDEX_WIDTH` characters, shorter than the
     text.  A contained number of up to `INDEX_WIDTH` characters equals one of
     them; a longer one starts with one of them, and the join tests the rest.
-    A repeated piece counts once, at its first position.
+    A repeated piece counts once, at its first position.  `widths`, an array,
+    leaves out windows as wide as no number on the other side (`key_widths`).
     """
     size = F.length(text)
+    wide = df.where(size > SHORTEST_CONTAINED).withColumn(
+        "_width", F.explode(F.sequence(F.lit(SHORTEST_CONTAINED), F.least(size - 1, F.lit(INDEX_WIDTH)))))
+    if widths is not None:
+        wide = wide.where(F.array_contains(widths, F.col("_width")))
     return (
-        df.where(size > SHORTEST_CONTAINED)
-        .withColumn("_width", F.explode(F.sequence(F.lit(SHORTEST_CONTAINED),
-                                                   F.least(size - 1, F.lit(INDEX_WIDTH)))))
-        .withColumn("_start", F.explode(F.sequence(F.lit(1), size - F.col("_width") + 1)))
+        wide.withColumn("_start", F.explode(F.sequence(F.lit(1), size - F.col("_width") + 1)))
         .withColumn(key, F.col(text).substr(F.col("_start"), F.col("_width")))
         .where(F.instr(F.col(text), F.col(key)) == F.col("_start"))
         .drop("_width", "_start")
     )
 
 
+def key_widths(numbers: DataFrame, text: str) -> Column:
+    """Lengths of the index keys of `numbers`: a scalar subquery of at most
+    `INDEX_WIDTH` values, whatever the size of the input."""
+    lengths = F.collect_set(F.length(index_key(F.col(text))))
+    return numbers.agg(lengths.alias("widths")).scalar()
+
+
 def _contained_pairs(long_side: DataFrame, long_text: str, short_side: DataFrame, short_text: str,
-                     on: list[str]) -> DataFrame:
+                     on: list[str], widths: Column) -> DataFrame:
     """Pairs in which `short_text` lies inside the longer `long_text`."""
-    indexed = explode_contained(long_side, long_text)
+    indexed = explode_contained(long_side, long_text, widths)
     needles = short_side.where(F.length(short_text) >= SHORTEST_CONTAINED).withColumn(
         "contained_key", index_key(F.col(short_text)))
     return (indexed.join(needles, [*on, "contained_key"])
@@ -146,8 +156,9 @@ def match_contained(target: DataFrame, source: DataFrame) -> DataFrame:
     date and county agree, and the source triple occurs once."""
     t, s = _target_side(target), unique_sources(source)
     on = ["day", "county_key"]
-    return (_contained_pairs(s, "source_key", t, "target_key", on).select(*PAIR_COLUMNS)
-            .unionByName(_contained_pairs(t, "target_key", s, "source_key", on).select(*PAIR_COLUMNS)))
+    forward = _contained_pairs(s, "source_key", t, "target_key", on, key_widths(t, "target_key"))
+    backward = _contained_pairs(t, "target_key", s, "source_key", on, key_widths(_source_side(source), "source_key"))
+    return forward.select(*PAIR_COLUMNS).unionByName(backward.select(*PAIR_COLUMNS))
 
 
 def leases_with_match(target: DataFrame, source: DataFrame) -> DataFrame:
@@ -160,7 +171,7 @@ def leases_with_match(target: DataFrame, source: DataFrame) -> DataFrame:
     on = ["day", "county_key", "contained_key"]
 
     # a target number equal to, or inside, the source number
-    pieces = explode_contained(s, "source_key").unionByName(
+    pieces = explode_contained(s, "source_key", key_widths(t, "target_key")).unionByName(
         s.where("source_key is not null").withColumn("contained_key", index_key(F.col("source_key"))))
     numbers = t.where("target_key is not null").withColumn(
         "contained_key", index_key(F.col("target_key"))).distinct()
@@ -172,7 +183,7 @@ def leases_with_match(target: DataFrame, source: DataFrame) -> DataFrame:
     needles = s.where(F.length("source_key") >= SHORTEST_CONTAINED).withColumn(
         "contained_key", index_key(F.col("source_key")))
     around = F.col("t.target_key").contains(F.col("s.source_key"))
-    indexed = explode_contained(t, "target_key")
+    indexed = explode_contained(t, "target_key", key_widths(s, "source_key"))
     backward = needles.alias("s").join(indexed.alias("t"), _equal("s", "t", on) & around, "left_semi")
 
     return forward.select("source_lease_id").unionByName(backward.select("source_lease_id"))
@@ -245,12 +256,12 @@ def match_any_legacy(target: DataFrame, source: DataFrame, log: DataFrame, mode:
     by_volume = s.join(t.withColumn("source_number", F.col("target_volume").cast("bigint")),
                        ["day", "source_number"]).where(~F.coalesce(equal_number, F.lit(False)))
     long_enough = (size("target_number") >= SHORTEST_CONTAINED) & (size("source_number") >= SHORTEST_CONTAINED)
-    by_text = (_contained_pairs(s.where("source_number is not null"), "source_text",
-                                t.where("target_number is not null"), "target_text", ["day"])
-               .select(*columns)
-               .unionByName(_contained_pairs(t.where("target_number is not null"), "target_text",
-                                             s.where("source_number is not null"), "source_text", ["day"])
-                            .select(*columns))
+    numbered_t, numbered_s = t.where("target_number is not null"), s.where("source_number is not null")
+    forward = _contained_pairs(numbered_s, "source_text", numbered_t, "target_text", ["day"],
+                               key_widths(numbered_t, "target_text"))
+    backward = _contained_pairs(numbered_t, "target_text", numbered_s, "source_text", ["day"],
+                                key_widths(numbered_s, "source_text"))
+    by_text = (forward.select(*columns).unionByName(backward.select(*columns))
                .where(long_enough & (size("target_number") != size("source_number"))
                       & ~F.coalesce(equal_volume, F.lit(False))))
     pairs = by_number.select(*columns).unionByName(by_volume.select(*columns)).unionByName(by_text)

@@ -14,15 +14,6 @@ from recordferry.operators.relational import all_blank, any_filled, labelled_cou
 
 # ---- profiles ----------------------------------------------------------------------
 
-def _missing(column: str, kind: T.DataType, zero_is_missing: bool) -> Column:
-    c = F.col(column)
-    if isinstance(kind, T.StringType):
-        return F.coalesce(F.rtrim(c) == "", F.lit(True))
-    if zero_is_missing:
-        return F.coalesce(c == 0, F.lit(True))
-    return c.isNull()
-
-
 def null_profile(df: DataFrame, zero_is_missing: tuple[str, ...] = (), blank_tested: tuple[str, ...] | None = None,
                  ) -> DataFrame:
     """One row, two measures per column: values that are there, values that are missing.
@@ -30,16 +21,26 @@ def null_profile(df: DataFrame, zero_is_missing: tuple[str, ...] = (), blank_tes
     Blank text counts as missing, and so does zero in the `zero_is_missing`
     columns; both also count as "there", so the measures may overlap.  One
     aggregate over one scan.  `blank_tested` limits the blank test to some
-    text columns.
+    text columns.  NULLs are not counted but derived from the row count, which
+    keeps the aggregate half as wide.
     """
-    measures = []
+    fillers = {}
     for field in df.schema.fields:
-        tested = not isinstance(field.dataType, T.StringType) or blank_tested is None or field.name in blank_tested
-        gone = _missing(field.name, field.dataType, field.name in zero_is_missing) if tested \
-            else F.col(field.name).isNull()
-        measures += [F.count(field.name).alias(f"{field.name}_count"),
-                     F.count_if(gone).alias(f"{field.name}_null_count")]
-    return df.agg(*measures)
+        if isinstance(field.dataType, T.StringType):
+            if blank_tested is None or field.name in blank_tested:
+                fillers[field.name] = f"rtrim(`{field.name}`) = ''"
+        elif field.name in zero_is_missing:
+            fillers[field.name] = f"`{field.name}` = 0"
+    names = df.columns
+    counted = df.selectExpr(
+        "count(*) as _rows",
+        *[f"count(`{n}`) as _n{i}" for i, n in enumerate(names)],
+        *[f"count_if({fillers[n]}) as _f{i}" for i, n in enumerate(names) if n in fillers])
+    measures = []
+    for i, n in enumerate(names):
+        fill = f" + _f{i}" if n in fillers else ""
+        measures += [f"_n{i} as `{n}_count`", f"_rows - _n{i}{fill} as `{n}_null_count`"]
+    return counted.selectExpr(*measures)
 
 
 def profile_rows(profile: DataFrame) -> DataFrame:

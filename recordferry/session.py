@@ -10,9 +10,11 @@ SETTINGS = {
     # Split hot join keys even where a later step then needs a shuffle of its own.
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
-    # A profile of 94 columns has 188 measures; keep it inside generated code.
+    # A profile of 94 columns has more than 100 measures; keep it inside generated code.
     "spark.sql.codegen.maxFields": "400",
     "spark.sql.session.timeZone": "UTC",
+    # Jobs are built from many column expressions; do not record a call site for each.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 
