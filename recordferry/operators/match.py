@@ -2,7 +2,7 @@
 
 Each tier is an equi-join, so a tier never compares all pairs of a county-day:
 the contained-number tier joins on the contained text itself (see
-`explode_contained`).  Hot keys are left to adaptive skew-join splitting, and
+`index_numbers`).  Hot keys are left to adaptive skew-join splitting, and
 uniqueness is tested by an aggregate, which combines before the shuffle, rather
 than by a window, which would gather a hot group in one task.
 """
@@ -94,50 +94,76 @@ def match_volume_page(target: DataFrame, source: DataFrame) -> DataFrame:
     return s.join(t, reduce(Column.__and__, same) & differ).select(*PAIR_COLUMNS)
 
 
+# A row of the contained-number index is a piece of a number, or the number as a
+# whole.  A piece on one side meets a whole number on the other; the role keeps
+# the two directions (and, where wanted, equality) apart in one join.
+SOURCE_AROUND, TARGET_AROUND, EQUAL = 0, 1, 2
+
+
 def index_key(text: Column) -> Column:
     """The key under which a number is found inside a longer one."""
     return text.substr(1, INDEX_WIDTH)
 
 
-def explode_contained(df: DataFrame, text: str, widths: Column | None = None, key: str = "contained_key",
-                      ) -> DataFrame:
-    """One row per distinct piece of `text` that a shorter number could equal.
+def key_widths(numbers: DataFrame, text: str) -> Column:
+    """Lengths of the index keys of `numbers`: a scalar subquery of at most
+    `INDEX_WIDTH` values, whatever the size of the input."""
+    lengths = F.collect_set(F.length(index_key(F.col(text))))
+    return numbers.agg(lengths.alias("widths")).scalar()
+
+
+def index_numbers(df: DataFrame, text: str, widths: Column, piece_role: int, whole_role: int,
+                  equal: bool = False) -> DataFrame:
+    """Add `contained_key` and `role`: each number's pieces and the number itself.
 
-    Pieces are the windows of 5 to `INDEX_WIDTH` characters, shorter than the
-    text.  A contained number of up to `INDEX_WIDTH` characters equals one of
-    them; a longer one starts with one of them, and the join tests the rest.
-    A repeated piece counts once, at its first position.  `widths`, an array,
-    leaves out windows as wide as no number on the other side (`key_widths`).
+    Pieces are the distinct windows of 5 to `INDEX_WIDTH` characters, shorter
+    than the text, of a width that `widths` (`key_widths` of the other side)
+    allows.  A contained number of up to `INDEX_WIDTH` characters equals a
+    piece; a longer one starts with a piece, and the join tests the rest.
+    `equal` adds a row for plain equality, for numbers of any length.
     """
     size = F.length(text)
-    wide = df.where(size > SHORTEST_CONTAINED).withColumn(
-        "_width", F.explode(F.sequence(F.lit(SHORTEST_CONTAINED), F.least(size - 1, F.lit(INDEX_WIDTH)))))
-    if widths is not None:
-        wide = wide.where(F.array_contains(widths, F.col("_width")))
+    whole, same = 0, -1  # stand in for the width
+    pieces = F.when(size > SHORTEST_CONTAINED,
+                    F.sequence(F.lit(SHORTEST_CONTAINED), F.least(size - 1, F.lit(INDEX_WIDTH))))
+    specials = F.array(F.lit(whole), F.lit(same)) if equal else F.array(F.lit(whole))
+    width, start = F.col("_width"), F.col("_start")
+    wanted = ((width == same) | ((width == whole) & (size >= SHORTEST_CONTAINED))
+              | F.array_contains(widths, width))
+    key = F.when(width > 0, F.col(text).substr(start, width)).otherwise(index_key(F.col(text)))
     return (
-        wide.withColumn("_start", F.explode(F.sequence(F.lit(1), size - F.col("_width") + 1)))
-        .withColumn(key, F.col(text).substr(F.col("_start"), F.col("_width")))
-        .where(F.instr(F.col(text), F.col(key)) == F.col("_start"))
+        df.where(size.isNotNull())
+        .withColumn("_width", F.explode(F.concat(F.coalesce(pieces, F.array().cast("array<int>")), specials)))
+        .where(wanted)
+        .withColumn("_start", F.explode(F.sequence(F.lit(1), F.when(width > 0, size - width + 1).otherwise(1))))
+        .withColumn("contained_key", key)
+        # a repeated piece counts once, at its first position
+        .where((width <= 0) | (F.instr(F.col(text), F.col("contained_key")) == start))
+        .withColumn("role", F.when(width == whole, whole_role).when(width == same, EQUAL).otherwise(piece_role))
         .drop("_width", "_start")
     )
 
 
-def key_widths(numbers: DataFrame, text: str) -> Column:
-    """Lengths of the index keys of `numbers`: a scalar subquery of at most
-    `INDEX_WIDTH` values, whatever the size of the input."""
-    lengths = F.collect_set(F.length(index_key(F.col(text))))
-    return numbers.agg(lengths.alias("widths")).scalar()
+def _index_sides(source: DataFrame, source_text: str, target: DataFrame, target_text: str,
+                 source_widths: Column, target_widths: Column, equal: bool = False) -> tuple[DataFrame, DataFrame]:
+    return (index_numbers(source, source_text, target_widths, SOURCE_AROUND, TARGET_AROUND, equal),
+            index_numbers(target, target_text, source_widths, TARGET_AROUND, SOURCE_AROUND, equal))
+
 
+def _holds(source_text: Column, target_text: Column, role: Column) -> Column:
+    """What the index key leaves to be tested."""
+    longer = F.length(source_text) - F.length(target_text)
+    return (F.when(role == SOURCE_AROUND, (longer > 0) & source_text.contains(target_text))
+            .when(role == TARGET_AROUND, (longer < 0) & target_text.contains(source_text))
+            .otherwise(source_text == target_text))
 
-def _contained_pairs(long_side: DataFrame, long_text: str, short_side: DataFrame, short_text: str,
-                     on: list[str], widths: Column) -> DataFrame:
-    """Pairs in which `short_text` lies inside the longer `long_text`."""
-    indexed = explode_contained(long_side, long_text, widths)
-    needles = short_side.where(F.length(short_text) >= SHORTEST_CONTAINED).withColumn(
-        "contained_key", index_key(F.col(short_text)))
-    return (indexed.join(needles, [*on, "contained_key"])
-            .where((F.length(short_text) < F.length(long_text))
-                   & F.col(long_text).contains(F.col(short_text))))
+
+def _contained_pairs(source: DataFrame, source_text: str, target: DataFrame, target_text: str, on: list[str],
+                     source_widths: Column, target_widths: Column) -> DataFrame:
+    """Pairs in which one number lies inside the other, longer one."""
+    s, t = _index_sides(source, source_text, target, target_text, source_widths, target_widths)
+    return s.join(t, ["contained_key", *on, "role"]).where(
+        _holds(F.col(source_text), F.col(target_text), F.col("role")))
 
 
 def unique_sources(source: DataFrame) -> DataFrame:
@@ -155,38 +181,24 @@ def match_contained(target: DataFrame, source: DataFrame) -> DataFrame:
     """Tier 3: one number contains the other, both have five characters or more,
     date and county agree, and the source triple occurs once."""
     t, s = _target_side(target), unique_sources(source)
-    on = ["day", "county_key"]
-    forward = _contained_pairs(s, "source_key", t, "target_key", on, key_widths(t, "target_key"))
-    backward = _contained_pairs(t, "target_key", s, "source_key", on, key_widths(_source_side(source), "source_key"))
-    return forward.select(*PAIR_COLUMNS).unionByName(backward.select(*PAIR_COLUMNS))
+    widths = key_widths(_source_side(source), "source_key"), key_widths(t, "target_key")
+    return _contained_pairs(s, "source_key", t, "target_key", ["day", "county_key"], *widths).select(*PAIR_COLUMNS)
 
 
 def leases_with_match(target: DataFrame, source: DataFrame) -> DataFrame:
     """Ids of leases that tier 1 or an unguarded tier 3 would match.
 
-    Semi-joins only: a lease stops at its first hit, no pairs are built.
+    A semi-join: a lease stops at its first hit and no pairs are built.
     """
     t = _target_side(target).select("target_key", "day", "county_key")
     s = _source_side(source).select("source_lease_id", "source_key", "day", "county_key")
-    on = ["day", "county_key", "contained_key"]
-
-    # a target number equal to, or inside, the source number
-    pieces = explode_contained(s, "source_key", key_widths(t, "target_key")).unionByName(
-        s.where("source_key is not null").withColumn("contained_key", index_key(F.col("source_key"))))
-    numbers = t.where("target_key is not null").withColumn(
-        "contained_key", index_key(F.col("target_key"))).distinct()
-    inside = (F.col("s.source_key") == F.col("t.target_key")) | (
-        (F.length("t.target_key") >= SHORTEST_CONTAINED) & F.col("s.source_key").contains(F.col("t.target_key")))
-    forward = pieces.alias("s").join(numbers.alias("t"), _equal("s", "t", on) & inside, "left_semi")
-
-    # the source number inside a target number
-    needles = s.where(F.length("source_key") >= SHORTEST_CONTAINED).withColumn(
-        "contained_key", index_key(F.col("source_key")))
-    around = F.col("t.target_key").contains(F.col("s.source_key"))
-    indexed = explode_contained(t, "target_key", key_widths(s, "source_key"))
-    backward = needles.alias("s").join(indexed.alias("t"), _equal("s", "t", on) & around, "left_semi")
-
-    return forward.select("source_lease_id").unionByName(backward.select("source_lease_id"))
+    indexed_s, indexed_t = _index_sides(s, "source_key", t, "target_key", key_widths(s, "source_key"),
+                                        key_widths(t, "target_key"), equal=True)
+    same_key = _equal("s", "t", ["contained_key", "day", "county_key", "role"])
+    hits = indexed_s.alias("s").join(
+        indexed_t.alias("t"), same_key & _holds(F.col("s.source_key"), F.col("t.target_key"), F.col("s.role")),
+        "left_semi")
+    return hits.select("source_lease_id")
 
 
 def _equal(left: str, right: str, names: list[str]) -> Column:
@@ -257,11 +269,9 @@ def match_any_legacy(target: DataFrame, source: DataFrame, log: DataFrame, mode:
                        ["day", "source_number"]).where(~F.coalesce(equal_number, F.lit(False)))
     long_enough = (size("target_number") >= SHORTEST_CONTAINED) & (size("source_number") >= SHORTEST_CONTAINED)
     numbered_t, numbered_s = t.where("target_number is not null"), s.where("source_number is not null")
-    forward = _contained_pairs(numbered_s, "source_text", numbered_t, "target_text", ["day"],
-                               key_widths(numbered_t, "target_text"))
-    backward = _contained_pairs(numbered_t, "target_text", numbered_s, "source_text", ["day"],
-                                key_widths(numbered_s, "source_text"))
-    by_text = (forward.select(*columns).unionByName(backward.select(*columns))
+    by_text = (_contained_pairs(numbered_s, "source_text", numbered_t, "target_text", ["day"],
+                                key_widths(numbered_s, "source_text"), key_widths(numbered_t, "target_text"))
+               .select(*columns)
                .where(long_enough & (size("target_number") != size("source_number"))
                       & ~F.coalesce(equal_volume, F.lit(False))))
     pairs = by_number.select(*columns).unionByName(by_volume.select(*columns)).unionByName(by_text)

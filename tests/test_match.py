@@ -7,6 +7,7 @@ from collections import Counter
 import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from recordferry.operators import match, normalize
 from recordferry.plans import queries as Q
@@ -97,9 +98,13 @@ def test_numbers_longer_than_the_index_width(rows, seed):
 @given(st.lists(st.text("ab1 ", max_size=30), min_size=1, max_size=6))
 def test_contained_pieces_are_distinct_and_complete(rows, texts):
     df = rows("i int, text string", *enumerate(texts))
-    got = Counter((r.i, r.contained_key) for r in match.explode_contained(df, "text").collect())
-    want = Counter({(i, t[a:a + w]) for i, t in enumerate(texts)
+    every_width = F.sequence(F.lit(1), F.lit(match.INDEX_WIDTH))
+    indexed = match.index_numbers(df, "text", every_width, 0, 1, equal=True)
+    got = Counter((r.i, r.role, r.contained_key) for r in indexed.collect())
+    want = Counter({(i, 0, t[a:a + w]) for i, t in enumerate(texts)
                     for w in range(5, min(len(t) - 1, match.INDEX_WIDTH) + 1) for a in range(len(t) - w + 1)})
+    want += Counter((i, 1, t[:match.INDEX_WIDTH]) for i, t in enumerate(texts) if len(t) >= 5)
+    want += Counter((i, match.EQUAL, t[:match.INDEX_WIDTH]) for i, t in enumerate(texts))
     assert got == want
 
 
