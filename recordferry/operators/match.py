@@ -227,7 +227,11 @@ def match_report(target: DataFrame, source: DataFrame, log: DataFrame, mode: str
     report = (labelled(unexported(match_exact(target, source), log, mode), EXACT)
               .unionByName(labelled(unexported(match_contained(target, source), log, mode), PARTIAL))
               .unionByName(labelled(source_only(target, source, log), SOURCE_ONLY)))
-    return report.orderBy("target_record_id", "source_lease_id") if ordered else report
+    if not ordered:
+        return report
+    # Sorting samples its input first.  A shuffle of the finished report keeps
+    # that sample from running the last joins a second time.
+    return report.repartition("source_lease_id").orderBy("target_record_id", "source_lease_id")
 
 
 def match_distinct(target: DataFrame, source: DataFrame, log: DataFrame) -> DataFrame:
