@@ -291,10 +291,6 @@ def missing_in_target(leases: DataFrame, records: DataFrame, log: DataFrame, upd
     return missing.orderBy(updated, "lease_id") if ordered else missing
 
 
-def _same_number(left: str, right: str) -> Column:
-    return _equal(left, right, ["number_key", "day", "county_key"])
-
-
 def _number_keys(side: DataFrame, key: str) -> DataFrame:
     return side.withColumnRenamed(key, "number_key")
 
@@ -329,13 +325,15 @@ def stage_candidates(source: DataFrame, log: DataFrame, crosswalk: DataFrame, ta
     Intended mode also leaves out leases that a target record matches exactly;
     it needs `target`.  Reference mode tests the log only.
     """
+    known = log.where("lease_id is not null").select("lease_id")
+    if mode == "intended" and target is not None:
+        # Ids of matched leases: only the narrow keys are shuffled by number, and
+        # one anti-join on the lease id then serves both reasons.
+        keys = ["number_key", "day", "county_key"]
+        s = _number_keys(_source_side(source), "source_key").select("source_lease_id", *keys)
+        t = _number_keys(_target_side(target), "target_key").select(*keys)
+        matched = s.join(t, keys, "left_semi").select(F.col("source_lease_id").alias("lease_id"))
+        known = known.unionByName(matched)
     counties = crosswalk.where("tgt_county_id is not null").select(
         F.col("src_county_id").alias("county_id"), "tgt_county_id")
-    fresh = not_logged(source, log, "lease_id").join(counties, "county_id")
-    if mode == "reference" or target is None:
-        return fresh
-    present = _number_keys(_target_side(target), "target_key").select("number_key", "day", "county_key")
-    keyed = with_match_keys(fresh).withColumns({
-        "day": F.col("record_date"), "county_key": fold(F.col("county_name"))})
-    return (keyed.alias("s").join(present.alias("t"), _same_number("s", "t"), "left_anti")
-            .drop("number_key", "day", "county_key"))
+    return source.join(known, "lease_id", "left_anti").join(counties, "county_id")

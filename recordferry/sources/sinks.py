@@ -21,10 +21,15 @@ from recordferry.sources.tables import CSV_OPTIONS
 def shared_folder(spark: SparkSession) -> str:
     """A new folder under the cluster's `spark.checkpoint.dir`.
 
-    Only where the session names none, as in tests, is it a temporary folder.
+    Only a local session without that setting, as in tests, gets a temporary
+    folder; a cluster must name a shared one.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
-    return f"{root.rstrip('/')}/{uuid.uuid4().hex}" if root else tempfile.mkdtemp(prefix="recordferry-")
+    if root:
+        return f"{root.rstrip('/')}/{uuid.uuid4().hex}"
+    if not spark.conf.get("spark.master", "local").startswith("local"):
+        raise PySparkValueError("set spark.checkpoint.dir to a folder that all executors share")
+    return tempfile.mkdtemp(prefix="recordferry-")
 
 
 def staged(df: DataFrame) -> DataFrame:
@@ -39,31 +44,36 @@ def staged(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def checked(df: DataFrame, schema: T.StructType | None = None, unique: list[str] | None = None,
-            ) -> DataFrame:
-    """Fit `df` to a declared table: same columns, types, NOT NULL and unique key."""
-    if schema is not None:
-        absent = [f.name for f in schema.fields if f.name not in df.columns]
-        extra = [c for c in df.columns if c not in schema.names]
-        if absent or extra:
-            raise PySparkValueError(f"absent columns {absent}, undeclared columns {extra}")
-        df = df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields])
-        required = [f.name for f in schema.fields if not f.nullable]
-        if required:
-            broken = F.lit(False)
-            for name in required:
-                broken = broken | F.col(name).isNull()
-            if not df.where(broken).isEmpty():
-                raise PySparkValueError(f"NULL in a required column of {required}")
-    if unique and not duplicate_keys(df, unique).isEmpty():
+def fitted(df: DataFrame, schema: T.StructType) -> DataFrame:
+    """`df` with the columns and types of a declared table, in its order."""
+    absent = [f.name for f in schema.fields if f.name not in df.columns]
+    extra = [c for c in df.columns if c not in schema.names]
+    if absent or extra:
+        raise PySparkValueError(f"absent columns {absent}, undeclared columns {extra}")
+    return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields])
+
+
+def check(table: DataFrame, required: list[str], unique: list[str] | None = None) -> None:
+    """Raise unless the required columns are filled and the key is unique."""
+    for name in required:
+        if not table.where(F.col(name).isNull()).isEmpty():
+            raise PySparkValueError(f"NULL in the required column {name}")
+    if unique and not duplicate_keys(table, unique).isEmpty():
         raise PySparkValueError(f"{unique} is not unique")
-    return df
 
 
 def write_table(df: DataFrame, path: str, schema: T.StructType | None = None, unique: list[str] | None = None,
                 partition_by: tuple[str, ...] = ()) -> None:
-    """Create or replace a table at `path`, after the declared checks."""
-    checked(df, schema, unique).write.mode("overwrite").partitionBy(*partition_by).parquet(path)
+    """Create or replace a table at `path`, then check it.
+
+    NOT NULL and uniqueness are tested on the written table, so the job behind
+    `df` runs once; if a test fails, do not point readers at the path.
+    """
+    out = df if schema is None else fitted(df, schema)
+    out.write.mode("overwrite").partitionBy(*partition_by).parquet(path)
+    required = [] if schema is None else [f.name for f in schema.fields if not f.nullable]
+    if required or unique:
+        check(df.sparkSession.read.parquet(path), required, unique)
 
 
 def append_table(df: DataFrame, path: str, columns: list[str]) -> None:
@@ -73,9 +83,9 @@ def append_table(df: DataFrame, path: str, columns: list[str]) -> None:
     unknown = [c for c in columns if c not in table.names]
     if unknown:
         raise PySparkValueError(f"columns not in the table: {unknown}")
-    fitted = [(F.col(f.name) if f.name in columns else F.lit(None)).cast(f.dataType).alias(f.name)
+    values = [(F.col(f.name) if f.name in columns else F.lit(None)).cast(f.dataType).alias(f.name)
               for f in table.fields]
-    df.select(*fitted).write.mode("append").parquet(path)
+    df.select(*values).write.mode("append").parquet(path)
 
 
 def promote_table(spark: SparkSession, source_path: str, target_path: str) -> DataFrame:

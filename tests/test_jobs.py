@@ -264,12 +264,9 @@ def test_declared_tables_are_checked(rows, tmp_path):
         "source_path": F.lit(""), "destination_path": F.lit(""), "page_count": F.lit(0), "file_size": F.lit(0),
         "status": F.lit("")})
     sinks.write_table(good, f"{tmp_path}/a", sinks.IMAGE_RESULT_SCHEMA, unique=["lease_id"])
-    with pytest.raises(PySparkValueError):
-        sinks.checked(good.withColumn("status", F.lit(None)), sinks.IMAGE_RESULT_SCHEMA)
-    with pytest.raises(PySparkValueError):
-        sinks.checked(good.drop("status"), sinks.IMAGE_RESULT_SCHEMA)
-    with pytest.raises(PySparkValueError):
-        sinks.checked(good.unionByName(good), unique=["lease_id"])
+    for bad in (good.withColumn("status", F.lit(None).cast("string")), good.drop("status"), good.unionByName(good)):
+        with pytest.raises(PySparkValueError):
+            sinks.write_table(bad, f"{tmp_path}/b", sinks.IMAGE_RESULT_SCHEMA, unique=["lease_id"])
 
 
 def test_csv_text_survives(spark, rows, tmp_path):
@@ -300,10 +297,15 @@ def test_padded_text_is_trimmed(rows):
     assert tables.fixed_width_text(rows("a string, n int", ("x   ", 1))).first().a == "x"
 
 
+def session_with(settings):
+    return SimpleNamespace(conf=SimpleNamespace(get=lambda key, default=None: settings.get(key, default)))
+
+
 def test_shared_folder_is_the_clusters():
-    session = SimpleNamespace(conf=SimpleNamespace(get=lambda key, default: {
-        "spark.checkpoint.dir": "hdfs://shared/ckpt/"}.get(key, default)))
-    assert sinks.shared_folder(session).startswith("hdfs://shared/ckpt/")
+    cluster = session_with({"spark.checkpoint.dir": "hdfs://shared/ckpt/", "spark.master": "yarn"})
+    assert sinks.shared_folder(cluster).startswith("hdfs://shared/ckpt/")
+    with pytest.raises(PySparkValueError):
+        sinks.shared_folder(session_with({"spark.master": "yarn"}))
 
 
 def test_rerun_with_own_log_stages_nothing(small):
