@@ -6,6 +6,7 @@ import pytest
 
 import __spark_entry__ as entry_points
 from compare import difference, oracle_connection
+from recordferry.plans import oracles, queries
 
 SF_DIR = os.environ.get("ORACLE_SF_DIR", "/root/testdata/sf0.001")
 
@@ -16,10 +17,12 @@ def con():
 
 
 def test_every_query_has_an_oracle():
-    assert set(entry_points.queries()) == set(entry_points.oracle_sql())
+    assert set(queries.queries()) == set(oracles.oracle_sql())
+    assert set(queries.queries()) <= set(entry_points.queries())
+    assert set(oracles.oracle_sql()) <= set(entry_points.oracle_sql()) <= set(entry_points.queries())
 
 
-@pytest.mark.parametrize("name", sorted(entry_points.queries()))
+@pytest.mark.parametrize("name", sorted(queries.queries()))
 def test_query_matches_oracle(spark, con, name):
     df = entry_points.queries()[name](spark, SF_DIR)
     assert difference(df, con, entry_points.oracle_sql()[name]) is None
