@@ -14,6 +14,7 @@ from collections import Counter
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from recordferry.llm.common import SEPARATORS
 
@@ -42,7 +43,7 @@ def measure(text: str | None) -> tuple[int, ...]:
             len(lines), len(lines) - len(set(lines)), repeated, n_upper, n_upper + n_lower)
 
 
-@F.arrow_udf("struct<" + ",".join(f"{m}:bigint" for m in MEASURES) + ">")
+@F.arrow_udf(T.StructType([T.StructField(m, T.LongType()) for m in MEASURES]))
 def measured(texts: pa.Array) -> pa.Array:
     columns = zip(*map(measure, texts.to_pylist()))
     arrays = [pa.array(c, pa.int64()) for c in columns] or [pa.array([], pa.int64())] * len(MEASURES)
