@@ -7,8 +7,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from recordferry.llm import mixing, rules
+from recordferry.llm import minhash, mixing, packing, rules, suffix
 from recordferry.llm.common import scratch, table
+from recordferry.llm.queries import tokenizer_path
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -16,12 +17,29 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     return rules.keep_clean(docs)
 
 
+def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each class of near copies the document with the least id stays."""
+    return minhash.one_per_class(docs)
+
+
+def suffix_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Stretches that an earlier document holds, too, are cut out of the texts."""
+    return suffix.remove_repeats(docs)
+
+
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents are repeated or left out so that sources meet their targets."""
     return mixing.emit(docs)
 
 
-STAGES = [("quality_rules", quality_rules), ("mix_sources", mix_sources)]
+def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of documents, placed in sequences."""
+    return packing.pack(docs, tokenizer_path())
+
+
+STAGES = [("quality_rules", quality_rules), ("near_dedup", near_dedup), ("suffix_dedup", suffix_dedup),
+          ("mix_sources", mix_sources), ("pack_sequences", pack_sequences)]
+#: Suffix arrays and tokenizers are beyond SQL; tests hold the stages against brute force.
 ORACLE_SQL = None
 
 

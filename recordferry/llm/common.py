@@ -39,6 +39,13 @@ def saved(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def stored(df: DataFrame) -> DataFrame:
+    """`df` written once as Parquet in the shared folder and read again: for wide tables of which later steps need columns."""
+    path = scratch(df.sparkSession)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def word_count(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")
 
@@ -56,7 +63,7 @@ def join_counted(rows: DataFrame, lookup: DataFrame, key: str, count: str, total
     kind = rows.schema[key].dataType.simpleString()
     spread = F.when(~is_hot, F.col(key))
     first = first.withColumn("join_key", spread).withColumn(
-        "join_salt", F.when(spread.isNull(), (F.rand(7) * share).cast("int") + 1).otherwise(0))
+        "join_salt", F.when(spread.isNull(), F.pmod(F.xxhash64(*rows.columns), F.lit(share)).cast("int") + 1).otherwise(0))
     rest = lookup.filter(F.col(count) * share < F.lit(total)).select(
         F.col(key).cast(kind).alias("join_key"), F.lit(0).alias("join_salt"), *[F.col(c).alias(f"rest_{c}") for c in added])
     both = first.join(rest, ["join_key", "join_salt"], "left")

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from recordferry.llm import chat, mixing, packing, quality, rules, urls
+from recordferry.llm import ann, chat, minhash, mixing, packing, quality, rules, scoring, suffix, urls
 from recordferry.llm.common import table
 
 
@@ -27,6 +27,16 @@ def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.score(docs, model).select("doc_id", F.coalesce(held_out(), F.lit(False)).alias("held_out"), "score", "predicted")
 
 
+def op2_suffix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix.digests(table(spark, sf_dir, "documents"))
+
+
+def op3_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The benchmark's passages are the target domain, all documents the background."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return scoring.score(docs, table(spark, sf_dir, "benchmark").select("text"))
+
+
 def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mixing.mix(table(spark, sf_dir, "documents"))
     return mixed.select("doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"))
@@ -39,6 +49,12 @@ def op5_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
         (~rules.verdict("base")).alias("base_failed"), rules.verdict().alias("kept"), "failed")
 
 
+def op6_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = ann.valid(table(spark, sf_dir, "embeddings"))
+    queries = vectors.filter("vec_id % 100 = 0").select(F.col("vec_id").alias("query_id"), "vector")
+    return ann.search(ann.index(vectors), queries)
+
+
 def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), tokenizer_path())
 
@@ -67,5 +83,10 @@ def op9_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.char_length("formatted").cast("long").alias("formatted_chars"))
 
 
+def op10_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    classes = minhash.near_classes(table(spark, sf_dir, "documents"))
+    return classes.select(suffix.original(F.col("doc")).alias("doc_id"), suffix.original(F.col("class_id")).alias("class_id"), "copies")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {name: f for name, f in globals().items() if name.startswith("op")}
