@@ -14,54 +14,47 @@ Null or empty text is the end id alone.  Repeated rows are packed as rows of the
 
 from __future__ import annotations
 
+import base64
 import zlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import regex
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
 TIERS = (1024, 512, 256)
 STEP_TOKENS = 8 * 1024
 BUFFER = 4096
-WORDS_KEPT = 1 << 19
 SCHEMA = ("doc_id bigint, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint, sequence_id bigint, "
           "offset bigint, window int, step_group bigint")
-#: Fixed: how the public byte-level vocabulary splits text before it merges bytes.
-SPLIT = regex.compile(r"'(?:s|t|re|ve|m|ll|d)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
 
 
 class Encoder:
     """Ids of whole texts, as little-endian bytes of unsigned 32-bit numbers.
 
-    Merges never cross the tokenizer's split, so the ids of a split part are looked up once per task and then reused;
-    texts that hold a special token's string go to the tokenizer whole.
+    `path` is the vocabulary for `tokenizers`; with `ranks`, the same vocabulary as tiktoken ranks, texts are encoded by the
+    faster library, to the same ids.  Texts that hold a special token's string always go to the tokenizer itself.
     """
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, ranks: str | None = None):
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.known: dict[str, bytes] = {}
-
-    def ids(self, text: str) -> bytes:
-        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+        self.fast = None
+        if ranks:
+            import public_tokenizers
+            import tiktoken
+            with open(ranks, "rb") as lines:
+                known = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, lines)}
+            self.fast = tiktoken.Encoding("ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=known, special_tokens={})
 
     def encode(self, text: str) -> bytes:
-        if any(s in text for s in self.special):
-            return self.ids(text)
-        known, parts = self.known, SPLIT.findall(text)
-        try:
-            return b"".join([known[p] for p in parts])
-        except KeyError:
-            if len(known) > WORDS_KEPT:
-                known.clear()
-            for p in set(parts):
-                if p not in known:
-                    known[p] = self.ids(p)
-            return b"".join([known[p] for p in parts])
+        if self.fast is None or any(s in text for s in self.special):
+            ids = self.tokenizer.encode(text, add_special_tokens=False).ids
+        else:
+            ids = self.fast.encode_ordinary(text)
+        return np.array(ids, "<u4").tobytes()
 
 
 class Packer:
@@ -134,6 +127,7 @@ class Packer:
     def finish(self) -> None:
         self.pack()
         rest = [p for t in self.tiers for p in self.waiting[t]]
+        self.waiting, self.held = {t: [] for t in self.tiers}, 0
         total, window = sum(p[3] for p in rest), self.tiers[0]
         while total:
             while window > total:
@@ -156,13 +150,13 @@ class Packer:
                                           names=[c.split()[0] for c in SCHEMA.split(", ")])
 
 
-def pack(docs: DataFrame, tokenizer: str, text: str = "text", doc_id: str = "doc_id", end_id: int = 0,
+def pack(docs: DataFrame, tokenizer: str, ranks: str | None = None, text: str = "text", doc_id: str = "doc_id", end_id: int = 0,
          tiers: tuple[int, ...] = TIERS, step_tokens: int = STEP_TOKENS) -> DataFrame:
-    """One row per piece: SCHEMA.  `tokenizer` is the path of a vocabulary file that every executor has."""
+    """One row per piece: SCHEMA.  `tokenizer` and `ranks` are paths of vocabulary files that every executor has."""
     end = int(end_id).to_bytes(4, "little")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, packer = Encoder(tokenizer), Packer(TaskContext.get().partitionId() << 33, tiers, step_tokens)
+        encoder, packer = Encoder(tokenizer, ranks), Packer(TaskContext.get().partitionId() << 33, tiers, step_tokens)
         for batch in batches:
             for at in range(0, batch.num_rows, 1024):
                 part = batch.slice(at, 1024)

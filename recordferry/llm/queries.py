@@ -56,7 +56,7 @@ def op6_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return packing.pack(table(spark, sf_dir, "documents"), tokenizer_path())
+    return packing.pack(table(spark, sf_dir, "documents"), tokenizer_path(), tokenizer_path("byte_bpe_50k.tiktoken"))
 
 
 def op8_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
