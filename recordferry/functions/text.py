@@ -19,10 +19,6 @@ def fold(c: Column) -> Column:
     return F.lower(F.rtrim(c))
 
 
-def same_text(a: Column, b: Column) -> Column:
-    return fold(a) == fold(b)
-
-
 def is_blank(c: Column) -> Column:
     """True for '' and blanks only; NULL stays unknown."""
     return F.rtrim(c) == ""
@@ -51,10 +47,6 @@ def concat_nulls_empty(*cols: Column) -> Column:
     return F.concat(*[F.coalesce(c.cast("string"), F.lit("")) for c in cols])
 
 
-def visible_length(c: Column) -> Column:
-    return F.length(F.rtrim(c))
-
-
 def positive_key(c: Column, kind: str = "int") -> Column:
     """Whole number from text; junk, blank, overflow and zero become NULL."""
     return F.nullif(F.trim(c).try_cast(kind), F.lit(0).cast(kind))

@@ -39,26 +39,20 @@ def fill_log_leases(log: DataFrame, choices: DataFrame, tag: str, run_at: str) -
     """Write the matched lease into log rows that nobody has touched.
 
     Touched means: has a lease, or carries an author stamp.  `choices` has one
-    `source_lease_id` per `target_record_id` (`match.log_fill_choices`).
+    `source_lease_id` per `target_record_id` (`match.log_fill_choices`).  All other
+    columns of the log stay as they are.
     """
     picked = choices.select(F.col("target_record_id").alias("record_id"),
                             F.col("source_lease_id").alias("new_lease"))
+    if "modified_ts" not in log.columns:
+        log = log.withColumn("modified_ts", F.lit(None).cast("timestamp_ntz"))
     joined = log.join(picked, "record_id", "left")
     fill = (F.col("new_lease").isNotNull() & F.col("lease_id").isNull()
             & F.col("created_by").isNull() & F.col("modified_by").isNull())
-    stamp = F.lit(run_at).cast("timestamp_ntz")
-    before = F.col("modified_ts") if "modified_ts" in log.columns else F.lit(None).cast("timestamp_ntz")
-
-    def choose(new: Column, old: str) -> Column:
-        return F.when(fill, new).otherwise(F.col(old))
-
-    return joined.select(
-        "record_id",
-        choose(F.col("new_lease"), "lease_id").alias("lease_id"),
-        choose(F.lit(tag), "zip_name").alias("zip_name"),
-        choose(F.lit(tag), "created_by").alias("created_by"),
-        F.when(fill, stamp).otherwise(before).alias("modified_ts"),
-        choose(F.lit(tag), "modified_by").alias("modified_by"))
+    new = {"lease_id": F.col("new_lease"), "zip_name": F.lit(tag), "created_by": F.lit(tag),
+           "modified_ts": F.lit(run_at).cast("timestamp_ntz"), "modified_by": F.lit(tag)}
+    return joined.select(*[F.when(fill, new[c]).otherwise(F.col(c)).alias(c) if c in new else F.col(c)
+                           for c in log.columns])
 
 
 def _rekeyed(tag_rows: str, since: str, outsource_ids: tuple[int, ...], offset_minutes: int) -> Column:

@@ -11,6 +11,7 @@ from collections.abc import Callable, Iterator
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from recordferry.functions.rules import URI_SCHEME, destination_key, state_county_label, storage_uri
 from recordferry.functions.text import fold, millis_text, strip_prefix
@@ -19,8 +20,8 @@ from recordferry.operators.stage import Run
 
 # ---- fixed values: status words of the ledgers, and the success code of a delete ----
 PROCESSED, FAILED = "processed", "s3 query failed"
-COPIED, DELETED = "copied", "deleted"
-DELETE_OK = 204
+PLANNED, COPIED, DELETED, ERROR = "planned", "copied", "deleted", "error"
+COPY_OK, DELETE_OK = 200, 204
 # ---------------------------------------------------------------------------------------
 
 
@@ -78,8 +79,12 @@ def resolve(work: DataFrame, manifest: DataFrame, bucket: str, mode: str = "inte
     hit = F.col("object_key").isNotNull()
     place = F.concat(F.lit(f"{URI_SCHEME}{bucket}/"),
                      destination_key(F.col("state_county"), F.col("record_id"), F.col("object_key")))
-    return work.select("lease_id", "record_id", "state_county", "package_id").join(
-        found, "package_id", "left").select(
+    # Rows without a package find nothing; a key of their own keeps them out of one task.
+    apart = F.concat(F.lit("no package/"), F.coalesce(F.col("lease_id").cast("string"), F.lit("")),
+                     F.lit("/"), F.coalesce("record_id", F.lit("")))
+    keyed = work.select("lease_id", "record_id", "state_county", "package_id",
+                        F.coalesce("package_id", apart).alias("_package"))
+    return keyed.join(found.withColumnRenamed("package_id", "_package"), "_package", "left").select(
         "lease_id", "record_id", "state_county", "package_id",
         F.coalesce("object_key", F.lit("")).alias("source_path"),
         F.when(hit, place).otherwise("").alias("destination_path"),
@@ -107,7 +112,22 @@ def copy_plan(resolved: DataFrame, registry: DataFrame, bucket: str, run: Run, m
         F.col("file_size").alias("fileSizeBytes"),
         millis_text(run.time).alias("_ModifiedDateTime"),
         F.lit(run.user).alias("_ModifiedBy"),
-        F.lit(COPIED).alias("status"))
+        F.lit(PLANNED).alias("status"))
+
+
+def copy_outcome(plan: DataFrame, outcomes: DataFrame, run: Run) -> DataFrame:
+    """Registry rows of a copy plan after its calls: each row's status from its own outcome.
+
+    `outcomes` has `record_id` and `http_status`; of several calls for a record a good one counts.  Rows without an
+    outcome stay planned, so they, and those in error, come back in the next plan.
+    """
+    good = F.bool_or(F.coalesce(F.col("http_status") == COPY_OK, F.lit(False))).alias("_good")
+    called = outcomes.where("record_id is not null").groupBy(F.col("record_id").alias("recordID")).agg(good)
+    status = F.when(F.col("_good"), COPIED).when(~F.col("_good"), ERROR).otherwise(F.col("status"))
+    return plan.join(called, "recordID", "left").withColumns({
+        "status": status,
+        "_ModifiedDateTime": F.when(F.col("_good").isNotNull(), millis_text(run.time))
+        .otherwise(F.col("_ModifiedDateTime"))}).select(*plan.columns)
 
 
 def delete_plan(cleanup: DataFrame, outcomes: DataFrame, bucket: str, run: Run) -> DataFrame:
@@ -151,27 +171,35 @@ def register(resolved: DataFrame, log: DataFrame, tag: str, run: Run) -> DataFra
 def map_rows(plan: DataFrame, add: Callable[[pd.DataFrame], pd.DataFrame], extra: str) -> DataFrame:
     """Hook for a lookup per file that needs Python, in Arrow batches.
 
-    `add` gets a batch and returns it with the columns of `extra` (a schema
-    text).  If a batch raises, its rows are tried one by one; a row that raises
-    keeps its values and gets the error as its status, so no row is lost.
+    `add` gets a batch and returns one row for each of its rows, in their order,
+    with the columns of `extra` (a schema text) added.  If a batch raises, or
+    comes back with other rows, its rows are tried one by one; a row that fails
+    keeps its values and gets the error as its status, so no row is lost.  Rows
+    of a failed batch are given to `add` twice: it must bear that.
     """
     base = plan.drop("status").schema
-    schema = f"{', '.join(f'`{f.name}` {f.dataType.simpleString()}' for f in base.fields)}, {extra}, status string"
-    added = [part.strip().split(" ")[0] for part in extra.split(",")]
+    schema = T.StructType([*base.fields, *T.StructType.fromDDL(extra).fields, T.StructField("status", T.StringType())])
+    names, added = base.names, T.StructType.fromDDL(extra).names
+
+    def checked(batch: pd.DataFrame) -> pd.DataFrame:
+        out = add(batch.copy()).reset_index(drop=True)
+        if len(out) != len(batch) or not out[names].equals(batch[names].reset_index(drop=True)):
+            raise ValueError(f"{len(out)} rows, or changed ones, for {len(batch)}")
+        return out[[*names, *added]].assign(status=PROCESSED)
 
     def one_row(row: pd.DataFrame) -> pd.DataFrame:
         try:
-            return add(row.copy()).assign(status=PROCESSED)
+            return checked(row)
         except Exception as error:  # a failed row is a result, not a failed task
             return row.assign(**{name: None for name in added}, status=f"error: {error}")
 
     def run_batches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             try:
-                yield add(batch.copy()).assign(status=PROCESSED)
+                yield checked(batch)
             except Exception:
                 for i in range(len(batch)):
-                    yield one_row(batch.iloc[i:i + 1])
+                    yield one_row(batch.iloc[i:i + 1].reset_index(drop=True))
 
     return plan.drop("status").mapInPandas(run_batches, schema)
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from recordferry.functions.rules import range_or_block
 from recordferry.functions.text import contains_word, is_filled, stable_id
-from recordferry.operators.changes import append_rows, update_from
+from recordferry.operators.changes import update_from
 from recordferry.operators.relational import explode_delimited
 from recordferry.operators.stage import Run, default, missing, run_time, source
 
@@ -134,10 +134,6 @@ def load_land(exploded: DataFrame, key: str = "landDescriptionID", columns: tupl
     return exploded.withColumn(key, new_id).drop(*places, *dropped)
 
 
-def append_land(table: DataFrame, exploded: DataFrame) -> DataFrame:
-    return append_rows(table, load_land(exploded))
-
-
 def parser_extract(land: DataFrame, ordered: bool = True) -> DataFrame:
     """The file that the outside legal-text parser reads."""
     out = land.select("landDescriptionID", F.col("CountyName").alias("County"),

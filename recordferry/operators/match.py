@@ -4,7 +4,8 @@ Each tier is an equi-join, so a tier never compares all pairs of a county-day:
 the contained-number tier joins on the contained text itself (see
 `index_numbers`).  Hot keys are left to adaptive skew-join splitting, and
 uniqueness is tested by an aggregate, which combines before the shuffle, rather
-than by a window, which would gather a hot group in one task.
+than by a window, which would gather a hot group in one task.  The contained
+tiers work on the different numbers of a county-day and attach rows last.
 """
 
 from __future__ import annotations
@@ -20,9 +21,9 @@ from recordferry.operators.normalize import with_match_keys
 SHORTEST_CONTAINED = 5  # fixed value: shorter numbers do not take part in tier 3
 INDEX_WIDTH = 24        # widest text used as a join key for contained numbers
 
-EXACT = "Record Number Match"
-PARTIAL = "Partial String Match"
-SOURCE_ONLY = "Source Only - No Target Match"
+EXACT = "equal number"
+PARTIAL = "contained number"
+SOURCE_ONLY = "no target record"
 
 PAIR_COLUMNS = ("target_record_id", "target_record_number", "source_lease_id", "source_record_number",
                 "target_volume", "target_page", "source_volume", "source_page", "source_county_name")
@@ -158,51 +159,68 @@ def _holds(source_text: Column, target_text: Column, role: Column) -> Column:
             .otherwise(source_text == target_text))
 
 
-def _contained_pairs(source: DataFrame, source_text: str, target: DataFrame, target_text: str, on: list[str],
-                     source_widths: Column, target_widths: Column) -> DataFrame:
-    """Pairs in which one number lies inside the other, longer one."""
-    s, t = _index_sides(source, source_text, target, target_text, source_widths, target_widths)
-    return s.join(t, ["contained_key", *on, "role"]).where(
-        _holds(F.col(source_text), F.col(target_text), F.col("role")))
+def distinct_keys(side: DataFrame, text: str, on: list[str]) -> DataFrame:
+    """The different numbers of a side within `on`, and how many rows hold each: all that the index needs to know."""
+    return side.where(F.col(text).isNotNull()).groupBy(*on, text).agg(F.count("*").alias("copies"))
 
 
-def unique_sources(source: DataFrame) -> DataFrame:
-    """Source rows that can take part in tier 3 and whose (date, county, number)
-    occurs once, as pair columns."""
-    kept = ("source_lease_id", "source_record_number", "source_volume", "source_page", "source_county_name")
-    return (_source_side(source)
-            .where(F.length("source_key") >= SHORTEST_CONTAINED)
-            .groupBy("day", "county_key", "source_key")
-            .agg(F.count("*").alias("copies"), *[F.min(c).alias(c) for c in kept])
-            .where("copies = 1").drop("copies"))
+def key_pairs(source: DataFrame, source_text: str, target: DataFrame, target_text: str, on: list[str],
+              equal: bool = False) -> DataFrame:
+    """Pairs of different numbers of which one lies inside the other, longer one (or, with `equal`, equals it).
+
+    Each side is reduced to its different numbers first, so a number that many rows share is indexed once and met
+    once; `source_copies` says how many source rows hold it.  Rows are attached by the caller.
+    """
+    s = distinct_keys(source, source_text, on).withColumnRenamed("copies", "source_copies")
+    t = distinct_keys(target, target_text, on).drop("copies")
+    widths = key_widths(source, source_text), key_widths(target, target_text)
+    indexed_s, indexed_t = _index_sides(s, source_text, t, target_text, *widths, equal)
+    return (indexed_s.join(indexed_t, ["contained_key", *on, "role"])
+            .where(_holds(F.col(source_text), F.col(target_text), F.col("role")))
+            .select(*on, source_text, target_text, "source_copies", "role"))
+
+
+PLACE = ["day", "county_key"]
 
 
 def match_contained(target: DataFrame, source: DataFrame) -> DataFrame:
     """Tier 3: one number contains the other, both have five characters or more,
     date and county agree, and the source triple occurs once."""
-    t, s = _target_side(target), unique_sources(source)
-    widths = key_widths(_source_side(source), "source_key"), key_widths(t, "target_key")
-    return _contained_pairs(s, "source_key", t, "target_key", ["day", "county_key"], *widths).select(*PAIR_COLUMNS)
+    t, s = _target_side(target), _source_side(source)
+    pairs = key_pairs(s, "source_key", t, "target_key", PLACE).where("source_copies = 1")
+    return (s.join(pairs, [*PLACE, "source_key"]).join(t, [*PLACE, "target_key"]).select(*PAIR_COLUMNS))
 
 
-def leases_with_match(target: DataFrame, source: DataFrame) -> DataFrame:
-    """Ids of leases that tier 1 or an unguarded tier 3 would match.
+def key_report(target: DataFrame, source: DataFrame) -> DataFrame:
+    """The match at the level of numbers: each pair of equal or contained numbers, with its leases and records counted.
 
-    A semi-join: a lease stops at its first hit and no pairs are built.
+    A pair of numbers that m leases and n records share is one row here and m times n rows in `match_report`.
     """
-    t = _target_side(target).select("target_key", "day", "county_key")
-    s = _source_side(source).select("source_lease_id", "source_key", "day", "county_key")
-    indexed_s, indexed_t = _index_sides(s, "source_key", t, "target_key", key_widths(s, "source_key"),
-                                        key_widths(t, "target_key"), equal=True)
-    same_key = _equal("s", "t", ["contained_key", "day", "county_key", "role"])
-    hits = indexed_s.alias("s").join(
-        indexed_t.alias("t"), same_key & _holds(F.col("s.source_key"), F.col("t.target_key"), F.col("s.role")),
-        "left_semi")
-    return hits.select("source_lease_id")
+    t, s = _target_side(target), _source_side(source)
+    records = distinct_keys(t, "target_key", PLACE).withColumnRenamed("copies", "records")
+    pairs = key_pairs(s, "source_key", t, "target_key", PLACE, equal=True).join(records, [*PLACE, "target_key"])
+    return pairs.select(
+        *PLACE, "source_key", "target_key", F.col("source_copies").alias("leases"), "records",
+        F.when(F.col("role") == EQUAL, EXACT).when(F.col("source_copies") == 1, PARTIAL).alias("match_condition"))
+
+
+def _findings(target: DataFrame, source: DataFrame) -> DataFrame:
+    """Source keys with what they meet, one row per label and target key; without a label if the only hits are
+    contained numbers of a triple that occurs more than once."""
+    t, s = _target_side(target), _source_side(source)
+    pairs = key_pairs(s, "source_key", t, "target_key", PLACE, equal=True)
+    label = F.when(F.col("role") == EQUAL, EXACT).when(F.col("source_copies") == 1, PARTIAL)
+    return (pairs.withColumn("match_condition", label)
+            .select(*PLACE, "source_key", "match_condition",
+                    F.when(F.col("match_condition").isNotNull(), F.col("target_key")).alias("target_key"))
+            .distinct().withColumn("found", F.lit(True)))
 
 
-def _equal(left: str, right: str, names: list[str]) -> Column:
-    return reduce(Column.__and__, [F.col(f"{left}.{n}") == F.col(f"{right}.{n}") for n in names])
+def leases_with_match(target: DataFrame, source: DataFrame) -> DataFrame:
+    """Ids of leases that tier 1 or an unguarded tier 3 would match."""
+    t, s = _target_side(target), _source_side(source)
+    hits = key_pairs(s, "source_key", t, "target_key", PLACE, equal=True).select(*PLACE, "source_key").distinct()
+    return s.join(hits, [*PLACE, "source_key"], "left_semi").select("source_lease_id")
 
 
 # ---- reports -----------------------------------------------------------------------
@@ -220,13 +238,32 @@ def source_only(target: DataFrame, source: DataFrame, log: DataFrame) -> DataFra
 
 def match_report(target: DataFrame, source: DataFrame, log: DataFrame, mode: str = "intended",
                  ordered: bool = True) -> DataFrame:
-    """Exact pairs, contained-number pairs and source-only leases, labelled."""
-    def labelled(df: DataFrame, label: str) -> DataFrame:
-        return df.select(*PAIR_COLUMNS, F.lit(label).alias("match_condition"))
+    """Exact pairs, contained-number pairs and source-only leases, labelled, in one pass over the leases.
 
-    report = (labelled(unexported(match_exact(target, source), log, mode), EXACT)
-              .unionByName(labelled(unexported(match_contained(target, source), log, mode), PARTIAL))
-              .unionByName(labelled(source_only(target, source, log), SOURCE_ONLY)))
+    Numbers are matched first (`key_pairs`), once for all three tiers; leases and records are attached last, and
+    the log is asked at the end: by record for pairs, by lease for leases without a match.  Rows without a record
+    take a key of their own in that last join, so that they do not meet in one task.
+    """
+    s, t = _source_side(source), _target_side(target)
+    labelled = (s.join(_findings(target, source), [*PLACE, "source_key"], "left")
+                .withColumn("match_condition", F.when(F.col("found").isNull(), SOURCE_ONLY)
+                            .otherwise(F.col("match_condition")))
+                .where("match_condition is not null").drop("found"))
+    pairs = labelled.join(t, [*PLACE, "target_key"], "left")
+    by_lease = (log.where("lease_id is not null").select(F.col("lease_id").alias("source_lease_id")).distinct()
+                .withColumn("lease_logged", F.lit(True)))
+    by_record = log.where("record_id is not null").groupBy(F.col("record_id").alias("log_key")).agg(
+        F.count("lease_id").alias("done"), F.count_if(F.col("lease_id").isNull()).alias("open_rows"))
+    apart = F.concat(F.lit("no record/"), F.col("source_lease_id").cast("string"))
+    asked = (pairs.withColumn("log_key", F.coalesce("target_record_id", apart))
+             .join(by_record, "log_key", "left").join(by_lease, "source_lease_id", "left"))
+    alone = F.col("match_condition") == SOURCE_ONLY
+    if mode == "intended":
+        report = asked.where(F.when(alone, F.col("lease_logged").isNull()).otherwise(F.coalesce("done", F.lit(0)) == 0))
+    else:
+        times = F.when(alone, F.when(F.col("lease_logged").isNull(), 1).otherwise(0)).otherwise(F.coalesce("open_rows", F.lit(1)))
+        report = asked.withColumn("_time", F.explode(F.array_repeat(F.lit(0), times.cast("int"))))
+    report = report.select(*PAIR_COLUMNS, "match_condition")
     if not ordered:
         return report
     # Sorting samples its input first.  A shuffle of the finished report keeps
@@ -273,8 +310,8 @@ def match_any_legacy(target: DataFrame, source: DataFrame, log: DataFrame, mode:
                        ["day", "source_number"]).where(~F.coalesce(equal_number, F.lit(False)))
     long_enough = (size("target_number") >= SHORTEST_CONTAINED) & (size("source_number") >= SHORTEST_CONTAINED)
     numbered_t, numbered_s = t.where("target_number is not null"), s.where("source_number is not null")
-    by_text = (_contained_pairs(numbered_s, "source_text", numbered_t, "target_text", ["day"],
-                                key_widths(numbered_s, "source_text"), key_widths(numbered_t, "target_text"))
+    texts = key_pairs(numbered_s, "source_text", numbered_t, "target_text", ["day"]).drop("source_copies", "role")
+    by_text = (numbered_s.join(texts, ["day", "source_text"]).join(numbered_t, ["day", "target_text"])
                .select(*columns)
                .where(long_enough & (size("target_number") != size("source_number"))
                       & ~F.coalesce(equal_volume, F.lit(False))))
@@ -288,7 +325,8 @@ def missing_in_target(leases: DataFrame, records: DataFrame, log: DataFrame, upd
     arrived = (log.where("lease_id is not null")
                .join(records.select("record_id"), "record_id", "left_semi").select("lease_id"))
     missing = leases.join(arrived, "lease_id", "left_anti")
-    return missing.orderBy(updated, "lease_id") if ordered else missing
+    # As in `match_report`: the sort's sample must not run the join again.
+    return missing.repartition("lease_id").orderBy(updated, "lease_id") if ordered else missing
 
 
 def _number_keys(side: DataFrame, key: str) -> DataFrame:

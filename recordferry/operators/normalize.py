@@ -57,7 +57,7 @@ def normalize_target(records: DataFrame, counties: DataFrame, crosswalk: DataFra
     kept = records.where(only.condition())
     if crosswalk is not None:
         known = crosswalk.select(F.col("src_county_id").alias("county_id"))
-        kept = kept.join(known, "county_id")
+        kept = kept.join(known, "county_id", "left_semi")
     names = counties.select(*county_keys, "county_name")
     return kept.join(names, list(county_keys)).select(
         F.lower("record_id").alias("record_id"),
@@ -93,18 +93,39 @@ def lease_files(mappings: DataFrame, documents: DataFrame, files: DataFrame) ->
 
 
 def first_file(files: DataFrame) -> DataFrame:
-    """One file per lease, the first by name; partial aggregation before the shuffle."""
+    """One file per lease, the first by name; partial aggregation before the shuffle.
+
+    `extra_files` has the others.
+    """
     first = F.min(F.struct("filename", "path")).alias("first")
     return (files.where(F.col("filename").isNotNull()).groupBy("lease_id").agg(first)
             .select("lease_id", "first.path", "first.filename"))
 
 
+def extra_files(source: DataFrame, files: DataFrame, share_root: str) -> DataFrame:
+    """The named files of each lease beyond the one that its record carries: lease, record id, path, name.
+
+    `source` is the normalized slice of one row per lease.  A file listed twice is left over once, so files in =
+    files carried + files left over.
+    """
+    name, path = F.col("filename"), F.col("path")
+    carried = source.select("lease_id", F.col("generated_record_id").alias("record_id"),
+                            F.col("source_file_path").alias("_carried"))
+    each = (files.where(name.isNotNull()).groupBy("lease_id", "filename", "path").agg(F.count("*").alias("_n"))
+            .join(carried, "lease_id", "left"))
+    here = F.coalesce(source_path(share_root, path, name) == F.col("_carried"), F.lit(False))
+    left = F.col("_n") - F.when(here, 1).otherwise(0)
+    return each.withColumn("_copy", F.explode(F.array_repeat(F.lit(0), left.cast("int")))).select(
+        "lease_id", "record_id", "path", "filename")
+
+
 def normalize_source(leases: DataFrame, issued_ids: DataFrame, counties: DataFrame, files: DataFrame,
                      *, share_root: str, mode: str = "intended") -> DataFrame:
     """Source slice with file columns and record ids, 28 columns.
 
     A lease keeps the record id issued to it earlier, else gets a stable one.
-    Intended mode gives one row per lease, with its first file by name.
+    Intended mode gives one row per lease, with its first file by name; the
+    lease's further files are the rows of `extra_files`.
     Reference mode gives one row per file, each with an id of its own unless
     one was issued.
     """

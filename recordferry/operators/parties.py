@@ -2,15 +2,17 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from recordferry.functions.text import blank_to_null, fold, is_filled
-from recordferry.operators.changes import append_rows
 from recordferry.operators.relational import union_distinct
 from recordferry.operators.stage import Run
 
 TEXT_COLUMNS = ("gName", "gAddress", "gZip", "gCity")
+SPREAD = 8
 
 
 def batch_records(records: DataFrame, log: DataFrame, tag: str) -> DataFrame:
@@ -20,13 +22,32 @@ def batch_records(records: DataFrame, log: DataFrame, tag: str) -> DataFrame:
                        "record_id")
 
 
-def _chain(kind: str, people: DataFrame, key: str, lease_records: DataFrame, states: DataFrame) -> DataFrame:
-    named = people.where(is_filled(F.col("name"))).withColumn("state_key", fold(F.col("state_abbr")))
+KINDS = {"grantor": "grantor_id", "grantee": "grantee_id"}
+
+
+def _people(states: DataFrame, **lists: DataFrame) -> DataFrame:
+    """Both name lists in one frame, keyed by kind and id, with their states."""
+    both = reduce(DataFrame.unionByName, [
+        people.where(is_filled(F.col("name"))).select(
+            F.lit(kind).alias("kind"), F.col(KINDS[kind]).alias("party_id"), "name", "address", "zip", "city",
+            fold(F.col("state_abbr")).alias("state_key")) for kind, people in lists.items()])
     codes = states.select(fold(F.col("state_abbr")).alias("state_key"), "state_id")
-    coded = named.join(codes, "state_key", "left")
-    return lease_records.select("record_id", key).join(coded, key).select(
+    return both.join(codes, "state_key", "left")
+
+
+def _party_rows(lease_records: DataFrame, people: DataFrame) -> DataFrame:
+    """Each lease's two parties as rows, in one join.
+
+    A party may hold a third of all leases, so the different (record, kind, party) rows are spread: a party's leases
+    go to `SPREAD` keys by record, and its own row is repeated for each.
+    """
+    wanted = lease_records.select("record_id", F.inline(F.array(*[
+        F.struct(F.lit(kind).alias("kind"), F.col(key).alias("party_id")) for kind, key in KINDS.items()])))
+    wanted = wanted.where("party_id is not null").distinct().withColumn("_salt", F.pmod(F.xxhash64("record_id"), F.lit(SPREAD)))
+    repeated = people.withColumn("_salt", F.explode(F.sequence(*[F.lit(n).cast("bigint") for n in (0, SPREAD - 1)])))
+    return wanted.join(repeated, ["kind", "party_id", "_salt"]).select(
         F.col("record_id").alias("recordID"),
-        F.lit(kind).alias("recordType"),
+        F.col("kind").alias("recordType"),
         blank_to_null(F.col("name")).alias("gName"),
         blank_to_null(F.col("address")).alias("gAddress"),
         blank_to_null(F.col("zip")).alias("gZip"),
@@ -38,22 +59,15 @@ def parties(leases: DataFrame, grantors: DataFrame, grantees: DataFrame, records
             states: DataFrame, run: Run) -> DataFrame:
     """Distinct grantor and grantee rows of the batch `run.tag`.
 
-    Leases meet the batch by their own id first; the join to the people, whose
-    keys may be very uneven, comes last and directly before a new shuffle, where
-    adaptive execution may split it.  Constant columns are added after the
-    deduplication, so they are not shuffled.
+    Leases meet the batch by their own id, once; one join then serves both kinds
+    of people.  Constant columns are added after the deduplication, so they are
+    not shuffled.
     """
     lease_records = batch_records(records, log, run.tag).join(
         leases.select("lease_id", "grantor_id", "grantee_id"), "lease_id")
-    rows = union_distinct(
-        _chain("grantor", grantors, "grantor_id", lease_records, states),
-        _chain("grantee", grantees, "grantee_id", lease_records, states),
-        text_columns=TEXT_COLUMNS)
+    rows = union_distinct(_party_rows(lease_records, _people(states, grantor=grantors, grantee=grantees)),
+                          text_columns=TEXT_COLUMNS)
     return rows.withColumns({
         "_CreatedDateTime": run.time, "_CreatedBy": F.lit(run.user),
         "_ModifiedDateTime": run.time, "_ModifiedBy": F.lit(run.user),
         "interestAssigned": F.lit(None).cast("string"), "IsDeleted": F.lit(0)})
-
-
-def append_parties(table: DataFrame, staged: DataFrame) -> DataFrame:
-    return append_rows(table, staged)

@@ -6,7 +6,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from recordferry.functions.text import is_filled, stable_id, word_to_null
-from recordferry.operators.changes import append_rows
 from recordferry.operators.parties import batch_records
 from recordferry.operators.stage import Run
 
@@ -32,7 +31,3 @@ def prior_refs(leases: DataFrame, records: DataFrame, log: DataFrame, run: Run,
         F.lit(None).cast("string").alias("Consideration"),
         stable_id(F.lit("prior"), F.col("record_id"), F.col("lease_id")).alias("priorrefid"),
         F.lit(0).alias("IsDeleted"))
-
-
-def append_prior_refs(table: DataFrame, staged: DataFrame) -> DataFrame:
-    return append_rows(table, staged)

@@ -93,28 +93,34 @@ def missing_relations(records: DataFrame, children: dict[str, DataFrame], key: s
     for i, child in enumerate(children.values()):
         present = child.select(key).where(F.col(key).isNotNull()).distinct().withColumn(f"_has{i}", F.lit(True))
         flagged = flagged.join(present, key, "left")
-    counts = {f"Records missing {name}": F.count_if(F.col(f"_has{i}").isNull())
+    counts = {f"without {name}": F.count_if(F.col(f"_has{i}").isNull())
               for i, name in enumerate(children)}
-    return labelled_counts(flagged, counts, "missing_relationship_type")
+    return labelled_counts(flagged, counts, "absent_relation")
 
 
 def county_reconcile(leases: DataFrame, records: DataFrame, log: DataFrame, crosswalk: DataFrame,
                      record_county_key: str = "tgt_county_id") -> DataFrame:
     """Counties in which source and migrated lease counts differ.
 
-    Both sides are counted per county on their own and joined as counts.
-    `records` are those of the batch; `record_county_key` is the crosswalk
-    column that their county id refers to.
+    `records` are those of the batch; `record_county_key` is the crosswalk column that their county id refers to.
+    Both sides are counted per record county on their own (several source counties may share one) and joined as
+    counts from both ends, so a county that only one side has is reported too.  Leases whose county the crosswalk
+    does not know form one row without a county.
     """
-    from_source = leases.groupBy(F.col("county_id").alias("src_county_id")).agg(
+    names = (crosswalk.where(F.col(record_county_key).isNotNull()).groupBy(record_county_key)
+             .agg(F.min("county_name").alias("county_name"), F.min_by("state_id", "county_name").alias("state_id")))
+    known = crosswalk.select(F.col("src_county_id").alias("county_id"), F.col(record_county_key).alias("_place")).distinct()
+    from_source = leases.join(known, "county_id", "left").groupBy("_place").agg(
         F.count_distinct("lease_id").alias("source_leases"))
-    migrated = (records.select("record_id", F.col("county_id").alias(record_county_key))
+    migrated = (records.select("record_id", F.col("county_id").alias("_at"))
                 .join(log.where("lease_id is not null").select("record_id", "lease_id"), "record_id")
-                .groupBy(record_county_key).agg(F.count_distinct("lease_id").alias("target_leases")))
-    names = crosswalk.select(*dict.fromkeys(["src_county_id", record_county_key]), "county_name", "state_id")
-    both = (from_source.join(names, "src_county_id", "left")
-            .join(migrated, record_county_key, "left")
-            .withColumn("target_leases", F.coalesce("target_leases", F.lit(0).cast("bigint")))
+                .groupBy("_at").agg(F.count_distinct("lease_id").alias("target_leases")))
+    nothing = F.lit(0).cast("bigint")
+    both = (from_source.join(migrated, F.col("_place") == F.col("_at"), "full")
+            .withColumn(record_county_key, F.coalesce("_place", "_at"))
+            .join(names, record_county_key, "left")
+            .withColumn("source_leases", F.coalesce("source_leases", nothing))
+            .withColumn("target_leases", F.coalesce("target_leases", nothing))
             .withColumn("difference", F.col("source_leases") - F.col("target_leases")))
     return (both.where("difference != 0")
             .select("county_name", "state_id", "source_leases", "target_leases", "difference")
@@ -265,3 +271,13 @@ def batch_audit(records: DataFrame, log: DataFrame, tag: str, day: str, other_ta
     found = F.array(*[F.when(test, F.lit(label)) for label, test in labels.items()])
     return (joined.select("record_id", "lease_id", "batch_tag", F.explode(found).alias("audit"))
             .where("audit is not null"))
+
+
+def day_counts(records: DataFrame, log: DataFrame, day: str, received: str = "received_ts", modified: str = "modified_ts",
+               ) -> DataFrame:
+    """How many records were received, and how many log rows modified, on a day: one aggregate over both tables."""
+    events = records.select(F.lit(True).alias("_received"), F.col(received).alias("_at")).unionByName(
+        log.select(F.lit(False).alias("_received"), F.col(modified).alias("_at")))
+    hits = events.where(on_day(F.col("_at"), day))
+    return labelled_counts(hits, {"records received": F.count_if("_received"),
+                                  "log rows modified": F.count_if(~F.col("_received"))}, "measure")

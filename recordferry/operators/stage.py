@@ -168,7 +168,7 @@ LOG_RULES = [
 
 
 def apply_rules(candidates: DataFrame, rules, run: Run) -> DataFrame:
-    """One select; values that do not fit the target type become NULL."""
+    """One select; values that do not fit the target type become NULL and are listed by `narrowing_losses`."""
     return candidates.select(*[rule(run).try_cast(kind).alias(name) for name, kind, rule in rules])
 
 
@@ -181,17 +181,23 @@ def stage_log(candidates: DataFrame, run: Run) -> DataFrame:
 
 
 def narrowing_losses(candidates: DataFrame, run: Run) -> DataFrame:
-    """Candidates with a value that staging had to drop because it did not fit."""
-    lost = F.lit(False)
-    for name, kind, rule in RECORD_RULES:
-        value = rule(run)
-        if kind in ("decimal(5,4)", "int"):
-            lost = lost | (value.isNotNull() & value.try_cast(kind).isNull())
-    return candidates.where(lost).select("lease_id", "generated_record_id")
-
-
-def register_status(statuses: DataFrame, status_id: int, data_entry: str,
-                    unused: str = "not currently in use") -> DataFrame:
+    """Every value that staging drops because it does not fit its column: one row per lease, table and column.
+
+    All rules of both tables are tested, whatever the type; no shuffle.
+    """
+    losses = []
+    for table, rules in (("records", RECORD_RULES), ("export_log", LOG_RULES)):
+        for name, kind, rule in rules:
+            value = rule(run)
+            gone = value.isNotNull() & value.try_cast(kind).isNull()
+            losses.append(F.when(gone, F.struct(F.lit(table).alias("table_name"), F.lit(name).alias("column_name"),
+                                                value.cast("string").alias("value"))))
+    each = candidates.select("lease_id", F.col("generated_record_id").alias("record_id"),
+                             F.explode(F.array_compact(F.array(*losses))).alias("loss"))
+    return each.select("lease_id", "record_id", "loss.*")
+
+
+def register_status(statuses: DataFrame, status_id: int, data_entry: str, unused: str) -> DataFrame:
     """The status table with a new code, unless the code is there already."""
     row = statuses.sparkSession.range(1).select(
         F.lit(status_id).alias("status_id"),

@@ -51,9 +51,9 @@ _per_record = """where p.target_record_id not in (select record_id from export_l
 
 
 def report(status: str) -> str:
-    return f"""select p.*, 'Record Number Match' as match_condition from ({_exact}) p {status}
-union all select p.*, 'Partial String Match' from ({_partial}) p {status}
-union all select p.*, 'Source Only - No Target Match' from ({_source_only}) p"""
+    return f"""select p.*, 'equal number' as match_condition from ({_exact}) p {status}
+union all select p.*, 'contained number' from ({_partial}) p {status}
+union all select p.*, 'no target record' from ({_source_only}) p"""
 
 
 def _case_map(column: str, pairs: str) -> str:
@@ -270,14 +270,14 @@ def imaging(body: str, *more: str) -> str:
     return oracle_with(*IMAGE_VIEWS, *more) + f", {RESOLVED}\n{body}"
 
 
-def copy_plan(done: str) -> str:
+def copy_plan(done: str, body: str = "select * from plan", *more: str) -> str:
     target = r"""state_county || '/' || substr(record_id, 1, 4) || '/' || record_id ||
  regexp_extract(source_path, '(\.[^./]+)$', 1)"""
-    return imaging(f"""select source_path as source_key, {target} as destination_key, record_id as "recordID",
+    return imaging(f""", plan as (select source_path as source_key, {target} as destination_key, record_id as "recordID",
  's3://plant-images/' || {target} as "s3FilePath", page_count as "pageCount", file_size as "fileSizeBytes",
- '2025-07-17 00:00:00.000' as "_ModifiedDateTime", 'migration' as "_ModifiedBy", 'copied' as status
- from resolved where status = 'processed' and record_id not in (select record_id from image_registry {done})""",
-                   "image_registry")
+ '2025-07-17 00:00:00.000' as "_ModifiedDateTime", 'migration' as "_ModifiedBy", 'planned' as status
+ from resolved where status = 'processed' and record_id not in (select record_id from image_registry {done})) {body}""",
+                   "image_registry", *more)
 
 
 LOG_FILL = f"""cand1 as (select distinct {PAIR},
@@ -367,7 +367,7 @@ select record_id, case when hit then new_lease else lease_id end as lease_id,
     "status_row": oracle_with("tgt_record") + """select distinct status_id, 'in use' as data_entry_description,
  cast(null as varchar) as staple_description, cast(null as varchar) as incoming_inspection_description,
  cast(null as varchar) as assignment_description from tgt_record
- union all select 91, 'Leases mapped from source', null, 'not currently in use', 'not currently in use'""",
+ union all select 91, 'Leases mapped from source', null, 'unused', 'unused'""",
     "map_term": oracle_with("src_lease") + f"select lease_id, term_months, {TERM} as term_years from src_lease",
     "map_instrument": oracle_with("src_lease") +
     f"select lease_id, {_case_map('instrument', INSTRUMENTS)} as instrument_type from src_lease",
@@ -409,6 +409,10 @@ from x_lot""",
     "image_resolve_prefix": oracle_with(*IMAGE_VIEWS) + f", {resolved(FIRST_BY_PREFIX)} select * from resolved",
     "image_copy_plan": copy_plan("where status = 'copied'"),
     "image_copy_plan_reference": copy_plan(""),
+    "image_copy_outcome": copy_plan("where status = 'copied'", """select p.* replace (
+ case when c.ok is null then p._ModifiedDateTime else '2025-07-18 01:02:03.000' end as "_ModifiedDateTime",
+ case when c.ok then 'copied' when not c.ok then 'error' else p.status end as status) from plan p left join
+ (select record_id, bool_or(http_status = 200) as ok from copy_call group by 1) c on c.record_id = p."recordID\"""", "copy_call"),
     "image_delete_plan": imaging("""select r.record_id as "recordID", r.lease_id as leaseid,
  r.destination_path as "s3FilePath", substr(r.destination_path, 19) as object_key,
  case when o.http_status = 204 then '2025-07-17 00:00:00.000' end as "_ModifiedDateTime",
@@ -427,7 +431,68 @@ from x_lot""",
     "status_move": oracle_with("tgt_record", "export_log") + f"""select * replace ({text('keyed_ts')} as keyed_ts,
  case when {MOVED.format(630)} then 4 else status_id end as status_id) from tgt_record""",
     "status_preview": oracle_with("tgt_record", "export_log") +
+    f"select {RECORD_TEXT} from tgt_record where {MOVED.format(630)}",
+    "status_preview_hours": oracle_with("tgt_record", "export_log") +
     f"select {RECORD_TEXT} from tgt_record where {MOVED.format(600)}",
+    "retype_columns": oracle_with("src_lease") + """select cast(lease_id as varchar) as lease_id,
+ cast(county_id as bigint) as county_id, pg from src_lease""",
+    "csv_roundtrip_hard": oracle_with("hard_text") + """select land_description_id,
+ case when rtrim(hard, ' ') <> '' then hard end as hard from hard_text""",
+    "normalize_target_types": oracle_with("tgt_record", "county_xwalk") + f"""select r.record_id, r.record_number,
+ strftime(r.file_date, '%Y-%m-%d') as file_date, {INT.format('volume')} as volume, {INT.format('page')} as page,
+ x.county_name, r.county_id from tgt_record r join county_xwalk x on x.src_county_id = r.county_id
+ where outsource_id % 3 = 0""",
+    "extra_files": oracle_with(*FULL_VIEWS) + f""", {FULL} select f.lease_id, s.generated_record_id as record_id, f.path,
+ f.filename from (select *, row_number() over (partition by lease_id order by filename, path) as place from lease_file
+ where filename is not null) f left join full_src s on s.lease_id = f.lease_id where place > 1""",
+    "digits_key_cut": oracle_with("tgt_record") + r"""select record_id,
+ nullif(try_cast(regexp_replace(repeat(record_number, 6) || '-7', '[A-Za-z -]', '', 'g') as bigint), 0) as digits_number,
+ substr(regexp_replace(repeat(record_number, 6) || '-7', '[A-Za-z -]', '', 'g'), 1, 30) as digits_text from tgt_record""",
+    "match_key_report": matching(""", a as (select county_name, file_date as day, record_number as k, count(*) as records
+ from tgt where record_number is not null group by all), z as (select county_name, record_date as day,
+ lower(record_number) as k, count(*) as leases from src where record_number is not null group by all)
+select strftime(a.day, '%Y-%m-%d') as day, lower(a.county_name) as county_key, z.k as source_key, a.k as target_key, leases,
+ records, case when a.k = z.k then 'equal number' when leases = 1 then 'contained number' end as match_condition
+ from a join z on a.day = z.day and a.county_name = z.county_name and (a.k = z.k or (length(a.k) <> length(z.k)
+ and length(a.k) >= 5 and length(z.k) >= 5 and (instr(a.k, z.k) > 0 or instr(z.k, a.k) > 0)))"""),
+    "log_fill_full_log": matching(f""", {LOG_FILL}, pick as (select target_record_id, min(source_lease_id) as new_lease
+ from cand1 group by 1), flagged as (select l.*, p.new_lease, p.new_lease is not null and l.lease_id is null
+ and l.created_by is null and l.modified_by is null as hit from full_log l
+ left join pick p on p.target_record_id = l.record_id)
+select * exclude (new_lease, hit) replace (case when hit then new_lease else lease_id end as lease_id,
+ case when hit then 'BATCH(1)' else zip_name end as zip_name, case when hit then 'BATCH(1)' else created_by end as created_by,
+ {text('"exportDate"')} as "exportDate", {text('"_CreatedDateTime"')} as "_CreatedDateTime",
+ case when hit then {TS} else {text('modified_ts')} end as modified_ts,
+ case when hit then 'BATCH(1)' else modified_by end as modified_by) from flagged""", "full_log"),
+    "narrowing_losses": candidates("""select lease_id, generated_record_id as record_id, 'records' as table_name,
+ 'RoyaltyAmount' as column_name, '12.500000' as value from cand where lease_id % 50 = 0
+ union all select lease_id, generated_record_id, 'records', 'ExtensionBonus', '9000000000000' from cand where lease_id % 60 = 1"""),
+    "orphans_parties": PARTIES + """select "recordID" as missing_record_id, count(*) as entries from party
+ where "recordID" not in (select record_id from tgt_record where outsource_id < 25) group by 1""",
+    "orphans_prior_refs": PRIOR_REFS + """select "recordID" as missing_record_id, count(*) as entries from prior
+ where "recordID" not in (select record_id from tgt_record where outsource_id < 25) group by 1""",
+    "county_reconcile_shared": oracle_with(*MATCH_VIEWS, "shared_xwalk") + """, a as (select x.tgt_county_id as id,
+ count(distinct lease_id) as n from src_lease l left join shared_xwalk x on x.src_county_id = l.county_id group by 1),
+ b as (select case when outsource_id = 29 then 2999 else 2000 + r.county_id % 10 end as id, count(distinct e.lease_id) as n
+ from tgt_record r join export_log e on e.record_id = r.record_id where r.remarks = 'BATCH(2)' and e.lease_id is not null group by 1),
+ x as (select tgt_county_id as id, min(county_name) as county_name, arg_min(state_id, county_name) as state_id
+ from shared_xwalk where tgt_county_id is not null group by 1)
+select county_name, state_id, coalesce(a.n, 0) as source_leases, coalesce(b.n, 0) as target_leases,
+ coalesce(a.n, 0) - coalesce(b.n, 0) as difference from a full join b on b.id = a.id
+ left join x on x.id = coalesce(a.id, b.id) where coalesce(a.n, 0) <> coalesce(b.n, 0)""",
+    "name_coverage_partial": PARTIES + """select min("gName") as "gName", count(*) as occurrences from party
+ where lower("gName") not in (select lower(name) from grantor where grantor_id % 3 <> 0
+ union all select lower(name) from grantee where grantee_id % 3 <> 0) group by lower("gName")""",
+    "instrument_volume": oracle_with("src_lease") +
+    f"select {_case_map('instrument', INSTRUMENTS)} as instrument_type, count(*) as occurrences from src_lease group by 1",
+    "day_counts": oracle_with("tgt_record", "full_log") + """select 'records received' as measure, count(*) as record_count
+ from tgt_record where cast(keyed_ts as date) = date '1997-03-05' union all select 'log rows modified', count(*)
+ from full_log where cast(modified_ts as date) = date '1997-03-05'""",
+    "log_fill_conflicts_shared": matching(""", twin as (select * from src union all select * replace (lease_id + 1000000000 as lease_id)
+ from src where lease_id % 2 = 0), hits as (select distinct t.record_id, s.lease_id from export_log e
+ join tgt t on t.record_id = e.record_id join twin s on """ + EXACT + """ where e.lease_id is null)
+select record_id as target_record_id, count(*) as candidates from hits group by 1 having count(*) > 1"""),
+    "dup_keys_images": imaging("""select lease_id, cast(2 as bigint) as copies from resolved where page_count = 3"""),
     "promote_table": oracle_with("tgt_record") + "select count(*) as source_rows, count(*) as promoted_rows from tgt_record",
     "append_load": oracle_with("tgt_record", "export_log") + """select * from export_log
  union all select record_id, null, remarks from tgt_record""",
@@ -450,10 +515,10 @@ from x_lot""",
     "missing_relations": oracle_with(*PARTY_VIEWS, "land_desc", "lease_deed") + f""", {BATCH},
  party as ({party('grantor')} union {party('grantee')}), {PRIOR},
  leases as (select record_id from tgt_record where remarks = 'BATCH(2)' and record_is_lease = 1) """ + violations({
-        f"Records missing {name}": count_if(f"record_id not in (select {c} from {t})") for name, c, t in (
+        f"without {name}": count_if(f"record_id not in (select {c} from {t})") for name, c, t in (
             ("land descriptions", "record_id", "land_desc"), ("grantor/grantee entries", '"recordID"', "party"),
             ("volume/page references", '"recordID"', "prior"), ("export log", "record_id", "export_log"))},
-        "leases", "missing_relationship_type", "record_count"),
+        "leases", "absent_relation", "record_count"),
     "county_reconcile": oracle_with(*MATCH_VIEWS) + """, a as (select county_id, count(distinct lease_id) as n
  from src_lease group by 1), b as (select r.county_id, count(distinct e.lease_id) as n from tgt_record r
  join export_log e on e.record_id = r.record_id where r.remarks = 'BATCH(2)' group by 1)

@@ -18,6 +18,7 @@ from recordferry.operators import changes, images, land, match, normalize, quali
 from recordferry.operators import parties as people
 from recordferry.operators import prior_refs as prior
 from recordferry.operators.stage import Run
+from recordferry.session import configure
 from recordferry.sources import sinks, tables
 from recordferry.sources.bindings import Bindings
 
@@ -115,6 +116,26 @@ def normalize_source_per_file(b):
     return plain(normalize.render_dates(full_source(b, "reference"), "record_date"))
 
 
+@query
+def normalize_target_types(b):
+    kind = F.when(F.col("outsource_id") % 3 == 0, "OGL").when(F.col("outsource_id") % 3 == 1, "ASN")
+    only = normalize.TargetFilter(instrument_types=("OGL", "MOGL"))
+    sliced = normalize.normalize_target(b.tgt_record.withColumn("instrument_type_id", kind), counties(b), only=only)
+    return normalize.render_dates(sliced, "file_date")
+
+
+@query
+def extra_files(b):
+    return normalize.extra_files(full_source(b), b.lease_file, SHARE)
+
+
+@query
+def digits_key_cut(b):
+    long = F.concat(F.repeat("record_number", 6), F.lit("-7"))
+    return normalize.digits_slice(b.tgt_record.select("record_id", long.alias("record_number")), "reference").select(
+        "record_id", "digits_number", "digits_text")
+
+
 @query
 def lease_file_chain(b):
     mappings = b.document_mapping.select("lease_id", F.col("mapping_id").alias("document_id"))
@@ -180,6 +201,11 @@ def match_report_per_log_row(b):
     return match.match_report(target_slice(b), source_slice(b), b.export_log, mode="reference")
 
 
+@query
+def match_key_report(b):
+    return normalize.render_dates(match.key_report(target_slice(b), source_slice(b)), "day")
+
+
 @query
 def match_union_distinct(b):
     return match.match_distinct(target_slice(b), source_slice(b), b.export_log)
@@ -209,6 +235,22 @@ def log_fill_apply(b):
     return plain(changes.fill_log_leases(b.stamped_log, choices, "BATCH(1)", RUN.at))
 
 
+@query
+def log_fill_full_log(b):
+    choices = match.log_fill_choices(b.export_log, target_slice(b), source_slice(b))
+    return plain(changes.fill_log_leases(b.full_log, choices, "BATCH(1)", RUN.at))
+
+
+@query
+def narrowing_losses(b):
+    lease = F.col("lease_id")
+    wide = candidates(b, "reference").withColumns({
+        "royalty": F.when(lease % 50 == 0, F.lit(12.5)).otherwise(F.lit(0.125)).cast("decimal(9,6)"),
+        "extension_bonus": F.when(lease % 60 == 1, F.lit(9_000_000_000_000)).otherwise(F.lit(5)),
+        "county_name": F.lit("kept")})
+    return stage.narrowing_losses(wide, RUN)
+
+
 @query
 def stage_candidates(b):
     return candidates(b).select("lease_id", "generated_record_id", "county_id", "tgt_county_id")
@@ -233,7 +275,7 @@ def stage_log(b):
 def status_row(b):
     statuses = b.tgt_record.select("status_id").distinct()
     known = statuses.withColumn("data_entry_description", F.lit("in use"))
-    return stage.register_status(known, 91, "Leases mapped from source")
+    return stage.register_status(known, 91, "Leases mapped from source", "unused")
 
 
 @query
@@ -331,7 +373,7 @@ def parties(b):
 def parties_load(b):
     staged = staged_parties(b)
     present = staged.where("recordType = 'grantee'").withColumn("note", F.lit("keyed by hand"))
-    return plain(people.append_parties(present, staged))
+    return plain(changes.append_rows(present, staged))
 
 
 @query
@@ -342,7 +384,7 @@ def prior_refs(b):
 @query
 def prior_refs_load(b):
     staged = staged_prior_refs(b)
-    return plain(prior.append_prior_refs(staged.where("drVolume is null"), staged))
+    return plain(changes.append_rows(staged.where("drVolume is null"), staged))
 
 
 # ---- images -------------------------------------------------------------------------------
@@ -373,6 +415,12 @@ def image_copy_plan_reference(b):
     return images.copy_plan(resolved_images(b), b.image_registry, BUCKET, RUN, "reference")
 
 
+@query
+def image_copy_outcome(b):
+    return images.copy_outcome(images.copy_plan(resolved_images(b), b.image_registry, BUCKET, RUN), b.copy_call,
+                               Run("2025-07-18 01:02:03", RUN.tag, RUN.user))
+
+
 @query
 def image_delete_plan(b):
     bare = F.regexp_replace("destination_path", "^s3://", "")
@@ -413,23 +461,33 @@ def status_move(b):
 
 @query
 def status_preview(b):
+    """The rows that `status_move` moves: same shift."""
+    return plain(changes.rekeyed(b.tgt_record, b.export_log, "BATCH", "1997-07-01", (24, 25)))
+
+
+@query
+def status_preview_hours(b):
+    """The preview with the whole-hour shift."""
     return plain(changes.rekeyed(b.tgt_record, b.export_log, "BATCH", "1997-07-01", (24, 25), offset_minutes=600))
 
 
+@query
+def retype_columns(b):
+    return changes.retype(b.src_lease.select("lease_id", "county_id", "pg"), lease_id="string", county_id="bigint")
+
+
 @query
 def promote_table(b):
     folder = sinks.shared_folder(b.spark)
-    sinks.write_table(b.tgt_record, f"{folder}/work")
-    return sinks.promote_table(b.spark, f"{folder}/work", f"{folder}/live")
+    return sinks.promote_table(b.spark, sinks.write_table(b.tgt_record, f"{folder}/work"), f"{folder}/live")
 
 
 @query
 def append_load(b):
     folder = sinks.shared_folder(b.spark)
-    sinks.write_table(b.export_log, f"{folder}/log", unique=None)
-    sinks.append_table(b.tgt_record.withColumn("batch_tag", F.col("remarks")), f"{folder}/log",
-                       ["record_id", "batch_tag"])
-    return b.spark.read.parquet(f"{folder}/log")
+    log = sinks.write_table(b.export_log, f"{folder}/log")
+    sinks.append_table(b.tgt_record.withColumn("batch_tag", F.col("remarks")), log, ["record_id", "batch_tag"])
+    return b.spark.read.parquet(log)
 
 
 @query
@@ -440,6 +498,13 @@ def csv_roundtrip(b):
     return tables.csv_table(b.spark, f"{folder}/legal_csv", rows.schema.simpleString()[7:-1].replace(":", " "))
 
 
+@query
+def csv_roundtrip_hard(b):
+    folder = sinks.shared_folder(b.spark)
+    sinks.write_csv(b.hard_text, f"{folder}/hard_csv")
+    return tables.csv_table(b.spark, f"{folder}/hard_csv", "land_description_id string, hard string")
+
+
 @query
 def profile_csv(b):
     folder = sinks.shared_folder(b.spark)
@@ -476,6 +541,18 @@ def orphans(b):
     return quality.orphans(b.land_desc, b.tgt_record)
 
 
+@query
+def orphans_parties(b):
+    parties = staged_parties(b).select(F.col("recordID").alias("record_id"))
+    return quality.orphans(parties, b.tgt_record.where("outsource_id < 25"))
+
+
+@query
+def orphans_prior_refs(b):
+    refs = staged_prior_refs(b).select(F.col("recordID").alias("record_id"))
+    return quality.orphans(refs, b.tgt_record.where("outsource_id < 25"))
+
+
 @query
 def missing_relations(b):
     records = batch(b).where("record_is_lease = 1")
@@ -491,6 +568,13 @@ def county_reconcile(b):
     return quality.county_reconcile(b.src_lease, batch(b), b.export_log, b.county_xwalk, "src_county_id")
 
 
+@query
+def county_reconcile_shared(b):
+    """Target county ids, several source counties to one, and a county that only the target has."""
+    at = F.when(F.col("outsource_id") == 29, 2999).otherwise(2000 + F.col("county_id") % 10)
+    return quality.county_reconcile(b.src_lease, batch(b).withColumn("county_id", at), b.export_log, b.shared_xwalk)
+
+
 @query
 def county_reconcile_global(b):
     return quality.county_reconcile_global(b.src_lease, batch(b), b.export_log, b.county_xwalk)
@@ -500,7 +584,10 @@ def county_reconcile_global(b):
 def funnel(b):
     log = b.export_log.withColumn("logged", F.lit(True))
     deeds = b.lease_deed.withColumn("leased", F.lit(True))
-    joined = b.tgt_record.join(log, "record_id", "left").join(deeds, "lease_id", "left")
+    # Most records have no lease: those rows would all meet in one task, so they stay out of the second join.
+    logged = b.tgt_record.join(log, "record_id", "left")
+    leased = logged.where("lease_id is not null").join(deeds, "lease_id", "left")
+    joined = leased.unionByName(logged.where("lease_id is null"), allowMissingColumns=True)
     return quality.funnel(joined, {
         "batch records": F.col("remarks") == "BATCH(2)",
         "with log row": F.col("logged"),
@@ -513,6 +600,22 @@ def name_coverage(b):
     return quality.name_coverage(staged_parties(b), b.grantor, b.grantee)
 
 
+@query
+def name_coverage_partial(b):
+    """Against lists that lack a third of the people."""
+    return quality.name_coverage(staged_parties(b), b.grantor.where("grantor_id % 3 <> 0"), b.grantee.where("grantee_id % 3 <> 0"))
+
+
+@query
+def instrument_volume(b):
+    return quality.group_frequency(b.src_lease.select(R.instrument_code(F.col("instrument")).alias("instrument_type")), "instrument_type")
+
+
+@query
+def day_counts(b):
+    return quality.day_counts(b.tgt_record, b.full_log, "1997-03-05", received="keyed_ts")
+
+
 @query
 def name_coverage_grantors(b):
     return quality.name_coverage(staged_parties(b), b.grantor)
@@ -648,6 +751,21 @@ def log_fill_conflicts(b):
     return choices.where("candidates > 1").select("target_record_id", "candidates")
 
 
+@query
+def log_fill_conflicts_shared(b):
+    """Where two leases share each number of the even leases."""
+    source = source_slice(b)
+    twins = source.where("lease_id % 2 = 0").withColumn("lease_id", F.col("lease_id") + 1_000_000_000)
+    choices = match.log_fill_choices(b.export_log, target_slice(b), source.unionByName(twins))
+    return choices.where("candidates > 1").select("target_record_id", "candidates")
+
+
+@query
+def dup_keys_images(b):
+    results = resolved_images(b)
+    return changes.duplicate_keys(results.unionByName(results.where("page_count = 3")), ["lease_id"])
+
+
 @query
 def top_n(b):
     joined = b.tgt_record.join(b.export_log.where(F.col("batch_tag").ilike("%legacy%")), "record_id")
@@ -664,6 +782,6 @@ def both_sides(b):
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     def bound(fn):
-        return lambda spark, sf_dir: fn(Bindings(spark, sf_dir))
+        return lambda spark, sf_dir: fn(Bindings(configure(spark), sf_dir))
 
     return {name: bound(fn) for name, fn in QUERIES.items()}

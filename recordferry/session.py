@@ -18,6 +18,14 @@ SETTINGS = {
 }
 
 
+def configure(spark: SparkSession) -> SparkSession:
+    """Put the settings into a caller's session; all of them may be changed while it runs."""
+    for key, value in SETTINGS.items():
+        if spark.conf.get(key, None) != value:
+            spark.conf.set(key, value)
+    return spark
+
+
 def local_session(cores: str = "8", **extra: str) -> SparkSession:
     builder = (SparkSession.builder.master(f"local[{cores}]").appName("recordferry")
                .config("spark.ui.enabled", "false").config("spark.driver.memory", "8g")

@@ -133,6 +133,28 @@ select record_id, lease_id, batch_tag as zip_name,
     "image_registry": """
 select record_id, case when outsource_id < 5 then 'error' else 'copied' end as status
 from tgt_record where remarks = 'BATCH(2)' and outsource_id < 15""",
+    # The log with all its columns; some rows were modified by a later pass.
+    "full_log": """
+select record_id, lease_id, cast('2025-01-02 03:04:05' as timestamp) as exportDate,
+  cast(length(zip_name) as int) as sentToAudit, zip_name, 0 as zipCopied,
+  case when lease_id is null then 0 else 1 end as imageCopied, cast('2025-01-01 00:00:00' as timestamp) as _CreatedDateTime,
+  created_by, case when lease_id % 4 = 1 then cast('1997-03-05 07:08:09' as timestamp) else null end as modified_ts,
+  modified_by, cast(3 as int) as CountOfLastAttempt from stamped_log""",
+    # A crosswalk in which several source counties share one target county.
+    "shared_xwalk": """
+select src_county_id, case when tgt_county_id is null then null else 2000 + src_county_id % 10 end as tgt_county_id,
+  county_name, state_id from county_xwalk""",
+    # Texts that CSV finds hard.
+    "hard_text": """
+select land_description_id, case length(coalesce(brief_legal, '')) % 7
+  when 0 then brief_legal || chr(10) || 'second line' when 1 then '  ' || brief_legal || '  '
+  when 2 then 'say "' || brief_legal || '", twice' when 3 then brief_legal || chr(92)
+  when 4 then chr(13) || chr(92) || 'n' || brief_legal || chr(92) || chr(92) || '"' when 5 then chr(9) || brief_legal || ',,'
+  else brief_legal end as hard from land_desc""",
+    # Outcome of each copy call; some calls were not made.
+    "copy_call": """
+select record_id, case when lease_id % 7 = 0 then 500 else 200 end as http_status
+from image_work where lease_id % 5 <> 0""",
     # Outcome of each delete call.
     "delete_outcome": """
 select record_id, case when package_id is null then 500 else 204 end as http_status

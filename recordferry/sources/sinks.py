@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from recordferry.operators.changes import duplicate_keys
-from recordferry.sources.tables import CSV_OPTIONS
+from recordferry.sources.tables import CSV_OPTIONS, encode_lines
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -32,14 +32,14 @@ def shared_folder(spark: SparkSession) -> str:
     return tempfile.mkdtemp(prefix="recordferry-")
 
 
-def staged(df: DataFrame) -> DataFrame:
-    """Materialize a frame that several jobs read, in the shared folder.
+def staged(df: DataFrame, folder: str) -> DataFrame:
+    """Materialize a frame that several jobs read, in `folder`, which the flow that made it removes at its end.
 
     A written table survives the loss of executors; an unmaterialized slice
     would be computed once per reader.
     """
     spark = df.sparkSession
-    path = f"{shared_folder(spark)}/staged"
+    path = f"{folder}/{uuid.uuid4().hex}"
     df.write.mode("errorifexists").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
@@ -55,25 +55,35 @@ def fitted(df: DataFrame, schema: T.StructType) -> DataFrame:
 
 def check(table: DataFrame, required: list[str], unique: list[str] | None = None) -> None:
     """Raise unless the required columns are filled and the key is unique."""
-    for name in required:
-        if not table.where(F.col(name).isNull()).isEmpty():
-            raise PySparkValueError(f"NULL in the required column {name}")
+    if required:
+        nulls = table.agg(*[F.count_if(F.col(name).isNull()).alias(name) for name in required]).first()
+        broken = [name for name in required if nulls[name]]
+        if broken:
+            raise PySparkValueError(f"NULL in the required columns {broken}")
     if unique and not duplicate_keys(table, unique).isEmpty():
         raise PySparkValueError(f"{unique} is not unique")
 
 
 def write_table(df: DataFrame, path: str, schema: T.StructType | None = None, unique: list[str] | None = None,
-                partition_by: tuple[str, ...] = ()) -> None:
-    """Create or replace a table at `path`, then check it.
+                partition_by: tuple[str, ...] = ()) -> str:
+    """Write a new version of the table `path`, check it, and return the folder to read it from.
 
-    NOT NULL and uniqueness are tested on the written table, so the job behind
-    `df` runs once; if a test fails, do not point readers at the path.
+    NOT NULL and uniqueness are tested on the written version, so the job behind `df` runs once.  Earlier versions
+    are left alone: if a test fails, this raises, and whoever reads the version before goes on reading it.
     """
     out = df if schema is None else fitted(df, schema)
-    out.write.mode("overwrite").partitionBy(*partition_by).parquet(path)
+    version = f"{path.rstrip('/')}/version={uuid.uuid4().hex}"
+    out.write.mode("errorifexists").partitionBy(*partition_by).parquet(version)
     required = [] if schema is None else [f.name for f in schema.fields if not f.nullable]
     if required or unique:
-        check(df.sparkSession.read.parquet(path), required, unique)
+        check(df.sparkSession.read.parquet(version), required, unique)
+    return version
+
+
+def remove_folder(spark: SparkSession, path: str) -> None:
+    """Remove what a flow wrote for its own use, through the file system that the path names."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(place, True)
 
 
 def append_table(df: DataFrame, path: str, columns: list[str]) -> None:
@@ -97,7 +107,10 @@ def promote_table(spark: SparkSession, source_path: str, target_path: str) -> Da
 
 
 def write_csv(df: DataFrame, path: str) -> None:
-    df.write.mode("overwrite").options(**CSV_OPTIONS).csv(path)
+    """CSV of one line per row: characters that break lines are coded (`tables.LINE_CODES`), outer blanks are kept."""
+    coded = df.withColumns({f.name: encode_lines(F.col(f.name)) for f in df.schema.fields
+                            if isinstance(f.dataType, T.StringType)})
+    coded.write.mode("overwrite").options(**CSV_OPTIONS, quoteAll="true").csv(path)
 
 
 # ---- fixed values: declared staging tables -----------------------------------------

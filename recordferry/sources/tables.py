@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -36,27 +36,61 @@ def fixed_width_text(df: DataFrame) -> DataFrame:
 PARSED_LEGAL_SCHEMA = ("landDescriptionID string, Survey string, Subdivision string, Lot string, Block string, "
                        "Section string, Township string, Range string, Quartercall string, NewCityBlock string")
 # ------------------------------------------------------------------------------------
-CSV_OPTIONS = {"header": "true", "sep": ",", "quote": '"', "escape": "\\", "multiLine": "false"}
+CSV_OPTIONS = {"header": "true", "sep": ",", "quote": '"', "escape": "\\", "multiLine": "false",
+               "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
+# How `sinks.write_csv` writes characters that would break a line, so that a row is one line and files stay splittable.
+LINE_CODES = (("\\", "\\\\"), ("\n", "\\n"), ("\r", "\\r"), ("\0", "\\0"))
 
 
-def csv_table(spark: SparkSession, path: str, schema: str, multi_line: bool = False) -> DataFrame:
-    """CSV with backslash escapes and an explicit schema; blanks become NULL.
+def encode_lines(text: Column) -> Column:
+    for plain, code in LINE_CODES:
+        text = F.replace(text, F.lit(plain), F.lit(code))
+    return text
 
-    `multi_line` accepts line breaks inside quotes, but then a file is one task.
+
+def decode_lines(text: Column) -> Column:
+    """Inverse of `encode_lines`; encoded text holds no NUL, so NUL may stand for a backslash meanwhile."""
+    text = F.replace(text, F.lit("\\\\"), F.lit("\0"))
+    for plain, code in LINE_CODES[1:3]:
+        text = F.replace(text, F.lit(code), F.lit(plain))
+    # A coded NUL is still backslash and 0 here; it must outlive the step that frees the stand-in.
+    parts = F.transform(F.split(text, r"\\0", -1), lambda p: F.replace(p, F.lit("\0"), F.lit("\\")))
+    return F.array_join(parts, "\0")
+
+
+def csv_table(spark: SparkSession, path: str, schema: str, multi_line: bool = False, encoded: bool = True) -> DataFrame:
+    """CSV with backslash escapes and an explicit schema; blanks become NULL, outer blanks stay.
+
+    A line that does not fit the schema stops the job.  `encoded` reads files of `sinks.write_csv`; foreign files are
+    read with `encoded=False`, and with `multi_line` if they break lines inside quotes, but then a file is one task.
     """
-    options = {**CSV_OPTIONS, "multiLine": str(multi_line).lower()}
+    options = {**CSV_OPTIONS, "multiLine": str(multi_line).lower(), "mode": "FAILFAST"}
     df = spark.read.options(**options).schema(schema).csv(path)
-    return df.withColumns({f.name: blank_to_null(F.col(f.name)) for f in df.schema.fields
+    decode = decode_lines if encoded else (lambda c: c)
+    return df.withColumns({f.name: blank_to_null(decode(F.col(f.name))) for f in df.schema.fields
                            if isinstance(f.dataType, T.StringType)})
 
 
 def object_listing(spark: SparkSession, root: str, glob: str = "*") -> DataFrame:
-    """Keys and sizes of stored files; the contents are not read.
+    """Keys and sizes of stored files under `root`; the contents are not read.
 
-    Page counts are not in a listing: join them from a catalogue, or add them
-    with `images.map_rows`.
+    For small roots: the file index lists all objects on the driver first.  For large ones read an inventory that the
+    store writes itself (`object_inventory`).  Page counts are not in a listing: join them from a catalogue, or add
+    them with `images.map_rows`.
     """
     listed = (spark.read.format("binaryFile").option("recursiveFileLookup", "true")
               .option("pathGlobFilter", glob).load(root).select("path", "length"))
-    key = F.regexp_replace("path", f"^.*{root.rstrip('/').split('/')[-1]}/", "")
-    return listed.select(key.alias("object_key"), F.col("length").alias("size_bytes"))
+    jvm = spark._jvm
+    place = jvm.org.apache.hadoop.fs.Path(root)
+    qualified = place.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).makeQualified(place).toString()
+    # The root as written is a literal prefix of every path; paths hold names as they are, so nothing is decoded.
+    start = len(qualified.rstrip("/")) + 2
+    return listed.select(F.col("path").substr(start, 2**31 - 1).alias("object_key"), F.col("length").alias("size_bytes"))
+
+
+def object_inventory(spark: SparkSession, path: str, key: str = "object_key", size: str = "size_bytes",
+                     pages: str | None = None) -> DataFrame:
+    """The same from a Parquet inventory, read in parallel, with page counts if it has them."""
+    counted = F.lit(None) if pages is None else F.col(pages)
+    return spark.read.parquet(path).select(F.col(key).alias("object_key"), F.col(size).cast("bigint").alias("size_bytes"),
+                                           counted.cast("int").alias("page_count"))

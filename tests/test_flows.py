@@ -13,12 +13,21 @@ RUN = Q.RUN
 
 def test_records_flow_is_incremental(small, tmp_path):
     target, source = Q.target_slice(small), Q.full_source(small)
-    records, log = flows.migrate_records(target, source, small.export_log, small.county_xwalk, RUN, f"{tmp_path}/one")
+    # one lease's royalty does not fit its column
+    source = source.withColumn("royalty", F.when(F.col("lease_id") % 10 == 1, 12.5).otherwise(F.col("royalty")).cast("decimal(9,6)"))
+    out = flows.migrate_records(target, source, small.export_log, small.county_xwalk, RUN, f"{tmp_path}/one",
+                                files=small.lease_file, share_root=Q.SHARE)
+    records, log, losses, extra = (out[n] for n in ("records", "export_log", "losses", "extra_files"))
+    lost = records.where("RoyaltyAmount is null").select("recordID")
+    assert losses.count() == lost.count() > 0 and losses.join(lost, F.col("record_id") == F.col("recordID"), "left_anti").isEmpty()
+    carried = records.where("originalFileName != ''").count()
+    files = small.lease_file.where("filename is not null").join(log.select(F.col("LeaseID").alias("lease_id")), "lease_id", "left_semi")
+    assert carried + extra.count() == files.count() and not extra.isEmpty()
     assert records.count() == log.count() > 0
     assert records.join(log, "recordID", "left_anti").isEmpty()
     extended = flows.extended_log(small.export_log, log)
-    again, _ = flows.migrate_records(target, source, extended, small.county_xwalk, RUN, f"{tmp_path}/two")
-    assert again.isEmpty()
+    again = flows.migrate_records(target, source, extended, small.county_xwalk, RUN, f"{tmp_path}/two")
+    assert again["records"].isEmpty() and "extra_files" not in again
 
 
 def test_land_round_trip(spark, bindings, tmp_path):
@@ -32,8 +41,9 @@ def test_land_round_trip(spark, bindings, tmp_path):
         F.lit("1, 2").alias("Lot"), F.lit("").alias("Block"), F.lit("3,4,5").alias("Section"),
         F.lit("T1").alias("Township"), F.lit("7E").alias("Range"), F.lit("N2").alias("Quartercall"),
         F.lit(None).cast("string").alias("NewCityBlock"))
-    sinks.write_csv(parsed, f"{tmp_path}/parsed")
-    final = flows.load_legal(spark, f"{tmp_path}/land", f"{tmp_path}/parsed")
+    sinks.write_csv(parsed.unionByName(parsed.limit(1).withColumn("Block", F.lit("other"))), f"{tmp_path}/parsed")
+    final, conflicts = flows.load_legal(spark, base, f"{tmp_path}/land", f"{tmp_path}/parsed")
+    assert conflicts.count() == 1
     assert final.count() == 6 * base.count()
     assert final.columns == [n for n, _, _ in land.LAND_RULES if n not in ("CountyName", "StateName")]
     assert {(r.Section, r.Lot, r.RangeOrBlock) for r in final.collect()} == {(s, l, "7E") for s in "345" for l in "12"}

@@ -1,6 +1,9 @@
 """Staging, changes, children, images and quality on small rows."""
 
 import datetime as dt
+import os
+import random
+from decimal import Decimal
 from types import SimpleNamespace
 
 import pandas as pd
@@ -39,14 +42,20 @@ def test_narrowing_losses_are_reported(small):
     source = Q.candidates(small, "reference")
     assert stage.narrowing_losses(source, RUN).isEmpty()
     wide = source.withColumn("royalty", F.lit(12.5).cast("decimal(9,6)"))
-    assert stage.narrowing_losses(wide, RUN).count() == source.count()
+    losses = stage.narrowing_losses(wide, RUN)
+    assert losses.count() == source.count()
+    assert values(losses.select("table_name", "column_name", "value").distinct(), "table_name", "column_name", "value") == [
+        ("records", "RoyaltyAmount", "12.500000")]
+    big = source.limit(3).withColumns({"extension_bonus": F.lit(9e12), "is_blm": F.lit("maybe")})
+    assert {(r.column_name, r.value) for r in stage.narrowing_losses(big, RUN).collect()} == {
+        ("ExtensionBonus", "9.0E12"), ("extensionBLM", "maybe")}
 
 
 def test_status_code_is_added_once(rows):
     statuses = rows("status_id int, data_entry_description string", (4, "keyed"))
-    once = stage.register_status(statuses, 90, "mapped")
+    once = stage.register_status(statuses, 90, "mapped", "unused")
     assert values(once, "status_id") == [(4,), (90,)]
-    assert values(stage.register_status(once, 90, "mapped"), "status_id") == [(4,), (90,)]
+    assert values(stage.register_status(once, 90, "mapped", "unused"), "status_id") == [(4,), (90,)]
 
 
 # ---- changes ---------------------------------------------------------------------------
@@ -68,6 +77,10 @@ def test_fill_touches_only_untouched_rows(rows):
     assert {r.record_id: (r.lease_id, r.zip_name, r.created_by, r.modified_ts, r.modified_by) for r in got.collect()} == {
         "a": (1, "T", "T", dt.datetime(2025, 7, 17, 8, 9, 10), "T"), "b": (9, "z", None, None, None),
         "c": (None, "z", "me", None, None), "d": (None, "z", None, None, None)}
+    wide = changes.fill_log_leases(log.withColumns({"sentToAudit": F.lit(7), "modified_ts": F.lit("2020-01-01").cast("timestamp_ntz")}),
+                                   choices, "T", RUN.at)
+    assert wide.columns == [*log.columns, "sentToAudit", "modified_ts"] and wide.where("sentToAudit = 7").count() == 4
+    assert values(wide.where("year(modified_ts) = 2020"), "record_id") == [("b",), ("c",), ("d",)]
 
 
 def test_delete_keeps_unknown_rows(rows):
@@ -184,6 +197,14 @@ def test_failed_copies_come_back(rows):
     registry = rows("record_id string, status string", ("a", "copied"), ("b", "error"))
     assert values(images.copy_plan(resolved, registry, "k", RUN), "recordID") == [("b",)]
     assert values(images.copy_plan(resolved, registry, "k", RUN, "reference"), "recordID") == []
+    plan = images.copy_plan(resolved, registry.limit(0), "k", RUN)
+    assert values(plan, "recordID", "status") == [("a", "planned"), ("b", "planned")]
+    calls = rows("record_id string, http_status int", ("a", 500), ("a", 200), ("b", None), ("z", 200))
+    after = images.copy_outcome(plan, calls, RUN)
+    assert values(after, "recordID", "status") == [("a", "copied"), ("b", "error")]
+    assert values(images.copy_outcome(plan, calls.where("record_id = 'a'"), RUN), "status") == [("copied",), ("planned",)]
+    again = images.copy_plan(resolved, after.select(F.col("recordID").alias("record_id"), "status"), "k", RUN)
+    assert values(again, "recordID") == [("b",)]
 
 
 def test_delete_status_is_its_own(rows):
@@ -209,6 +230,18 @@ def test_hook_turns_errors_into_statuses(small):
     assert got.where("status = 'processed' and checksum != lease_id * 2").isEmpty()
 
 
+def test_hook_holds_its_row_promise(rows):
+    plan = rows("id int, status string", *[(i, "") for i in range(10)])
+
+    def drops(batch: pd.DataFrame) -> pd.DataFrame:
+        out = batch.assign(price=pd.Series([Decimal("1.50")] * len(batch)), note="a,b")
+        return out[out["id"] % 2 == 0]
+
+    got = images.map_rows(plan.repartition(1), drops, "price decimal(10,2), note string").collect()
+    assert {r.id: (r.price, r.status.split(",")[0]) for r in got} == {
+        i: (Decimal("1.50"), "processed") if i % 2 == 0 else (None, "error: 0 rows") for i in range(10)}
+
+
 def test_requeue_has_each_open_row_once(bindings):
     work = bindings.image_work.withColumns({
         "source_path": F.lit(""), "destination_path": F.lit(""), "page_count": F.lit(0),
@@ -269,6 +302,17 @@ def test_declared_tables_are_checked(rows, tmp_path):
             sinks.write_table(bad, f"{tmp_path}/b", sinks.IMAGE_RESULT_SCHEMA, unique=["lease_id"])
 
 
+def test_failing_load_leaves_the_old_table(spark, rows, tmp_path):
+    old = sinks.write_table(rows("a int", (1,), (2,)), f"{tmp_path}/t", unique=["a"])
+    with pytest.raises(PySparkValueError):
+        sinks.write_table(rows("a int", (3,), (3,)), f"{tmp_path}/t", unique=["a"])
+    assert values(spark.read.parquet(old), "a") == [(1,), (2,)]
+    new = sinks.write_table(rows("a int", (4,)), f"{tmp_path}/t", unique=["a"])
+    assert values(spark.read.parquet(new), "a") == [(4,)] and values(spark.read.parquet(old), "a") == [(1,), (2,)]
+    sinks.remove_folder(spark, new)
+    assert not os.path.exists(new) and os.path.exists(old)
+
+
 def test_csv_text_survives(spark, rows, tmp_path):
     data = [("a", 'say "hi", ok', "back\\slash"), ("b", "", None), ("c", "1, 2", "it's")]
     df = rows("id string, x string, y string", *data)
@@ -277,13 +321,31 @@ def test_csv_text_survives(spark, rows, tmp_path):
     assert sorted(map(tuple, got.collect())) == [data[0], ("b", None, None), data[2]]
 
 
+def test_csv_keeps_hard_text(spark, rows, tmp_path):
+    rng = random.Random(4)
+    texts = ["line1\nline2", "  outer  ", "tail\\", 'q"', '\\"', '"\\', "\\n", "\\\\n\r\n", "a,b", "\t", "\\0x", "a\0b", "ends \\\\"]
+    texts += ["".join(rng.choices('\\"\n\r\0n0r, a', k=rng.randint(1, 12))) + "x" for _ in range(300)]
+    df = rows("id int, x string, y string", *[(i, t, t[::-1]) for i, t in enumerate(texts)])
+    sinks.write_csv(df, f"{tmp_path}/csv")
+    got = tables.csv_table(spark, f"{tmp_path}/csv", "id int, x string, y string")
+    assert {r.id: r.x for r in got.collect()} == dict(enumerate(texts))
+
+
+def test_broken_csv_stops(spark, tmp_path):
+    (tmp_path / "foreign.csv").write_text('id,x\n1,"line1\nline2"\n')
+    with pytest.raises(Exception, match="FAILFAST|MALFORMED"):
+        tables.csv_table(spark, f"{tmp_path}/foreign.csv", "id int, x string", encoded=False).collect()
+    whole = tables.csv_table(spark, f"{tmp_path}/foreign.csv", "id int, x string", multi_line=True, encoded=False)
+    assert values(whole, "id", "x") == [(1, "line1\nline2")]
+
+
 def test_append_table_and_promotion(spark, rows, tmp_path):
-    sinks.write_table(rows("a int, b string", (1, "x")), f"{tmp_path}/t")
-    sinks.append_table(rows("a int, c int", (2, 3)), f"{tmp_path}/t", ["a"])
-    counts = sinks.promote_table(spark, f"{tmp_path}/t", f"{tmp_path}/live").first()
+    table = sinks.write_table(rows("a int, b string", (1, "x")), f"{tmp_path}/t")
+    sinks.append_table(rows("a int, c int", (2, 3)), table, ["a"])
+    counts = sinks.promote_table(spark, table, f"{tmp_path}/live").first()
     assert (counts.source_rows, counts.promoted_rows) == (2, 2)
     with pytest.raises(PySparkValueError):
-        sinks.append_table(rows("z int", (2,)), f"{tmp_path}/t", ["z"])
+        sinks.append_table(rows("z int", (2,)), table, ["z"])
 
 
 def test_object_listing(spark, tmp_path):
@@ -291,6 +353,50 @@ def test_object_listing(spark, tmp_path):
     (tmp_path / "store" / "pkg1" / "a.pdf").write_bytes(b"12345")
     got = tables.object_listing(spark, f"{tmp_path}/store", "*.pdf").collect()
     assert [(r.object_key, r.size_bytes) for r in got] == [("pkg1/a.pdf", 5)]
+    for odd in ("pkg1/store/a.pdf", "pkg 2/b+c.pdf", "pkg3/d%20e.pdf", "store/store/f.pdf"):
+        place = tmp_path / "store" / odd
+        place.parent.mkdir(parents=True, exist_ok=True)
+        place.write_bytes(b"1")
+    keys = {r.object_key for r in tables.object_listing(spark, f"{tmp_path}/store/").collect()}
+    assert keys == {"pkg1/a.pdf", "pkg1/store/a.pdf", "pkg 2/b+c.pdf", "pkg3/d%20e.pdf", "store/store/f.pdf"}
+
+
+def test_object_inventory(spark, rows, tmp_path):
+    rows("name string, bytes bigint, pages int", ("p/a.pdf", 5, 2)).write.parquet(f"{tmp_path}/inventory")
+    got = tables.object_inventory(spark, f"{tmp_path}/inventory", "name", "bytes", "pages")
+    assert values(got, "object_key", "size_bytes", "page_count") == [("p/a.pdf", 5, 2)]
+    assert tables.object_inventory(spark, f"{tmp_path}/inventory", "name", "bytes").first().page_count is None
+
+
+def test_files_in_are_files_carried_and_left(bindings):
+    source = Q.full_source(bindings)
+    named = bindings.lease_file.where("filename is not null")
+    twice = named.unionByName(named.where("lease_id % 80 = 1"))
+    left = Q.normalize.extra_files(source, twice, Q.SHARE)
+    assert source.where("original_file_name is not null").count() + left.count() == twice.count()
+    assert left.where("record_id is null").isEmpty() and not left.isEmpty()
+
+
+def test_counties_that_share_a_target_county(rows):
+    leases = rows("lease_id bigint, county_id int", (1, 10), (2, 11), (3, 12), (4, 99))
+    crosswalk = rows("src_county_id int, tgt_county_id int, county_name string, state_id int", (10, 7, "A", 1), (11, 7, "B", 1), (12, 8, "C", 2), (13, 9, "D", 2))
+    records = rows("record_id string, county_id int", ("r1", 7), ("r2", 7), ("r4", 9))
+    log = rows("record_id string, lease_id bigint", ("r1", 1), ("r2", 2), ("r4", 4))
+    got = quality.county_reconcile(leases, records, log, crosswalk)
+    assert {tuple(r) for r in got.collect()} == {("C", 2, 1, 0, 1), ("D", 2, 0, 1, -1), (None, None, 1, 0, 1)}
+
+
+def test_crosswalk_with_repeated_counties_multiplies_nothing(rows):
+    records = rows("record_id string, record_number string, file_date date, volume string, page string, county_id int", ("R", "1", None, "1", "2", 5))
+    counties = rows("county_id int, county_name string", (5, "Eddy"))
+    crosswalk = rows("src_county_id int, tgt_county_id int", (5, 1), (5, 2))
+    assert Q.normalize.normalize_target(records, counties, crosswalk).count() == 1
+
+
+def test_settings_reach_the_callers_session(spark):
+    spark.conf.set("spark.sql.codegen.maxFields", "100")
+    Q.queries()["map_term"](spark, "/root/testdata/sf0.001")
+    assert spark.conf.get("spark.sql.codegen.maxFields") == "400"
 
 
 def test_padded_text_is_trimmed(rows):

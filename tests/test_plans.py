@@ -72,3 +72,23 @@ def test_sample_is_trimmed_before_the_shuffle(small):
 
 def test_uniqueness_is_an_aggregate_not_a_window(small):
     assert "Window" not in plan_text(Q.QUERIES["match_substring"](small))
+
+
+def test_numbers_are_indexed_once_and_at_key_level(small):
+    """One index per side; the report reads each table a few times, not once per tier."""
+    text = plan_text(Q.QUERIES["match_report"](small))
+    assert text.count("contained_key") and len(re.findall(r"Generate explode", text)) <= 8
+    assert text.count("FileScan") <= 14
+    index = Q.match.distinct_keys(Q.match._target_side(Q.target_slice(small)), "target_key", Q.match.PLACE)
+    assert index.columns == ["day", "county_key", "target_key", "copies"]
+
+
+def test_report_sort_does_not_repeat_the_join(small):
+    for name in ("missing_in_target", "match_report"):
+        text = plan_text(Q.QUERIES[name](small))
+        assert re.search(r"REPARTITION_BY_COL", text), name
+
+
+def test_parties_join_the_batch_once(small):
+    text = plan_text(Q.QUERIES["parties"](small))
+    assert len(re.findall(r"FileScan[^\n]*customer", text)) == 1 and text.count("FileScan") <= 8
