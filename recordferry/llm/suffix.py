@@ -35,6 +35,7 @@ from pyspark.sql import functions as F
 MIN, K = 100, 40
 SALTS, SAMPLE, HOT = 64, 4000, 40
 BLOCK = 1 << 15
+HOT_BIT = 1 << 62
 NO_ID = -(1 << 63)
 ROOT = 0x9E3779B97F4A7C15
 
@@ -104,7 +105,7 @@ def find_anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def keep_repeated(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Of rows (hash, doc, info, hot) sorted by hash, those that are hot or whose hash occurs twice or more."""
+    """Of rows (hash, doc, info) sorted by hash, those that are hot or whose hash occurs twice or more."""
     held = None  # the last row, as long as its hash stands alone so far
     last = None
     for batch in batches:
@@ -113,7 +114,7 @@ def keep_repeated(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
         h = batch.column(0).to_numpy()
         before = np.concatenate([[last == h[0] if last is not None else False], h[1:] == h[:-1]])
         after = np.concatenate([before[1:], [False]])
-        keep = before | after | batch.column(3).to_numpy(zero_copy_only=False)
+        keep = before | after | (batch.column(2).to_numpy() >= HOT_BIT)
         if held is not None and before[0]:
             yield held
         alone = not keep[-1]
@@ -122,20 +123,25 @@ def keep_repeated(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
 
 
 def cut_records(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(doc, text, anchors) to records (hash, doc, place, left, right, hot)."""
-    kinds = [pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.binary(), pa.bool_()]
+    """(doc, text, anchors) to records (hash, doc, place, left, right); a hot record's place has HOT_BIT."""
     for batch in batches:
         for at in range(0, batch.num_rows, 200):
-            part, out = batch.slice(at, 200), []
-            for doc, text, found in zip(*(part.column(c).to_pylist() for c in range(3))):
+            part = batch.slice(at, 200)
+            lists = part.column(2)
+            bounds = lists.offsets.to_numpy()
+            info, h = lists.values.slice(bounds[0], bounds[-1] - bounds[0]).flatten()
+            info = info.to_numpy()
+            places, sides = (info & HOT_BIT - 1) >> 16, info & 0xFFFF
+            lefts, rights = [], []
+            for text, lo, hi in zip(part.column(1).to_pylist(), bounds[:-1] - bounds[0], bounds[1:] - bounds[0]):
                 data = (text or "").encode()
-                for a in found:
-                    info = a["info"]
-                    place, left, right = info >> 16, info >> 8 & 255, info & 255
-                    out.append((a["hash"], doc, place, data[place - left:place], data[place + K:place + K + right], a["hot"]))
-            if out:
-                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out), kinds)],
-                                                 names=["hash", "doc", "place", "left", "right", "hot"])
+                for place, side in zip(places[lo:hi].tolist(), sides[lo:hi].tolist()):
+                    lefts.append(data[place - (side >> 8):place])
+                    rights.append(data[place + K:place + K + (side & 255)])
+            docs = np.repeat(part.column(0).to_numpy(), np.diff(bounds))
+            yield pa.RecordBatch.from_arrays([h, pa.array(docs), pa.array(places | info & HOT_BIT), pa.array(lefts, pa.binary()),
+                                              pa.array(rights, pa.binary())],
+                                             names=["hash", "doc", "place", "left", "right"])
 
 
 def common(a: bytes, b: bytes) -> int:
@@ -196,7 +202,7 @@ def find_repeats(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     bucket, contexts, out = None, [], []
 
     def close() -> None:
-        if len(contexts) > 1 and not bucket[2]:
+        if len(contexts) > 1 and not bucket[1]:
             for (doc, place), (of_doc, of_place), left, right in bucket_repeats(contexts):
                 out.append((doc, place - left, place + K + right, of_doc, of_place - left))
 
@@ -206,16 +212,16 @@ def find_repeats(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names=names)
 
     for batch in batches:
-        for h, doc, place, left, right, hot, salt in zip(*(batch.column(c).to_pylist() for c in range(7))):
+        for h, doc, place, left, right, salt in zip(*(batch.column(c).to_pylist() for c in range(6))):
             if bucket is None or bucket[0] != h or bucket[1] != salt:
                 close()
-                bucket, contexts = (h, salt, hot), [(left, right, (doc, place))]
+                bucket, contexts = (h, salt), [(left, right, (doc, place))]
                 continue
             same_left, same_right, first = contexts[-1]
             if left == same_left and right == same_right:
                 if first != (doc, place):
                     out.append((doc, place - len(left), place + K + len(right), first[0], first[1] - len(left)))
-            elif hot:
+            elif salt:
                 contexts = [(left, right, (doc, place))]
             else:
                 contexts.append((left, right, (doc, place)))
@@ -245,39 +251,44 @@ def repeats(texts: DataFrame) -> DataFrame:
     """
     hot = hot_anchors(texts)
     anchors = texts.mapInArrow(find_anchors, "hash bigint, doc bigint, info bigint")
-    salt = F.lit(0)
-    if hot is None:
-        anchors = anchors.withColumn("hot", F.lit(False))
-    else:
-        anchors = anchors.join(F.broadcast(hot), "hash", "left").withColumn("hot", F.coalesce("hot", F.lit(False)))
-        salt = F.when(F.col("hot"), F.pmod(F.xxhash64("doc"), F.lit(SALTS)).cast("int") + 1).otherwise(0)
-    anchors = anchors.select("hash", "doc", "info", "hot", salt.alias("salt"))
-    repeated = (anchors.repartition("hash", "salt").sortWithinPartitions("hash").select("hash", "doc", "info", "hot")
-                .mapInArrow(keep_repeated, "hash bigint, doc bigint, info bigint, hot boolean"))
-    per_doc = repeated.groupBy("doc").agg(F.collect_list(F.struct("info", "hash", "hot")).alias("anchors"))
-    records = (per_doc.join(texts, "doc").select("doc", "text", "anchors")
-               .mapInArrow(cut_records, "hash bigint, doc bigint, place bigint, left binary, right binary, hot boolean"))
-    found = _scan(records.withColumn("salt", salt))
+    if hot is not None:
+        marked = F.when(F.col("hot"), F.col("info").bitwiseOR(F.lit(HOT_BIT))).otherwise(F.col("info"))
+        anchors = anchors.join(F.broadcast(hot), "hash", "left").select("hash", "doc", marked.alias("info"))
+    repeated = (anchors.repartition("hash", _salt("info")).sortWithinPartitions("hash")
+                .mapInArrow(keep_repeated, "hash bigint, doc bigint, info bigint"))
+    per_doc = repeated.groupBy("doc").agg(F.collect_list(F.struct("info", "hash")).alias("anchors"))
+
+    def records(found: DataFrame) -> DataFrame:
+        return (found.join(texts, "doc").select("doc", "text", "anchors")
+                .mapInArrow(cut_records, "hash bigint, doc bigint, place bigint, left binary, right binary")
+                .select("hash", "doc", F.col("place").bitwiseAND(F.lit(HOT_BIT - 1)).alias("place"), "left", "right",
+                        _salt("place").alias("salt")))
+
+    found = _scan(records(per_doc))
     if hot is None:
         return found
     # One occurrence per context and salt is left of every hot anchor: few rows, whatever the anchor's count.
-    left = records.filter("hot").groupBy("hash", "left", "right", salt.alias("salt")).agg(
-        F.min(F.struct("doc", "place")).alias("first"))
-    return found.union(_scan(left.select("hash", "first.doc", "first.place", "left", "right", F.lit(False).alias("hot"),
-                                         F.lit(0).alias("salt"))))
+    hot_only = per_doc.withColumn("anchors", F.filter("anchors", lambda a: a["info"] >= HOT_BIT)).filter(F.size("anchors") > 0)
+    left = records(hot_only).groupBy("hash", "left", "right", "salt").agg(F.min(F.struct("doc", "place")).alias("first"))
+    return found.union(_scan(left.select("hash", "first.doc", "first.place", "left", "right", F.lit(0).alias("salt"))))
+
+
+def _salt(marked: str) -> Column:
+    """0, or for hot rows one of SALTS numbers by document."""
+    return F.when(F.col(marked) >= HOT_BIT, F.pmod(F.xxhash64("doc"), F.lit(SALTS)).cast("int") + 1).otherwise(0)
 
 
 def _scan(records: DataFrame) -> DataFrame:
-    columns = ["hash", "doc", "place", "left", "right", "hot", "salt"]
-    return (records.select(columns).repartition("hash", "salt")
-            .sortWithinPartitions("hash", "salt", "left", "right", "doc", "place")
+    return (records.repartition("hash", "salt").sortWithinPartitions("hash", "salt", "left", "right", "doc", "place")
             .mapInArrow(find_repeats, "doc bigint, start bigint, end bigint, of_doc bigint, of_start bigint"))
 
 
-def merged(spans: list[dict], n: int) -> list[tuple[int, int]]:
-    """Maximal runs of bytes under the spans."""
+def merged(spans: list[int], n: int) -> list[tuple[int, int]]:
+    """Maximal runs of bytes under the spans (start << 8 | length: a row spans less than 2 * MIN bytes)."""
     runs: list[list[int]] = []
-    for start, end in sorted((s["start"], min(s["end"], n)) for s in spans):
+    for span in sorted(spans):
+        start = span >> 8
+        end = min(start + (span & 255), n)
         if runs and start <= runs[-1][1]:
             runs[-1][1] = max(runs[-1][1], end)
         elif start < end:
@@ -293,10 +304,10 @@ def without(data: bytes, runs: list[tuple[int, int]]) -> bytes:
     return b"".join([*kept, data[at:]])
 
 
-def with_spans(texts: DataFrame) -> DataFrame:
-    """`texts` (doc, text) with the spans to remove, unmerged; null where there are none."""
-    spans = repeats(texts).groupBy("doc").agg(F.collect_list(F.struct("start", "end")).alias("spans"))
-    return texts.join(spans, "doc", "left")
+def spans_of(texts: DataFrame) -> DataFrame:
+    """(doc, spans) of the documents of `texts` (doc, text) that have any, unmerged."""
+    span = F.shiftleft("start", 8) + F.col("end") - F.col("start")
+    return repeats(texts).groupBy("doc").agg(F.collect_list(span).alias("spans"))
 
 
 def original(doc: Column) -> Column:
@@ -317,7 +328,8 @@ def digests(docs: DataFrame) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out), kinds)],
                                                  names=["doc", "n_bytes", "n_removed", "n_spans", "kept_sha256"])
 
-    found = with_spans(keyed(docs)).select("doc", "text", "spans").mapInArrow(
+    texts = keyed(docs)
+    found = texts.join(spans_of(texts), "doc", "left").select("doc", "text", "spans").mapInArrow(
         run, "doc bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string")
     return found.select(original(F.col("doc")).alias("doc_id"), "n_bytes", "n_removed", "n_spans", "kept_sha256")
 
@@ -333,7 +345,7 @@ def remove_repeats(docs: DataFrame, text: str = "text", doc_id: str = "doc_id")
             return without(data, merged(found, len(data))).decode(errors="ignore")
         return pa.array(map(one, texts.to_pylist(), spans.to_pylist()), pa.string())
 
-    spans = repeats(keyed(docs, text, doc_id)).groupBy("doc").agg(F.collect_list(F.struct("start", "end")).alias("spans"))
+    spans = spans_of(keyed(docs, text, doc_id))
     rows = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("row"),
                        F.coalesce(docs[doc_id].cast("long"), F.lit(NO_ID)).alias("doc"))
     joined = rows.join(spans, "doc", "left")
