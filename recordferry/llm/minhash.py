@@ -6,10 +6,10 @@ the shingle, the range and the point's number, so every document sees the same p
 whose level the document reaches.  Two registers agree with probability sum(min) / sum(max) of the weights, and a process
 stops once its time is past every register, which for long texts is after its first point.
 
-Candidates: 32 bands of 4 registers; a pair at 0.8 misses all with probability 5e-8.  Within a band's bucket every document
-meets the bucket's least document only.  Where such links leave a bucket in several components, documents of different
-components are compared as well, by the sketch of their registers, so all pairs in a bucket are tested or already connected.
-A pair goes on if SURE registers agree (a pair at 0.8 fails that with probability 1e-8) and is a link if the multisets
+Candidates: 32 bands of 4 registers; a pair at 0.8 misses all with probability 5e-8.  Every document first meets the one least
+document of its buckets that it shares most of them with.  Where such links leave a bucket in several components, documents
+of different components are compared as well, inside the bucket, in the order of their agreement, until they are connected
+or all tested; so all pairs in a bucket are tested or connected.  A pair goes on if SURE registers agree (a pair at 0.8 fails that with probability 1e-8) and is a link if the multisets
 themselves overlap by 0.8.  Classes are the connected components of the links; no group is ever expanded into its pairs.
 
 Equal word sequences count once and are members of their class; so white space does not matter, and texts without words
@@ -34,7 +34,7 @@ WORDS, SIMILAR = 5, 0.8
 BANDS, ROWS = 32, 4
 REGISTERS = BANDS * ROWS
 SURE = 76
-HUB = 400
+HUB, BUCKET = 400, 4096
 NO_ID = -(1 << 63)
 GOLDEN = np.uint64(0x9E3779B97F4A7C15)
 
@@ -122,26 +122,67 @@ def _agreeing(a: pa.Array, b: pa.Array) -> pa.Array:
     return pa.array((x == y).sum(axis=1).astype(np.int32))
 
 
-def across(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows (band, salt, main, doc, label, sketch), sorted so that a bucket's main component comes last, to likely links (a, b).
+def similarity(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray]) -> tuple[int, int]:
+    """sum(min) and sum(max) of two multisets of (different shingles, counts)."""
+    _, i, j = np.intersect1d(a[0], b[0], assume_unique=True, return_indices=True)
+    both = int(np.minimum(a[1][i], b[1][j]).sum())
+    return both, int(a[1].sum() + b[1].sum()) - both
 
-    Only the rows outside the main component are held; the others stream past them.
-    """
-    group, docs, labels, sketches, held = None, [], [], [], None
+
+def is_link(both: int, total: int) -> bool:
+    return both * 10 >= total * round(SIMILAR * 10)
+
+
+class Held:
+    """The rows of a bucket outside its main component, in growing arrays, and which labels links have joined so far."""
+
+    def __init__(self) -> None:
+        self.n, self.docs, self.labels, self.bags, self.joined = 0, np.zeros(16, np.int64), np.zeros(16, np.int64), [], {}
+        self.sketches, self.bands = np.zeros((16, REGISTERS), np.uint8), np.zeros((16, BANDS), np.int64)
+
+    def add(self, doc: int, label: int, sketch: np.ndarray, bands: np.ndarray, bag: tuple) -> None:
+        if self.n == len(self.docs):
+            for name, value in list(vars(self).items()):
+                if isinstance(value, np.ndarray):
+                    setattr(self, name, np.concatenate([value, np.zeros_like(value)]))
+        self.docs[self.n], self.labels[self.n], self.sketches[self.n], self.bands[self.n] = doc, label, sketch, bands
+        self.bags.append(bag)
+        self.n += 1
+
+    def root(self, label: int) -> int:
+        while label in self.joined:
+            label = self.joined[label]
+        return label
+
+    def links(self, band: int, doc: int, label: int, sketch: np.ndarray, bands: np.ndarray, bag: tuple) -> Iterator[tuple[int, int]]:
+        """Links of the row to held ones that it isn't connected to yet.  A pair is tested in its first common band only."""
+        agree = (self.sketches[:self.n] == sketch).sum(axis=1)
+        at = np.flatnonzero((agree >= SURE) & (self.labels[:self.n] != label))
+        at = at[(self.bands[at] == bands).argmax(axis=1) == np.flatnonzero(bands == band)[0]] if len(at) else at
+        for i in at[np.argsort(-agree[at], kind="stable")]:
+            mine, other = self.root(label), self.root(int(self.labels[i]))
+            if mine != other and is_link(*similarity(self.bags[i], bag)):
+                self.joined[max(mine, other)] = min(mine, other)
+                yield int(self.docs[i]), doc
+
+
+def across(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows (band, salt, main, doc, label, sketch, bands, text), sorted so that a bucket's main component comes last, to
+    links (a, b) between components.  Only the rows outside the main component are held; the others stream past them."""
+    group, held = None, Held()
     for batch in batches:
         out = []
-        for band, salt, main, doc, label, sketch in zip(*(batch.column(c).to_pylist() for c in range(6))):
-            if group != (band, salt):
-                group, docs, labels, sketches, held = (band, salt), [], [], [], np.zeros((0, REGISTERS), np.uint8)
-            one = np.frombuffer(sketch, np.uint8)
-            if len(docs) > len(held):
-                held = np.frombuffer(b"".join(sketches), np.uint8).reshape(-1, REGISTERS)
-            if len(held):
-                out += [(docs[i], doc) for i in np.flatnonzero((held == one).sum(axis=1) >= SURE) if labels[i] != label]
-            if not main:
-                docs.append(doc)
-                labels.append(label)
-                sketches.append(sketch)
+        for at in range(0, batch.num_rows, 500):
+            part = batch.slice(at, 500)
+            for band, salt, main, doc, label, sketch, bands, text in zip(*(part.column(c).to_pylist() for c in range(8))):
+                if group != (band, salt):
+                    group, held = (band, salt), Held()
+                if main and not held.n:
+                    continue
+                one, own, bag = np.frombuffer(sketch, np.uint8), np.array(bands), shingles(text)[:2]
+                out += held.links(band, doc, label, one, own, bag)
+                if not main:
+                    held.add(doc, label, one, own, bag)
         yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in list(zip(*out)) or [[], []]], names=["a", "b"])
 
 
@@ -156,10 +197,8 @@ def overlap(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 hub, hub_elements, hub_counts = (a, salt), elements, counts
                 continue
             assert hub == (a, salt)
-            _, i, j = np.intersect1d(hub_elements, elements, assume_unique=True, return_indices=True)
-            both = int(np.minimum(hub_counts[i], counts[j]).sum())
-            total = int(hub_counts.sum() + counts.sum()) - both
-            if both * 10 >= total * round(SIMILAR * 10):
+            both, total = similarity((hub_elements, hub_counts), (elements, counts))
+            if is_link(both, total):
                 out.append((a, member, both / total))
         columns = list(zip(*out)) or [[], [], []]
         yield pa.RecordBatch.from_arrays([pa.array(columns[0], pa.int64()), pa.array(columns[1], pa.int64()),
@@ -177,6 +216,26 @@ def verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
             .mapInArrow(overlap, "a bigint, b bigint, similarity double"))
 
 
+def _between(members: DataFrame, known: DataFrame, different: DataFrame, texts: DataFrame) -> DataFrame:
+    """Links between different components `known` (node, label) within the buckets of `members`: enough to connect what is to
+    be connected, so never more than a bucket has rows.
+
+    A bucket's main component is that of its least document.  Its rows are dealt out in parts of BUCKET, for each of which
+    the rows outside it are repeated.
+    """
+    labelled = members.join(known.withColumnRenamed("node", "doc"), "doc", "left").withColumn("label", F.coalesce("label", "doc"))
+    several = (labelled.groupBy("band").agg(F.min("label").alias("low"), F.max("label").alias("high"),
+                                            F.min_by("label", "doc").alias("main_label"), F.count("*").alias("size"))
+               .filter("low < high").select("band", "main_label", F.ceil(F.col("size") / BUCKET).cast("int").alias("salts")))
+    rows = stored(labelled.join(several, "band").select(
+        "band", "salts", (F.col("label") == F.col("main_label")).alias("main"), "doc", "label"))
+    salted = rows.filter("main").withColumn("salt", F.pmod(F.xxhash64("doc"), F.col("salts")).cast("int")).union(
+        rows.filter("not main").withColumn("salt", F.explode(F.sequence(F.lit(0), F.col("salts") - 1))))
+    whole = salted.join(different.select("doc", "sketch", "bands"), "doc").join(texts, "doc")
+    return (whole.select("band", "salt", "main", "doc", "label", "sketch", "bands", "text").repartition("band", "salt")
+            .sortWithinPartitions("band", "salt", "main", "doc").mapInArrow(across, "a bigint, b bigint"))
+
+
 def near_classes(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
     """(doc, class_id, copies): every row's key (doc_id, null as the least long), the least key of its class, and how many
     documents have its very words."""
@@ -195,25 +254,16 @@ def near_classes(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") ->
         b = sketches.select(F.col("doc").alias("b"), F.col("sketch").alias("sketch_b"))
         return pairs.join(a, "a").join(b, "b").filter(_agreeing("sketch_a", "sketch_b") >= SURE).select("a", "b")
 
-    pairs = saved(likely(members.filter("doc > least").select(F.col("least").alias("a"), F.col("doc").alias("b")).distinct()))
+    # First every document meets the one least document that it shares most of its buckets with.
+    leaders = members.filter("doc > least").groupBy("doc", "least").agg(F.count("*").alias("bands"))
+    leader = F.max(F.struct("bands", (-F.col("least")).alias("minus")))
+    first = saved(likely(leaders.groupBy("doc").agg((-leader["minus"]).alias("a")).withColumnRenamed("doc", "b").select("a", "b")))
     wanted = members.select("doc").distinct()
     pool = stored(texts.join(wanted, "doc").dropDuplicates(["doc"]))
-    links = saved(verified(pairs, pool).select("a", "b"))
-    known = components(links).withColumnsRenamed({"node": "doc"})
-    # Buckets that the links leave in several components: all but the least document's component, against all.
-    labelled = members.join(known, "doc", "left").withColumn("label", F.coalesce("label", "doc"))
-    several = (labelled.groupBy("band").agg(F.min("label").alias("low"), F.max("label").alias("high"),
-                                            F.min_by("label", "doc").alias("main_label"), F.count("*").alias("size"))
-               .filter("low < high").select("band", "main_label", F.ceil(F.col("size") / HUB).cast("int").alias("salts")))
-    open_rows = stored(labelled.join(several, "band").join(sketches, "doc").select(
-        "band", "salts", (F.col("label") == F.col("main_label")).alias("main"), "doc", "label", "sketch"))
-    salted = open_rows.filter("main").withColumn("salt", F.pmod(F.xxhash64("doc"), F.col("salts")).cast("int")).union(
-        open_rows.filter("not main").withColumn("salt", F.explode(F.sequence(F.lit(0), F.col("salts") - 1))))
-    rest = (salted.select("band", "salt", "main", "doc", "label", "sketch").repartition("band", "salt")
-            .sortWithinPartitions("band", "salt", "main", "doc").mapInArrow(across, "a bigint, b bigint"))
-    rest = rest.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct().join(pairs, ["a", "b"], "left_anti")
-    all_links = links.union(verified(saved(rest), pool).select("a", "b"))
-    label = components(all_links).withColumnsRenamed({"node": "doc"})
+    links = saved(verified(first, pool).select("a", "b"))
+    # Then the components that still share a bucket.
+    rest = saved(_between(members, components(links), different, pool).distinct())
+    label = components(links.union(rest)).withColumnsRenamed({"node": "doc"})
     classes = stored(different.select("words", "doc", "copies").join(label, "doc", "left")
                      .select("words", F.coalesce("label", "doc").alias("class_id"), "copies"))
     return join_counted(signed.select("doc", "words"), classes, "words", "copies", total).select("doc", "class_id", "copies")

@@ -81,9 +81,30 @@ def test_one_row_of_each_class_stays(documents):
 
 def test_rows_outside_the_main_component_are_compared():
     import pyarrow as pa
-    sketch = bytes(range(128))
-    far = bytes(128)
-    rows = [(1, 0, False, 5, 5, sketch), (1, 0, False, 6, 6, far), (1, 0, True, 1, 1, sketch), (1, 0, True, 2, 1, far), (2, 0, True, 7, 7, sketch)]
-    batch = pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*rows)], names=list("abcdef"))
+
+    def row(band, main, doc, text):
+        signed = next(minhash.sign(iter([pa.RecordBatch.from_arrays([pa.array([doc]), pa.array([text])], names=["doc", "text"])]))).to_pylist()[0]
+        return signed["bands"][band], 0, main, doc, doc, signed["sketch"], signed["bands"], text
+
+    base = words(random.Random(1), 400, 10**6)
+    same, near, other = " ".join(base), " ".join(base[:-3]), " ".join(words(random.Random(2), 50))
+    rows = [row(0, False, 5, same), row(0, False, 6, near), row(0, True, 1, same), row(0, True, 2, same), row(1, True, 7, other)]
+    batch = pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*rows)], names=list("abcdefgh"))
     pairs = [tuple(r.values()) for b in minhash.across(iter([batch])) for r in b.to_pylist()]
-    assert pairs == [(5, 1), (6, 2)]
+    shared = rows[0][0] == rows[1][0]
+    assert pairs == ([(5, 6)] if shared else []) + [(5, 1), (5, 2)]
+
+
+def test_copies_around_an_original_that_is_not_the_least(documents):
+    """Copies are near the original and not near each other, so every link goes through it."""
+    rng = random.Random(9)
+    base = words(rng, 300, 100000)
+    docs = {500: " ".join(base)}
+    for i in range(40):
+        copy = list(base)
+        for _ in range(5):
+            copy[rng.randrange(300)] = f"e{rng.randrange(10**9)}"
+        docs[i * 20] = " ".join(copy)
+    docs[500] = " ".join(base)
+    got = {r.doc: r.class_id for r in minhash.near_classes(documents(*docs.items())).collect()}
+    assert got == brute(docs)
