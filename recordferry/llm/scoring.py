@@ -1,9 +1,8 @@
 """Cross-entropy difference: how much better a target model predicts a document than a background model does.
 
 Both models are interpolated bigram models over one vocabulary and one list of bigrams, counted over all words of both
-corpora.  The vocabulary holds every word with at least SHARE of all tokens (and 2 occurrences), the list every bigram of
-such words with at least SHARE of all tokens; so each has at most 1 / SHARE entries by construction, which bounds what is sent
-to the tasks, while the counts themselves are gathered from every document.  All other words are one unknown word.
+corpora.  They hold every word and every bigram of the target, and every one that occurs twice or more in both corpora
+together, however large these are.  What is left, background words seen a single time, is one unknown word.
 
     P(w)     = (c(w) + 1) / (N + V + 1)
     P(w | v) = (c(v, w) + STRENGTH * P(w)) / (sum over w of c(v, w) + STRENGTH)
@@ -11,25 +10,37 @@ to the tasks, while the counts themselves are gathered from every document.  All
 The loss of a token is -log P(w | v); of a first token, or after an unknown word, -log P(w).  A document's score is its mean
 target loss minus its mean background loss: the lower, the closer to the target.
 
+Scale: the models grow with the corpus and are never in one place.  Documents are dealt into chunks of about CHUNK bytes; a
+chunk counts its different grams once and sends them, as packed arrays, to buckets by gram hash.  A bucket adds up all chunks
+and answers each with the counts of its own grams only; what follows a word is summed in a second round in the same way.
+So a chunk or a bucket is all that a task holds, and a gram that is everywhere is one number per chunk.  Documents are read
+twice and must come in the same partitions both times, as files do; a chunk that differs stops the job.
+
 Null and empty texts have 0 tokens and null losses.  Repeated rows count as often as they occur.  Empty corpora give uniform
 models over the unknown word.
 """
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from recordferry.llm.common import stored
 from recordferry.llm.minhash import GOLDEN, mixed
 
-SHARE, STRENGTH = 1e-6, 32.0
-BUFFER = 1 << 21
+STRENGTH = 32.0
+CHUNK = 1 << 23
+BLOCKS = "bucket bigint, chunk bigint, heads binary, runs binary, grams binary, counts binary"
+ANSWERS = "kind int, key bigint, at bigint, keys binary, b binary, t binary"
+COUNTS, AFTER, WORDS, SUMS = range(4)
 
 
 def word_hashes(text: str | None) -> np.ndarray:
@@ -51,103 +62,222 @@ def found(sorted_keys: np.ndarray, keys: np.ndarray) -> tuple[np.ndarray, np.nda
     return at, sorted_keys[at] == keys
 
 
-def counted(texts: DataFrame, words=None) -> DataFrame:
-    """(gram, head, n): words, or with a broadcast vocabulary its bigrams, added up inside each task before the shuffle."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        grams, heads, held = [], [], 0
+def packed(x: np.ndarray) -> bytes:
+    return zlib.compress(x.astype(np.int64).tobytes(), 1)
+
+
+def unpacked(x: bytes) -> np.ndarray:
+    return np.frombuffer(zlib.decompress(x), np.int64)
 
-        def flush() -> pa.RecordBatch:
-            g, h = (np.concatenate(x) if x else np.zeros(0, np.int64) for x in (grams, heads))
-            gram, first, n = np.unique(g, return_index=True, return_counts=True)
-            grams.clear(), heads.clear()
-            return pa.RecordBatch.from_arrays([pa.array(gram), pa.array(h[first]), pa.array(n)], names=["gram", "head", "n"])
 
+def bucket_of(grams: np.ndarray, buckets: int) -> np.ndarray:
+    """Ranges of the hash, so that sorted grams are sorted by bucket."""
+    return ((grams >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)).astype(np.int64)
+
+
+def chunked(texts: DataFrame, sign: int = 1) -> DataFrame:
+    """(chunk, doc_id, text) of (doc_id, text); chunks of the target have negative numbers."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        first, held = (TaskContext.get().partitionId() << 32) + 1, 0
         for batch in batches:
-            for text in batch.column(0):
-                h = word_hashes(text.as_py())
-                if words is None:
-                    grams.append(h)
-                    heads.append(h)
-                elif len(h) > 1:
-                    known = found(words.value, h)[1]
-                    both = known[1:] & known[:-1]
-                    grams.append(pair_hashes(h)[both])
-                    heads.append(h[:-1][both])
-                held += len(grams[-1]) if grams else 0
-                if held > BUFFER:
-                    held = 0
-                    yield flush()
-        yield flush()
-
-    return texts.mapInArrow(run, "gram bigint, head bigint, n bigint")
-
-
-def gathered(background: DataFrame, target: DataFrame, words=None) -> DataFrame:
-    both = counted(background, words).withColumn("target", F.lit(0)).union(counted(target, words).withColumn("target", F.lit(1)))
-    return both.groupBy("gram").agg(F.any_value("head").alias("head"), F.sum(F.when(F.col("target") == 0, F.col("n")).otherwise(0)).alias("b"),
-                                    F.sum(F.when(F.col("target") == 1, F.col("n")).otherwise(0)).alias("t"))
-
-
-def kept(counts: DataFrame, least: int) -> pa.Table:
-    """The frequent grams by hash; at most 1 / SHARE rows."""
-    return counts.filter(F.col("b") + F.col("t") >= least).toArrow().sort_by("gram")
-
-
-def models(background: DataFrame, target: DataFrame, share: float = SHARE) -> dict:
-    """Both models from two frames of one text column each."""
-    spark = background.sparkSession
-    singles = stored(gathered(background, target))
-    n_background, n_target = (int(x or 0) for x in singles.agg(F.sum("b"), F.sum("t")).first())
-    least = max(2, int(np.ceil(share * (n_background + n_target))))
-    words = kept(singles, least)
-    vocabulary = words["gram"].to_numpy()
-    pairs = kept(gathered(background, target, spark.sparkContext.broadcast(vocabulary)), least)
-    model = {"words": vocabulary, "pairs": pairs["gram"].to_numpy()}
-    head = np.searchsorted(vocabulary, pairs["head"].to_numpy())
-    for name, total in (("b", n_background), ("t", n_target)):
-        c = words[name].to_numpy()
-        single = (np.append(c, total - c.sum()) + 1.0) / (total + len(c) + 1.0)  # the last is the unknown word
-        n = pairs[name].to_numpy()
-        model[name] = {"single": single, "pair": n.astype(np.float64),
-                       "after": np.append(np.bincount(head, n, minlength=len(c)), 0.0)}
-    return model
-
-
-def losses(h: np.ndarray, model: dict) -> tuple[float, float]:
-    """Mean target and background loss of a text's word hashes."""
-    at, known = found(model["words"], h)
-    word = np.where(known, at, len(model["words"]))
-    if len(h) > 1:
-        pair_at, is_pair = found(model["pairs"], pair_hashes(h))
-        is_pair &= known[1:] & known[:-1]
+            size = pc.fill_null(pc.binary_length(batch.column(1)), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+            ends = held + np.cumsum(size)
+            chunk = sign * (first + (ends - size) // CHUNK)
+            held = int(ends[-1]) if len(ends) else held
+            yield pa.RecordBatch.from_arrays([pa.array(chunk), *batch.columns], names=["chunk", "doc_id", "text"])
+
+    return texts.mapInArrow(run, "chunk bigint, doc_id bigint, text string")
+
+
+class Grams:
+    """The different words and bigrams of a chunk's texts, by (bucket, head, gram); a word is its own head.
+
+    `word` and `pair` are the places of each token's word and of the bigram that ends in it (-1: none).
+    """
+
+    def __init__(self, texts: list[str | None], buckets: int):
+        hashes = [word_hashes(t) for t in texts]
+        self.sizes = np.array([len(h) for h in hashes], np.int64)
+        words = np.concatenate([*hashes, np.zeros(0, np.int64)])
+        first = np.zeros(len(words) + 1, bool)
+        first[np.concatenate([[0], np.cumsum(self.sizes)])] = True
+        inside = np.flatnonzero(~first[:-1])
+        pairs = pair_hashes(words)[inside - 1] if len(words) else words
+        gram, at, place, n = np.unique(np.concatenate([words, pairs]).view(np.uint64), return_index=True, return_inverse=True,
+                                       return_counts=True)
+        head = np.concatenate([words, words[inside - 1]]).view(np.uint64)[at]
+        bucket = bucket_of(gram, buckets)
+        order = np.lexsort((head, bucket))
+        self.gram, self.head, self.n, self.bucket = gram[order], head[order], n[order], bucket[order]
+        rank = np.empty(len(order), np.int64)
+        rank[order] = np.arange(len(order))
+        place = rank[place.ravel()]
+        self.word, self.pair = place[:len(words)], np.full(len(words), -1)
+        self.pair[inside] = place[len(words):]
+
+    def blocks(self, chunk: int) -> Iterator[tuple]:
+        """Rows of BLOCKS: heads once each, with the length of their run."""
+        starts = np.flatnonzero(np.concatenate([[True], self.bucket[1:] != self.bucket[:-1]])) if len(self.bucket) else []
+        for lo, hi in zip(starts, [*starts[1:], len(self.bucket)]):
+            heads, runs = np.unique(self.head[lo:hi], return_counts=True)
+            yield (int(self.bucket[lo]), chunk, heads.tobytes(), packed(runs), self.gram[lo:hi].tobytes(), packed(self.n[lo:hi]))
+
+
+def table_of(rows: list[tuple], kinds: list) -> pa.RecordBatch:
+    columns = list(zip(*rows)) or [[]] * len(kinds)
+    return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names=list(map(str, range(len(kinds)))))
+
+
+def renamed(batches: Iterator[pa.RecordBatch], schema: str) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        yield batch.rename_columns([c.split()[0] for c in schema.split(", ")])
+
+
+def counted(chunks: DataFrame, buckets: int) -> DataFrame:
+    """BLOCKS of the chunks, each of which is in one task, one after the other."""
+    kinds = [pa.int64()] * 2 + [pa.binary()] * 4
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, texts = None, []
+        for batch in batches:
+            for chunk, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                if chunk != now:
+                    if texts:
+                        yield table_of(list(Grams(texts, buckets).blocks(now)), kinds)
+                    now, texts = chunk, []
+                texts.append(text)
+        if texts:
+            yield table_of(list(Grams(texts, buckets).blocks(now)), kinds)
+
+    return chunks.select("chunk", "text").mapInArrow(lambda b: renamed(run(b), BLOCKS), BLOCKS)
+
+
+def by_key(batches: Iterator[pa.RecordBatch], key: int = 0) -> Iterator[list[tuple]]:
+    """The rows of one key after another."""
+    now, held = None, []
+    for batch in batches:
+        for row in zip(*(c.to_pylist() for c in batch.columns)):
+            if row[key] != now:
+                if held:
+                    yield held
+                now, held = row[key], []
+            held.append(row)
+    if held:
+        yield held
+
+
+ANSWER = [pa.int32(), pa.int64(), pa.int64(), pa.binary(), pa.binary(), pa.binary()]
+
+
+def merged(blocks: DataFrame, buckets: int) -> DataFrame:
+    """ANSWERS of each bucket: COUNTS to (chunk, bucket), 0 where a gram is not in the model; AFTER, what follows heads, to the
+    head's bucket; WORDS of the model in a chunk, to their bucket; SUMS of the bucket's words."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows in by_key(batches):
+            out, bucket = [], rows[0][0]
+            grams = [np.frombuffer(r[4], np.uint64) for r in rows]
+            head = np.concatenate([np.repeat(np.frombuffer(r[2], np.uint64), unpacked(r[3])) for r in rows])
+            n = np.concatenate([unpacked(r[5]) for r in rows])
+            target = np.repeat([r[1] < 0 for r in rows], [len(g) for g in grams])
+            gram, at, place = np.unique(np.concatenate(grams), return_index=True, return_inverse=True)
+            place, head = place.ravel(), head[at]
+            b, t = (np.bincount(place, np.where(target == side, n, 0), len(gram)).astype(np.int64) for side in (False, True))
+            word, model = head == gram, (b + t >= 2) | (t > 0)
+            totals = [b[word].sum(), t[word].sum(), b[word & model].sum(), t[word & model].sum(), (word & model).sum()]
+            out.append((SUMS, bucket, None, packed(np.array(totals)), None, None))
+            b, t = np.where(model, b, 0), np.where(model, t, 0)
+            start = 0
+            for r, mine in zip(rows, grams):
+                p = place[start:start + len(mine)]
+                start += len(mine)
+                if r[1] > 0:
+                    out.append((COUNTS, r[1], bucket, None, packed(b[p]), packed(t[p])))
+                    out.append((WORDS, bucket, r[1], mine[word[p] & model[p]].tobytes(), None, None))
+            heads, p = np.unique(head[model & ~word], return_inverse=True)
+            after = [np.bincount(p.ravel(), x[model & ~word], len(heads)).astype(np.int64) for x in (b, t)]
+            of = bucket_of(heads, buckets)
+            for to in np.unique(of):
+                some = slice(*np.searchsorted(of, [to, to + 1]))
+                out.append((AFTER, int(to), bucket, heads[some].tobytes(), packed(after[0][some]), packed(after[1][some])))
+            yield table_of(out, ANSWER)
+
+    return (blocks.repartition("bucket").sortWithinPartitions("bucket", "chunk")
+            .mapInArrow(lambda b: renamed(run(b), ANSWERS), ANSWERS))
+
+
+def followed(answers: DataFrame) -> DataFrame:
+    """AFTER answers to (chunk, bucket), in the order of the chunk's WORDS."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows in by_key(batches, 1):
+            parts = [r for r in rows if r[0] == AFTER]
+            heads, p = np.unique(np.concatenate([np.frombuffer(r[3], np.uint64) for r in parts] or [np.zeros(0, np.uint64)]),
+                                 return_inverse=True)
+            sums = [np.bincount(p.ravel(), np.concatenate([unpacked(r[c]) for r in parts] or [np.zeros(0)]), len(heads)) for c in (4, 5)]
+            out = []
+            for _, bucket, chunk, words, _, _ in (r for r in rows if r[0] == WORDS):
+                at, there = found(heads, np.frombuffer(words, np.uint64))
+                b, t = (np.where(there, s[at], 0) if len(s) else np.zeros(len(at)) for s in sums)
+                out.append((AFTER, chunk, bucket, None, packed(b), packed(t)))
+            yield table_of(out, ANSWER)
+
+    wanted = answers.filter(F.col("kind").isin(AFTER, WORDS))
+    return (wanted.repartition("key").sortWithinPartitions("key", "kind", "at")
+            .mapInArrow(lambda b: renamed(run(b), ANSWERS), ANSWERS))
+
+
+def losses(grams: Grams, counts: list, after: list, sums: np.ndarray) -> list[np.ndarray]:
+    """Mean target and background loss of each of a chunk's texts.
+
+    `counts` and `after` are (background, target), of all grams and of those that are words of the model.
+    """
+    known = (counts[0] + counts[1] > 0) & (grams.gram == grams.head)
+    doc = np.repeat(np.arange(len(grams.sizes)), grams.sizes)
+    then = np.flatnonzero(grams.pair >= 0)
+    then = then[known[grams.word[then - 1]]]
     out = []
-    for name in ("t", "b"):
-        m = model[name]
-        p = m["single"][word]
-        if len(h) > 1:
-            n = np.where(is_pair, m["pair"][pair_at], 0.0) if len(m["pair"]) else 0.0
-            q = (n + STRENGTH * p[1:]) / (m["after"][word[:-1]] + STRENGTH)
-            p = np.concatenate([p[:1], np.where(known[:-1], q, p[1:])])
-        out.append(float(-np.log(p).mean()))
-    return out[0], out[1]
-
-
-def score(docs: DataFrame, target: DataFrame, text: str = "text", doc_id: str = "doc_id", share: float = SHARE) -> DataFrame:
+    for side in (1, 0):
+        total, kept, size = int(sums[side]), int(sums[2 + side]), int(sums[4])
+        p = (np.where(known, counts[side], total - kept)[grams.word] + 1.0) / (total + size + 1.0)
+        follows = np.zeros(len(known))
+        follows[known] = after[side]
+        loss = p.copy()
+        loss[then] = (counts[side][grams.pair[then]] + STRENGTH * p[then]) / (follows[grams.word[then - 1]] + STRENGTH)
+        out.append(np.bincount(doc, -np.log(loss), len(grams.sizes)) / np.maximum(grams.sizes, 1))
+    return out
+
+
+def score(docs: DataFrame, target: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
     """doc_id, n_tokens, target_loss, background_loss, difference of every row; `docs` itself is the background."""
-    model = docs.sparkSession.sparkContext.broadcast(models(docs.select(docs[text]), target, share))
+    spark = docs.sparkSession
+    rows = docs.select(docs[doc_id].cast("long").alias("doc_id"), docs[text].alias("text"))
+    aims = target.select(F.lit(None).cast("long").alias("doc_id"), target[target.columns[0]].alias("text"))
+    size = rows.union(aims).agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-size // CHUNK))
+    chunks = chunked(rows)
+    answers = stored(merged(counted(chunks, buckets).union(counted(chunked(aims, -1), buckets)), buckets))
+    sums = np.zeros(5, np.int64)
+    for row in answers.filter(F.col("kind") == SUMS).select("keys").toLocalIterator():
+        sums = sums + unpacked(row[0])
+    kinds = [pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.float64()]
+    schema = "doc_id bigint, n_tokens bigint, target_loss double, background_loss double, difference double"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            rows = []
-            for value in batch.column(1):
-                h = word_hashes(value.as_py())
-                t, b = losses(h, model.value) if len(h) else (None, None)
-                rows.append((len(h), t, b, None if t is None else t - b))
-            if rows:
-                n, t, b, d = zip(*rows)
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column(0), pa.array(n, pa.int64()), *(pa.array(x, pa.float64()) for x in (t, b, d))],
-                    names=["doc_id", "n_tokens", "target_loss", "background_loss", "difference"])
-
-    return docs.select(docs[doc_id].cast("long").alias("doc_id"), docs[text].alias("text")).mapInArrow(
-        run, "doc_id bigint, n_tokens bigint, target_loss double, background_loss double, difference double")
+        for rows in by_key(batches):
+            texts = [r for r in rows if r[1] < 0]
+            grams = Grams([r[6] for r in texts], buckets)
+            counts, after = ([np.concatenate([unpacked(r[c]) for r in rows if r[1] == kind] or [np.zeros(0, np.int64)]) for c in (3, 4)]
+                             for kind in (COUNTS, AFTER))
+            if len(counts[0]) != len(grams.gram):
+                raise ValueError("the documents were not in the same partitions when read again")
+            t, b = losses(grams, counts, after, sums)
+            out = [(r[5], int(n), *((float(x), float(y), float(x - y)) if n else (None,) * 3)) for r, n, x, y in zip(texts, grams.sizes, t, b)]
+            yield table_of(out, kinds)
+
+    none = F.lit(None)
+    told = answers.filter(F.col("kind") == COUNTS).union(followed(answers)).select(
+        F.col("key").alias("chunk"), "kind", "at", "b", "t", none.cast("long").alias("doc_id"), none.cast("string").alias("text"))
+    asked = chunks.select("chunk", F.lit(-1).alias("kind"), none.cast("long").alias("at"), none.cast("binary").alias("b"),
+                          none.cast("binary").alias("t"), "doc_id", "text")
+    # Documents come first in both unions, so that their tasks, which number the chunks, are the same.
+    return (asked.union(told).repartition("chunk").sortWithinPartitions("chunk", "kind", "at")
+            .mapInArrow(lambda b: renamed(run(b), schema), schema))

@@ -74,6 +74,32 @@ def test_losses_equal_brute_force(spark, documents):
     assert len(empty) == len(texts)
 
 
+def test_every_target_gram_is_in_the_model_of_a_large_background(documents, spark, monkeypatch):
+    """A million and a half other tokens change no target gram to 'unknown'; texts fall into several chunks."""
+    monkeypatch.setattr(scoring, "CHUNK", 1 << 18)
+    filler = ["the of and in " * 8000] * 50
+    texts = dict(enumerate([*filler, "rare phrase of words", "words of phrase rare", "rare rare once", "of the rare phrase"]))
+    target = ["rare phrase of words here", "only once"]
+    got = {r.doc_id: r for r in scoring.score(documents(*texts.items()), spark.createDataFrame([(t,) for t in target], "text string")).collect()}
+    words, pairs = Counter(), Counter()
+    for name in (*texts.values(), *target):
+        words.update(name.split())
+        pairs.update(zip(name.split(), name.split()[1:]))
+    wanted = {w for t in target for w in t.split()} | {w for w, n in words.items() if n >= 2}
+    bigrams = {q for t in target for q in zip(t.split(), t.split()[1:])} | {q for q, n in pairs.items() if n >= 2}
+    aim, heads, c, size = Counter(w for t in target for w in t.split()), Counter(), Counter(), len(wanted)
+    for t in target:
+        c.update(zip(t.split(), t.split()[1:]))
+    for q in bigrams:
+        heads[q[0]] += c[q]
+    for key in (50, 51, 53):
+        w = texts[key].split()
+        p = [(aim[x] + 1) / (7 + size + 1) for x in w]
+        loss = -math.log(p[0]) - sum(math.log((c[q] + scoring.STRENGTH * p[i + 1]) / (heads[q[0]] + scoring.STRENGTH)) for i, q in enumerate(zip(w, w[1:])))
+        assert abs(got[key].target_loss - loss / len(w)) < 1e-9
+    assert got[50].target_loss < got[51].target_loss and len(got) == len(texts)
+
+
 def nearest(rows, k=10):
     ids = np.array([r[0] for r in rows])
     vectors = np.array([r[1] for r in rows], float)
