@@ -34,7 +34,8 @@ class Encoder:
     """Ids of whole texts, as little-endian bytes of unsigned 32-bit numbers.
 
     `path` is the vocabulary for `tokenizers`; with `ranks`, the same vocabulary as tiktoken ranks, texts are encoded by the
-    faster library, to the same ids.  Texts that hold a special token's string always go to the tokenizer itself.
+    faster library, to the same ids.  Texts that hold a special token's string, and those on which the faster library panics, go to the
+    tokenizer itself.
     """
 
     def __init__(self, path: str, ranks: str | None = None):
@@ -50,10 +51,15 @@ class Encoder:
             self.fast = tiktoken.Encoding("ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=known, special_tokens={})
 
     def encode(self, text: str) -> bytes:
-        if self.fast is None or any(s in text for s in self.special):
+        ids = None
+        if self.fast is not None and not any(s in text for s in self.special):
+            try:
+                ids = self.fast.encode_ordinary(text)
+            except BaseException as error:  # its pattern matcher panics on very long runs of white space
+                if type(error).__name__ != "PanicException":
+                    raise
+        if ids is None:
             ids = self.tokenizer.encode(text, add_special_tokens=False).ids
-        else:
-            ids = self.fast.encode_ordinary(text)
         return np.array(ids, "<u4").tobytes()
 
 

@@ -31,6 +31,13 @@ def test_encoder_equals_the_tokenizer(tokenizer, spark):
             assert encoder.encode(text or "") + bytes(4) == ids_of(tokenizer, text).tobytes()
 
 
+def test_long_runs_of_white_space(tokenizer):
+    encoder = packing.Encoder(tokenizer_path(), tokenizer_path("byte_bpe_50k.tiktoken"))
+    for text in ("a" + " " * 2_000_000 + "b", "\n" * 2_000_000):
+        assert encoder.encode(text) + bytes(4) == ids_of(tokenizer, text).tobytes()
+    assert encoder.encode("a b") + bytes(4) == ids_of(tokenizer, "a b").tobytes()
+
+
 def check(rows, docs, tokenizer):
     pieces, sequences = defaultdict(list), defaultdict(list)
     for r in rows:
