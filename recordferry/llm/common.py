@@ -46,6 +46,32 @@ def stored(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+#: Stands for a null id where ids are keys.
+NO_ID = -(1 << 63)
+
+
+def own_ids(docs: DataFrame, doc_id: str = "doc_id") -> bool:
+    """Whether no id is there twice, null included."""
+    key = F.coalesce(docs[doc_id].cast("long"), F.lit(NO_ID))
+    return docs.select(key.alias("doc")).groupBy("doc").count().filter("count > 1").isEmpty()
+
+
+def numbered(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
+    """(doc, row): each row of `docs` as a struct, with a key of its own that rises with the id, null ids first.
+
+    Where ids are unique, the key is the id (null: NO_ID).  Otherwise rows are sorted by id, hash of the text and occurrence,
+    and written once with their number.
+    """
+    key = F.coalesce(docs[doc_id].cast("long"), F.lit(NO_ID))
+    row = F.struct(*[docs[c] for c in docs.columns]).alias("row")
+    if own_ids(docs, doc_id):
+        return docs.select(key.alias("doc"), row)
+    order = ["doc", "hash", "occurrence"]
+    rows = docs.select(row, key.alias("doc"), F.xxhash64(docs[text]).alias("hash"), F.monotonically_increasing_id().alias("occurrence"))
+    rows = rows.repartitionByRange(*order).sortWithinPartitions(*order)
+    return stored(rows.select(F.monotonically_increasing_id().alias("doc"), "row"))
+
+
 def word_count(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")
 

@@ -13,8 +13,8 @@ or all tested; so all pairs in a bucket are tested or connected.  A pair goes on
 themselves overlap by 0.8.  Classes are the connected components of the links; no group is ever expanded into its pairs.
 
 Equal word sequences count once and are members of their class; so white space does not matter, and texts without words
-(null, empty) are copies of one another.  Texts of one to four words are one shingle.  doc_id identifies a document;
-repeated rows repeat its class, a null doc_id counts as the least id.  An empty table gives no classes.
+(null, empty) are copies of one another.  Texts of one to four words are one shingle.  Each row is a document, also where
+ids repeat or are null; a null doc_id counts as the least id.  An empty table gives no classes.
 """
 
 from __future__ import annotations
@@ -28,14 +28,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from recordferry.llm.common import components, join_counted, saved, stored
+from recordferry.llm.common import NO_ID, components, join_counted, numbered, own_ids, saved, stored
 
 WORDS, SIMILAR = 5, 0.8
 BANDS, ROWS = 32, 4
 REGISTERS = BANDS * ROWS
 SURE = 76
 HUB, BUCKET = 400, 4096
-NO_ID = -(1 << 63)
 GOLDEN = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -239,7 +238,20 @@ def _between(members: DataFrame, known: DataFrame, different: DataFrame, texts:
 def near_classes(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
     """(doc, class_id, copies): every row's key (doc_id, null as the least long), the least key of its class, and how many
     documents have its very words."""
-    texts = docs.select(F.coalesce(docs[doc_id].cast("long"), F.lit(NO_ID)).alias("doc"), docs[text].alias("text"))
+    if own_ids(docs, doc_id):
+        return classes_of(docs.select(F.coalesce(docs[doc_id].cast("long"), F.lit(NO_ID)).alias("doc"), docs[text].alias("text")))
+    rows = numbered(docs, text, doc_id)
+    ids = rows.select("doc", F.coalesce(F.col(f"row.{doc_id}").cast("long"), F.lit(NO_ID)).alias("id"))
+    classes = stored(classes_of(rows.select("doc", F.col(f"row.{text}").alias("text"))))
+    # The least key of a class has the least id; a class is one row here, its members many.
+    sizes = classes.groupBy("class_id").agg(F.count("*").alias("members"))
+    named = sizes.join(ids, sizes["class_id"] == ids["doc"]).select("class_id", "members", F.col("id").alias("class"))
+    found = join_counted(classes.join(ids, "doc"), named, "class_id", "members", classes.count())
+    return found.select(F.col("id").alias("doc"), F.col("class").alias("class_id"), "copies")
+
+
+def classes_of(texts: DataFrame) -> DataFrame:
+    """(doc, class_id, copies) of `texts` (doc, text), in which each doc is there once."""
     signed = stored(texts.mapInArrow(sign, "doc bigint, words binary, bands array<bigint>, sketch binary"))
     total = signed.count()
     different = stored(signed.groupBy("words").agg(F.min("doc").alias("doc"), F.count("*").alias("copies"),
@@ -259,7 +271,7 @@ def near_classes(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") ->
     leader = F.max(F.struct("bands", (-F.col("least")).alias("minus")))
     first = saved(likely(leaders.groupBy("doc").agg((-leader["minus"]).alias("a")).withColumnRenamed("doc", "b").select("a", "b")))
     wanted = members.select("doc").distinct()
-    pool = stored(texts.join(wanted, "doc").dropDuplicates(["doc"]))
+    pool = stored(texts.join(wanted, "doc"))
     links = saved(verified(first, pool).select("a", "b"))
     # Then the components that still share a bucket.
     rest = saved(_between(members, components(links), different, pool).distinct())
@@ -270,8 +282,7 @@ def near_classes(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") ->
 
 
 def one_per_class(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
-    """The rows of `docs` whose id is the least of its class, columns unchanged; of rows that share an id one stays."""
-    keep = near_classes(docs, text, doc_id).filter("doc = class_id").select("doc").distinct()
-    rows = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("row"),
-                       F.coalesce(docs[doc_id].cast("long"), F.lit(NO_ID)).alias("doc"))
-    return rows.join(keep, "doc").dropDuplicates(["doc"]).select("row.*")
+    """The rows of `docs` that come first in their class by id, columns unchanged; of those that share the least id one stays."""
+    rows = numbered(docs, text, doc_id)
+    keep = classes_of(rows.select("doc", F.col(f"row.{text}").alias("text"))).filter("doc = class_id").select("doc")
+    return rows.join(keep, "doc").select("row.*")

@@ -156,12 +156,13 @@ def by_key(batches: Iterator[pa.RecordBatch], key: int = 0) -> Iterator[list[tup
     """The rows of one key after another."""
     now, held = None, []
     for batch in batches:
-        for row in zip(*(c.to_pylist() for c in batch.columns)):
-            if row[key] != now:
-                if held:
-                    yield held
-                now, held = row[key], []
-            held.append(row)
+        for start in range(0, batch.num_rows, 200):
+            for row in zip(*(c.to_pylist() for c in batch.slice(start, 200).columns)):
+                if row[key] != now:
+                    if held:
+                        yield held
+                    now, held = row[key], []
+                held.append(row)
     if held:
         yield held
 
@@ -267,6 +268,8 @@ def score(docs: DataFrame, target: DataFrame, text: str = "text", doc_id: str =
             grams = Grams([r[6] for r in texts], buckets)
             counts, after = ([np.concatenate([unpacked(r[c]) for r in rows if r[1] == kind] or [np.zeros(0, np.int64)]) for c in (3, 4)]
                              for kind in (COUNTS, AFTER))
+            texts = [r[:6] for r in texts]
+            rows.clear()
             if len(counts[0]) != len(grams.gram):
                 raise ValueError("the documents were not in the same partitions when read again")
             t, b = losses(grams, counts, after, sums)

@@ -17,8 +17,8 @@ bucket, in a stream, so memory grows with different contexts only.  Anchors that
 documents are dealt over SALTS buckets, which pass on one occurrence per context; the sample decides where rows go, never
 what counts.
 
-Null text is empty.  Texts under MIN bytes lose nothing.  doc_id identifies a document: repeated rows are one document and get
-equal results; a null doc_id counts as the least id.  An empty table gives an empty result.  Hashes of K bytes have 64 bits;
+Null text is empty.  Texts under MIN bytes lose nothing.  Each row is a document, also where ids repeat or are null: such rows
+are ordered by id (null first) and hash of the text.  An empty table gives an empty result.  Hashes of K bytes have 64 bits;
 bytes beyond the K are compared themselves.
 """
 
@@ -32,11 +32,12 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from recordferry.llm.common import NO_ID, numbered
+
 MIN, K = 100, 40
 SALTS, SAMPLE, HOT = 64, 4000, 40
 BLOCK = 1 << 15
 HOT_BIT = 1 << 62
-NO_ID = -(1 << 63)
 ROOT = 0x9E3779B97F4A7C15
 
 
@@ -232,7 +233,7 @@ def find_repeats(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def keyed(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
-    return docs.select(F.coalesce(docs[doc_id].cast("long"), F.lit(NO_ID)).alias("doc"), docs[text].alias("text"))
+    return numbered(docs, text, doc_id).select("doc", F.col(f"row.{text}").alias("text"))
 
 
 def hot_anchors(texts: DataFrame) -> DataFrame | None:
@@ -326,12 +327,11 @@ def digests(docs: DataFrame) -> DataFrame:
                 out.append((doc, len(data), sum(e - s for s, e in runs), len(runs), hashlib.sha256(without(data, runs)).hexdigest()))
             if out:
                 yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out), kinds)],
-                                                 names=["doc", "n_bytes", "n_removed", "n_spans", "kept_sha256"])
+                                                 names=["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"])
 
-    texts = keyed(docs)
-    found = texts.join(spans_of(texts), "doc", "left").select("doc", "text", "spans").mapInArrow(
-        run, "doc bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string")
-    return found.select(original(F.col("doc")).alias("doc_id"), "n_bytes", "n_removed", "n_spans", "kept_sha256")
+    rows = numbered(docs).select("doc", F.col("row.doc_id").cast("long").alias("doc_id"), F.col("row.text").alias("text"))
+    return rows.join(spans_of(rows.select("doc", "text")), "doc", "left").select("doc_id", "text", "spans").mapInArrow(
+        run, "doc_id bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string")
 
 
 def remove_repeats(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
@@ -345,9 +345,7 @@ def remove_repeats(docs: DataFrame, text: str = "text", doc_id: str = "doc_id")
             return without(data, merged(found, len(data))).decode(errors="ignore")
         return pa.array(map(one, texts.to_pylist(), spans.to_pylist()), pa.string())
 
-    spans = spans_of(keyed(docs, text, doc_id))
-    rows = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("row"),
-                       F.coalesce(docs[doc_id].cast("long"), F.lit(NO_ID)).alias("doc"))
-    joined = rows.join(spans, "doc", "left")
+    rows = numbered(docs, text, doc_id)
+    joined = rows.join(spans_of(rows.select("doc", F.col(f"row.{text}").alias("text"))), "doc", "left")
     shorter = cut(F.col(f"row.{text}"), F.col("spans"))
     return joined.select(*[shorter.alias(c) if c == text else F.col(f"row.{c}") for c in docs.columns])

@@ -108,3 +108,14 @@ def test_copies_around_an_original_that_is_not_the_least(documents):
     docs[500] = " ".join(base)
     got = {r.doc: r.class_id for r in minhash.near_classes(documents(*docs.items())).collect()}
     assert got == brute(docs)
+
+
+def test_rows_without_an_id_of_their_own_are_documents(documents):
+    """Null and repeated ids with different texts: only rows with an earlier near copy go."""
+    a, b, c = (" ".join(words(random.Random(seed), 60, 10**6)) for seed in (31, 32, 33))
+    docs = documents((None, a), (None, b), (None, b), (7, c), (7, a), (7, "short"), (8, c))
+    kept = minhash.one_per_class(docs).collect()
+    assert sorted(((r.doc_id, r.text) for r in kept), key=str) == sorted([(None, a), (None, b), (7, c), (7, "short")], key=str)
+    rows = sorted(tuple(r) for r in minhash.near_classes(docs).collect())
+    null = minhash.NO_ID
+    assert rows == sorted([(null, null, 2), (null, null, 2), (null, null, 2), (7, 7, 2), (7, null, 2), (7, 7, 1), (8, 7, 2)])

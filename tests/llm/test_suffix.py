@@ -91,3 +91,16 @@ def test_removal_keeps_rows_and_columns(documents):
 def test_bucket_intervals():
     assert sorted(suffix.intervals([2, 1, 1])) == [(1, 0, 3), (2, 0, 1)]
     assert suffix.common(b"abcd", b"abxd") == 2 and suffix.common(b"ab", b"abc") == 2 and suffix.common(b"", b"a") == 0
+
+
+def test_rows_without_an_id_of_their_own_are_documents(documents):
+    """Null and repeated ids: each text is cut at its own offsets, and only what an earlier row holds."""
+    rng = random.Random(11)
+    p, q, r = (text(rng, 150, "abcdefgh") for _ in range(3))
+    docs = documents((None, p), (None, q), (5, r), (5, "x" * 60 + p), (6, q + "tail" + r))
+    out = {(d.doc_id, d.text) for d in suffix.remove_repeats(docs).collect()}
+    assert out == {(None, p), (None, q), (5, r), (5, "x" * 60), (6, "tail")}
+    found = sorted((tuple(d)[:4] for d in suffix.digests(docs).collect()), key=str)
+    assert found == sorted([(None, 150, 0, 0), (None, 150, 0, 0), (5, 150, 0, 0), (5, 210, 150, 1), (6, 304, 300, 2)], key=str)
+    twice = suffix.remove_repeats(documents((None, p), (None, p))).collect()
+    assert sorted(d.text for d in twice) == ["", p]
