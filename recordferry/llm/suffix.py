@@ -14,12 +14,13 @@ it, from more than one left extension, is a maximal repeat of l + K + r bytes.
 Scale: only anchor hashes that occur twice or more go on; counting them is one shuffle of (hash, document, place), and texts
 are shuffled once, used to cut the records and again for the result.  Records with equal bytes on both sides count once per
 bucket, in a stream, so memory grows with different contexts only.  Anchors that a sample finds in a hundredth of the
-documents are dealt over SALTS buckets, which pass on one occurrence per context; the sample decides where rows go, never
-what counts.
+documents are dealt over SALTS buckets, which pass on one occurrence per context.  These, of which there may be one in each
+document, are dealt again by each MIN-byte window around the anchor, and the earliest row of a window is joined to the others:
+no task holds them all.  The sample decides where rows go, never what counts.
 
 Null text is empty.  Texts under MIN bytes lose nothing.  Each row is a document, also where ids repeat or are null: such rows
 are ordered by id (null first) and hash of the text.  An empty table gives an empty result.  Hashes of K bytes have 64 bits;
-bytes beyond the K are compared themselves.
+bytes beyond the K are compared themselves, or by 128-bit digests of whole windows of hot anchors.
 """
 
 from __future__ import annotations
@@ -29,10 +30,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from recordferry.llm.common import NO_ID, numbered
+from recordferry.llm.common import NO_ID, join_counted, numbered, stored
 
 MIN, K = 100, 40
 SALTS, SAMPLE, HOT = 64, 4000, 40
@@ -268,10 +270,38 @@ def repeats(texts: DataFrame) -> DataFrame:
     found = _scan(records(per_doc))
     if hot is None:
         return found
-    # One occurrence per context and salt is left of every hot anchor: few rows, whatever the anchor's count.
+    # One occurrence per context and salt is left of every hot anchor; equal surroundings leave few, different ones many.
     hot_only = per_doc.withColumn("anchors", F.filter("anchors", lambda a: a["info"] >= HOT_BIT)).filter(F.size("anchors") > 0)
     left = records(hot_only).groupBy("hash", "left", "right", "salt").agg(F.min(F.struct("doc", "place")).alias("first"))
-    return found.union(_scan(left.select("hash", "first.doc", "first.place", "left", "right", F.lit(0).alias("salt"))))
+    return found.union(same_windows(left.select("hash", "first.doc", "first.place", "left", "right")))
+
+
+def cut_windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(hash, doc, place, left, right) to (window, doc, place, before): a digest of each MIN-byte window that has the anchor
+    `before` bytes after its start."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, 1000):
+            out = []
+            for h, doc, place, left, right in zip(*(c.to_pylist() for c in batch.slice(at, 1000).columns)):
+                context, head = left + right, h.to_bytes(8, "little", signed=True)
+                for before in range(max(0, MIN - K - len(right)), min(MIN - K, len(left)) + 1):
+                    start = len(left) - before
+                    out.append((xxhash.xxh3_128_digest(head + bytes([before]) + context[start:start + MIN - K]), doc, place, before))
+            columns = list(zip(*out)) or [[]] * 4
+            kinds = [pa.binary(), pa.int64(), pa.int64(), pa.int32()]
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names=["window", "doc", "place", "before"])
+
+
+def same_windows(contexts: DataFrame) -> DataFrame:
+    """Repeats among records (hash, doc, place, left, right), one row for each pair of a later and an earliest occurrence."""
+    windows = stored(contexts.mapInArrow(cut_windows, "window binary, doc bigint, place bigint, before int"))
+    first = windows.groupBy("window").agg(F.min(F.struct("doc", "place")).alias("first"), F.count("*").alias("n")).filter("n > 1")
+    met = join_counted(windows, first, "window", "n", windows.count())
+    later = met.filter("n is not null and (doc <> first.doc or place <> first.place)")
+    pairs = later.groupBy("doc", "place", F.col("first.doc").alias("of_doc"), F.col("first.place").alias("of_place")).agg(
+        F.min("before").alias("low"), F.max("before").alias("high"))
+    return pairs.select("doc", (F.col("place") - F.col("high")).alias("start"), (F.col("place") + MIN - F.col("low")).alias("end"),
+                        "of_doc", (F.col("of_place") - F.col("high")).alias("of_start"))
 
 
 def _salt(marked: str) -> Column:

@@ -104,3 +104,27 @@ def test_rows_without_an_id_of_their_own_are_documents(documents):
     assert found == sorted([(None, 150, 0, 0), (None, 150, 0, 0), (5, 150, 0, 0), (5, 210, 150, 1), (6, 304, 300, 2)], key=str)
     twice = suffix.remove_repeats(documents((None, p), (None, p))).collect()
     assert sorted(d.text for d in twice) == ["", p]
+
+
+def test_different_contexts_of_a_hot_anchor_are_not_held_in_one_bucket(documents, monkeypatch):
+    """A short line in every document with other text around it; some share a whole window."""
+    rng = random.Random(12)
+    line, longer = text(rng, 80, "abcdefgh"), text(rng, 30, "abcdefgh")
+    docs = {i: text(rng, 80) + line + (longer if i % 5 == 0 else "") + text(rng, 80) for i in range(60)}
+    whole = suffix.bucket_repeats
+
+    def scanned(batches):
+        def counted(contexts, *rest):
+            assert len(contexts) < 30, "a hot anchor's contexts met in one bucket"
+            return whole(contexts, *rest)
+        suffix.bucket_repeats = counted
+        try:
+            yield from original(batches)
+        finally:
+            suffix.bucket_repeats = whole
+
+    original = suffix.find_repeats
+    monkeypatch.setattr(suffix, "find_repeats", scanned)
+    rows = suffix.digests(documents(*docs.items())).collect()
+    assert {r[0]: tuple(r)[1:] for r in rows} == brute(docs)
+    assert sum(r.n_removed for r in rows) > 0
