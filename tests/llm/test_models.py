@@ -28,6 +28,14 @@ def test_scores_of_odd_rows(documents, rows):
     assert quality.score(docs.limit(0), quality.train(docs, labels.limit(0))).count() == 0
 
 
+def test_repeated_rows_train_once(documents, rows):
+    once = [(1, "good words in here"), (2, "BAD BAD BAD BAD ###"), (3, "more of good words"), (4, "BAD ### and words")]
+    labels = rows("doc_id bigint, label int", (1, 1), (2, 0), (3, 1), (4, 0))
+    one = quality.train(documents(*once), labels)
+    many = quality.train(documents(*once, *[once[0]] * 50, *[once[3]] * 30), labels)
+    assert np.allclose(one["weights"], many["weights"], atol=1e-12) and one["at"] == many["at"]
+
+
 def brute_losses(docs, target, least):
     c = {"b": Counter(), "t": Counter()}
     p = {"b": Counter(), "t": Counter()}
