@@ -13,10 +13,11 @@ SETTINGS = {
     # A profile of 94 columns has more than 100 measures; keep it inside generated code.
     "spark.sql.codegen.maxFields": "400",
     "spark.sql.session.timeZone": "UTC",
-    # Jobs are built from many column expressions; do not record a call site for each.
-    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
+#: May be set before a session starts only: jobs are built from many column expressions; do not record a call site for each.
+STATIC = {"spark.python.sql.dataFrameDebugging.enabled": "false"}
+
 
 def configure(spark: SparkSession) -> SparkSession:
     """Put the settings into a caller's session; all of them may be changed while it runs."""
@@ -30,7 +31,7 @@ def local_session(cores: str = "8", **extra: str) -> SparkSession:
     builder = (SparkSession.builder.master(f"local[{cores}]").appName("recordferry")
                .config("spark.ui.enabled", "false").config("spark.driver.memory", "8g")
                .config("spark.sql.shuffle.partitions", cores))
-    for key, value in {**SETTINGS, **extra}.items():
+    for key, value in {**SETTINGS, **STATIC, **extra}.items():
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
