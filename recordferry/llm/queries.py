@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from recordferry.llm import ann, chat, minhash, mixing, packing, quality, rules, scoring, suffix, urls
-from recordferry.llm.common import table
+from recordferry.llm import ann, chat, minhash, mixing, packing, quality, rules, scoring, suffix, tokens, urls
+from recordferry.llm.common import scratch, table
 
 
 def tokenizer_path(name: str = "byte_bpe_50k.json") -> str:
@@ -88,5 +88,11 @@ def op10_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return classes.select(suffix.original(F.col("doc")).alias("doc_id"), suffix.original(F.col("class_id")).alias("class_id"), "copies")
 
 
+def op13_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The cache is a new folder of this run, so the counts depend on the given table alone."""
+    vocabulary = tokens.Vocabulary(tokenizer_path("word_bpe_49k.json"), drops_space=True, folds_case=True)
+    return tokens.count_tokens(table(spark, sf_dir, "documents"), vocabulary, scratch(spark))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {name: f for name, f in globals().items() if name.startswith("op")}
