@@ -21,6 +21,7 @@ import hashlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -72,7 +73,7 @@ class TokenCounter:
     """Counts of whole texts as the library gives them, without begin, end or added special tokens."""
 
     def __init__(self, vocabulary: Vocabulary):
-        self.drops_space, self.memo = vocabulary.drops_space, {}
+        self.drops_space, self.folds_case, self.memo = vocabulary.drops_space, vocabulary.folds_case, {}
         if vocabulary.library == "sentencepiece":
             import sentencepiece
             model = sentencepiece.SentencePieceProcessor(model_file=vocabulary.path)
@@ -82,18 +83,28 @@ class TokenCounter:
             model = Tokenizer.from_file(vocabulary.path)
             model.no_truncation()
             model.no_padding()
-            # one by one: a batch would start threads for all cores in every task
+            self.model = model
             self.counts = lambda texts: [len(model.encode(t, add_special_tokens=False)) for t in texts]
 
+    def word_counts(self, words: list[str]) -> list[int]:
+        """Counts of words without white space, of a vocabulary that drops it: read off one encoding of all of them."""
+        starts = np.cumsum([0] + [len(w) + 1 for w in words[:-1]])
+        tokens = self.model.encode(" ".join(words), add_special_tokens=False).offsets
+        of = np.searchsorted(starts, [start for start, _ in tokens], side="right") - 1
+        return np.bincount(of, minlength=len(words)).tolist()
+
     def count(self, text: str) -> int:
         if not self.drops_space:
             return self.counts([text])[0]
-        words, memo = text.encode().split(), self.memo  # bytes part at ASCII white space only
+        data, memo = text.encode(), self.memo
+        if self.folds_case and text.isascii() and "<|" not in text:
+            data = data.lower()
+        words = data.split()  # bytes part at ASCII white space only
         new = [w for w in set(words) if w not in memo]
         if len(memo) + len(new) > MEMO:
             memo.clear()
             new = list(set(words))
-        memo.update(zip(new, self.counts([w.decode() for w in new])))
+        memo.update(zip(new, self.word_counts([w.decode() for w in new]) if new else ()))
         total = sum(map(memo.__getitem__, words))
         for w in new:
             if len(w) > MEMO_BYTES:
