@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from recordferry.llm import ann, chat, minhash, mixing, packing, quality, rules, scoring, suffix, tokens, urls
+from recordferry.llm import ann, chat, minhash, mixing, packing, quality, rules, scoring, suffix, tokens, trie, urls
 from recordferry.llm.common import scratch, table
 
 
@@ -88,6 +89,18 @@ def op10_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return classes.select(suffix.original(F.col("doc")).alias("doc_id"), suffix.original(F.col("class_id")).alias("class_id"), "copies")
 
 
+def head_turns(conv: int) -> int:
+    return zlib.crc32(str(conv).encode()) % 9
+
+
+def op12_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each conversation c starts with the first turns of conversation c - c % 5."""
+    conv = F.col("conv_id").cast("long")
+    nodes = trie.build(trie.paths(table(spark, sf_dir, "conversations"), conv - conv % 5, head_turns))
+    return nodes.select("conv_id", "depth", "parent_conv_id", "n_convs", "n_children", "n_leaves", "saved_tokens",
+                        trie.ends_text(F.col("ends")).alias("ends_sha256"))
+
+
 def op13_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The cache is a new folder of this run, so the counts depend on the given table alone."""
     vocabulary = tokens.Vocabulary(tokenizer_path("word_bpe_49k.json"), drops_space=True, folds_case=True)

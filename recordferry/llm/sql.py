@@ -79,6 +79,41 @@ select conv_id, count(*)::bigint as n_turns, sha256(string_agg(role || chr(10) |
 from p group by conv_id
 """
 
+# crc32 of the decimal digits: for each byte one exclusive or, then eight steps of a shift register
+OP12 = r"""
+with t as (
+  select conv_id::bigint as conv_id, row_number() over (partition by conv_id order by turn nulls first, mark) as pos, mark, bytes
+  from (select conv_id, turn, md5(length(coalesce(role, ''))::varchar || ':' || coalesce(role, '') || coalesce(text, '')) as mark,
+               strlen(coalesce(text, ''))::bigint as bytes from conversations where conv_id is not null)),
+c as (
+  select conv_id, conv_id - conv_id % 5 as family,
+         xor(list_reduce(flatten(list_transform(string_split(conv_id::varchar, ''), lambda ch:
+               list_concat([ascii(ch)::bigint], list_transform(range(8), lambda i: -1::bigint)))),
+             lambda a, x: case when x >= 0 then xor(a, x) else xor(a >> 1, 3988292384::bigint * (a & 1)) end,
+             4294967295::bigint), 4294967295::bigint) % 9 as head
+  from (select distinct conv_id from t)),
+r as (
+  select c.conv_id, 0 as part, pos, mark, bytes from c join t on t.conv_id = c.family and pos <= head
+  union all select c.conv_id, 1, pos, mark, bytes from c join t on t.conv_id = c.conv_id and pos > head),
+o as (select conv_id, row_number() over (partition by conv_id order by part, pos) as depth, mark, bytes from r),
+p as (select conv_id, depth, bytes, string_agg(mark, '/') over (partition by conv_id order by depth) as key from o),
+m as (
+  select conv_id, 0::bigint as depth, 0::bigint as bytes, '' as key, null::varchar as parent from c
+  union all select conv_id, depth, bytes, key, coalesce(lag(key) over (partition by conv_id order by depth), '') from p),
+ended as (
+  select key, string_agg(conv_id::varchar, ',' order by conv_id) as ids
+  from (select conv_id, arg_max(key, depth) as key from m group by conv_id) group by key),
+n as (select key, min(conv_id) as conv_id, any_value(depth) as depth, any_value(parent) as parent, any_value(bytes) as bytes, count(*) as n_convs
+      from m group by key),
+k as (select parent as key, count(*) as n_children from n where parent is not null group by parent),
+s as (
+  select m.key, sum((u.n_convs - 1) * u.bytes)::bigint as saved_tokens, count(*) filter (where k.key is null) as n_leaves
+  from n u left join k on k.key = u.key join m on m.conv_id = u.conv_id and m.depth <= u.depth group by m.key)
+select n.conv_id, n.depth, up.conv_id as parent_conv_id, n.n_convs, coalesce(k.n_children, 0) as n_children, s.n_leaves, s.saved_tokens,
+       sha256(coalesce(ended.ids, '')) as ends_sha256
+from n join s on s.key = n.key left join k on k.key = n.key left join ended on ended.key = n.key left join n up on up.key = n.parent
+"""
+
 
 def oracle_sql() -> dict[str, str]:
-    return {"op4_mixing": OP4, "op5_rules": OP5, "op9_chat": OP9}
+    return {"op4_mixing": OP4, "op5_rules": OP5, "op9_chat": OP9, "op12_trie": OP12}
