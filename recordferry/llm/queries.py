@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from recordferry.llm import ann, chat, minhash, mixing, packing, quality, rules, scoring, suffix, tokens, trie, urls
+from recordferry.llm import ann, chat, minhash, mixing, negatives, packing, quality, rules, scoring, suffix, tokens, trie, urls
 from recordferry.llm.common import scratch, table
 
 
@@ -89,6 +89,13 @@ def op10_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return classes.select(suffix.original(F.col("doc")).alias("doc_id"), suffix.original(F.col("class_id")).alias("class_id"), "copies")
 
 
+def op11_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Labels of ids divisible by 7 are moved on by one, so that some rows disagree with their neighbourhood."""
+    vectors = table(spark, sf_dir, "embeddings")
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label").cast("long") + 1) % 10).otherwise(F.col("label"))
+    return negatives.mine(negatives.blocks(negatives.prepared(vectors, label)), every=50)
+
+
 def head_turns(conv: int) -> int:
     return zlib.crc32(str(conv).encode()) % 9
 

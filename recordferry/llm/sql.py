@@ -79,6 +79,24 @@ select conv_id, count(*)::bigint as n_turns, sha256(string_agg(role || chr(10) |
 from p group by conv_id
 """
 
+OP11 = r"""
+with e as (
+  select vec_id, (case when vec_id % 7 = 0 then (label + 1) % 10 else label end)::bigint as label,
+         list_transform(embedding, lambda x: floor(256 * x::double)) as v
+  from embeddings
+  where vec_id is not null and label is not null and embedding is not null and len(embedding) > 0
+    and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0),
+s as (
+  select a.vec_id as anchor_id, b.vec_id, a.label = b.label as same, list_dot_product(a.v, b.v)::bigint as score
+  from e a join e b on a.vec_id <> b.vec_id and len(a.v) = len(b.v) where a.vec_id % 50 = 0),
+p as (select * from s where same qualify row_number() over (partition by anchor_id order by score desc, vec_id) <= 5)
+select p.anchor_id, p.vec_id as positive_id,
+       row_number() over (partition by p.anchor_id, p.vec_id order by s.score desc, s.vec_id) as rank,
+       s.vec_id as negative_id, p.score as positive_score, s.score as negative_score
+from p join s on s.anchor_id = p.anchor_id and not s.same and 50 * p.score <= 100 * s.score and 100 * s.score <= 95 * p.score
+qualify rank <= 3
+"""
+
 # crc32 of the decimal digits: for each byte one exclusive or, then eight steps of a shift register
 OP12 = r"""
 with t as (
@@ -116,4 +134,4 @@ from n join s on s.key = n.key left join k on k.key = n.key left join ended on e
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op4_mixing": OP4, "op5_rules": OP5, "op9_chat": OP9, "op12_trie": OP12}
+    return {"op4_mixing": OP4, "op5_rules": OP5, "op9_chat": OP9, "op11_negatives": OP11, "op12_trie": OP12}
