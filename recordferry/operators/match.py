@@ -1,8 +1,8 @@
 """Tiered matching of source leases and target records.
 
 Each tier is an equi-join, so a tier never compares all pairs of a county-day:
-the contained-number tier joins on the contained text itself (see
-`index_numbers`).  Hot keys are left to adaptive skew-join splitting, and
+the contained-number tier joins on the rarest five characters of the contained
+number (see `index_numbers`).  Hot keys are left to adaptive skew-join splitting, and
 uniqueness is tested by an aggregate, which combines before the shuffle, rather
 than by a window, which would gather a hot group in one task.  The contained
 tiers work on the different numbers of a county-day and attach rows last.
@@ -19,7 +19,7 @@ from recordferry.functions.text import fold
 from recordferry.operators.normalize import with_match_keys
 
 SHORTEST_CONTAINED = 5  # fixed value: shorter numbers do not take part in tier 3
-INDEX_WIDTH = 24        # widest text used as a join key for contained numbers
+GRAM_BUCKETS = 1 << 13  # buckets in which the frequency of 5-character windows is counted
 
 EXACT = "equal number"
 PARTIAL = "contained number"
@@ -95,60 +95,91 @@ def match_volume_page(target: DataFrame, source: DataFrame) -> DataFrame:
     return s.join(t, reduce(Column.__and__, same) & differ).select(*PAIR_COLUMNS)
 
 
-# A row of the contained-number index is a piece of a number, or the number as a
-# whole.  A piece on one side meets a whole number on the other; the role keeps
-# the two directions (and, where wanted, equality) apart in one join.
+# A row of the contained-number index is a gram of a number, or the number as a whole under its rarest gram.  A gram
+# on one side meets a whole number on the other; the role keeps the two directions (and, where wanted, equality)
+# apart in one join.
 SOURCE_AROUND, TARGET_AROUND, EQUAL = 0, 1, 2
 
 
-def index_key(text: Column) -> Column:
-    """The key under which a number is found inside a longer one."""
-    return text.substr(1, INDEX_WIDTH)
+def _gram_at(text: str, at: str) -> Column:
+    return F.col(text).substr(F.col(at), F.lit(SHORTEST_CONTAINED))
 
 
-def key_widths(numbers: DataFrame, text: str) -> Column:
-    """Lengths of the index keys of `numbers`: a scalar subquery of at most
-    `INDEX_WIDTH` values, whatever the size of the input."""
-    lengths = F.collect_set(F.length(index_key(F.col(text))))
-    return numbers.agg(lengths.alias("widths")).scalar()
+def _first_gram(text: str, at: str) -> Column:
+    """Whether the gram at this place was not there before."""
+    return F.instr(F.col(text), _gram_at(text, at)) == F.col(at)
 
 
-def index_numbers(df: DataFrame, text: str, widths: Column, piece_role: int, whole_role: int,
+def gram_rows(df: DataFrame, text: str) -> DataFrame:
+    """`df` with `_at` and `_gram`: the distinct 5-character windows of a text, at their first places.
+
+    Whatever contains a number of five characters or more has all of its grams, so any one of them finds it.
+    """
+    places = F.sequence(F.lit(1), F.length(text) - (SHORTEST_CONTAINED - 1))
+    return (df.where(F.length(text) >= SHORTEST_CONTAINED).withColumn("_at", F.explode(places))
+            .where(_first_gram(text, "_at")).withColumn("_gram", _gram_at(text, "_at")))
+
+
+def _bucket(gram: Column) -> Column:
+    return F.pmod(F.xxhash64(gram), F.lit(GRAM_BUCKETS)).cast("int")
+
+
+def gram_frequency(*numbers: DataFrame) -> Column:
+    """How many rows hold a gram of each bucket: a scalar subquery of `GRAM_BUCKETS` counts, whatever the input's size.
+
+    Grams share buckets by hash, and rows are counted as they come, without a shuffle of numbers.  The counts only choose under which gram a number is indexed, so a shared bucket can
+    make the index larger and never a match wrong.  `numbers` have one column, the text.
+    """
+    every = reduce(DataFrame.unionByName, [gram_rows(n, n.columns[0]).select("_gram") for n in numbers])
+    none = numbers[0].sparkSession.range(GRAM_BUCKETS).select(F.col("id").cast("int").alias("bucket"), F.lit(0).cast("bigint").alias("n"))
+    counts = (every.groupBy(_bucket(F.col("_gram")).alias("bucket")).agg(F.count("*").alias("n")).unionByName(none)
+              .groupBy("bucket").agg(F.sum("n").alias("n")))
+    by_bucket = F.sort_array(F.collect_list(F.struct("bucket", "n")))
+    return counts.agg(by_bucket.getField("n").alias("frequency")).scalar()
+
+
+def with_rarest_gram(df: DataFrame, text: str, frequency: Column) -> DataFrame:
+    """Add `_rarest`: the place of the gram that the fewest numbers hold, the first of equals; NULL if there is none.
+
+    Frequency and place share one number, so the choice is a hash aggregate; over rows that are grouped by their columns
+    already, as those of `distinct_keys`, it needs no shuffle.
+    """
+    shift = F.lit(1 << 24)
+    places = F.sequence(F.lit(1), F.greatest(F.length(text) - (SHORTEST_CONTAINED - 1), F.lit(1)))
+    each = df.withColumn("_at", F.explode(places))
+    cost = F.when((F.length(text) >= SHORTEST_CONTAINED) & (F.col("_at") < shift),
+                  F.get(frequency, _bucket(_gram_at(text, "_at"))) * shift + F.col("_at"))
+    return (each.groupBy(*df.columns).agg(F.min(cost).alias("_cost"))
+            .select(*df.columns, F.pmod("_cost", shift).cast("int").alias("_rarest")))
+
+
+def index_numbers(df: DataFrame, text: str, frequency: Column, piece_role: int, whole_role: int,
                   equal: bool = False) -> DataFrame:
-    """Add `contained_key` and `role`: each number's pieces and the number itself.
+    """Add `contained_key` and `role`: a row for each gram of a number that may hold another, one for the number itself.
 
-    Pieces are the distinct windows of 5 to `INDEX_WIDTH` characters, shorter
-    than the text, of a width that `widths` (`key_widths` of the other side)
-    allows.  A contained number of up to `INDEX_WIDTH` characters equals a
-    piece; a longer one starts with a piece, and the join tests the rest.
-    `equal` adds a row for plain equality, for numbers of any length.
+    A number enters the index once, under its rarest gram, and asks with each of its grams once, so rows per number are
+    its positions, at most, and two.  The join tests the rest.  `equal` adds a row for plain equality, for numbers of
+    any length.  Rows of `df` are different numbers.
     """
-    size = F.length(text)
-    whole, same = 0, -1  # stand in for the width
-    pieces = F.when(size > SHORTEST_CONTAINED,
-                    F.sequence(F.lit(SHORTEST_CONTAINED), F.least(size - 1, F.lit(INDEX_WIDTH))))
-    specials = F.array(F.lit(whole), F.lit(same)) if equal else F.array(F.lit(whole))
-    width, start = F.col("_width"), F.col("_start")
-    wanted = ((width == same) | ((width == whole) & (size >= SHORTEST_CONTAINED))
-              | F.array_contains(widths, width))
-    key = F.when(width > 0, F.col(text).substr(start, width)).otherwise(index_key(F.col(text)))
+    size, at = F.length(text), F.col("_at")
+    whole, same = 0, -1  # stand in for a place
+    last = F.when(size > SHORTEST_CONTAINED, size - (SHORTEST_CONTAINED - 1)).otherwise(whole)
+    place = F.when(at == whole, F.col("_rarest")).otherwise(at)
     return (
-        df.where(size.isNotNull())
-        .withColumn("_width", F.explode(F.concat(F.coalesce(pieces, F.array().cast("array<int>")), specials)))
-        .where(wanted)
-        .withColumn("_start", F.explode(F.sequence(F.lit(1), F.when(width > 0, size - width + 1).otherwise(1))))
-        .withColumn("contained_key", key)
-        # a repeated piece counts once, at its first position
-        .where((width <= 0) | (F.instr(F.col(text), F.col("contained_key")) == start))
-        .withColumn("role", F.when(width == whole, whole_role).when(width == same, EQUAL).otherwise(piece_role))
-        .drop("_width", "_start")
+        with_rarest_gram(df.where(size.isNotNull()), text, frequency)
+        .withColumn("_at", F.explode(F.sequence(F.lit(same if equal else whole), last)))
+        .withColumn("_place", place)
+        .where((at == same) | (F.col("_place").isNotNull() & ((at == whole) | _first_gram(text, "_at"))))
+        .withColumn("contained_key", F.when(at == same, F.col(text)).otherwise(_gram_at(text, "_place")))
+        .withColumn("role", F.when(at == whole, whole_role).when(at == same, EQUAL).otherwise(piece_role))
+        .select(*df.columns, "contained_key", "role")
     )
 
 
-def _index_sides(source: DataFrame, source_text: str, target: DataFrame, target_text: str,
-                 source_widths: Column, target_widths: Column, equal: bool = False) -> tuple[DataFrame, DataFrame]:
-    return (index_numbers(source, source_text, target_widths, SOURCE_AROUND, TARGET_AROUND, equal),
-            index_numbers(target, target_text, source_widths, TARGET_AROUND, SOURCE_AROUND, equal))
+def _index_sides(source: DataFrame, source_text: str, target: DataFrame, target_text: str, frequency: Column,
+                 equal: bool = False) -> tuple[DataFrame, DataFrame]:
+    return (index_numbers(source, source_text, frequency, SOURCE_AROUND, TARGET_AROUND, equal),
+            index_numbers(target, target_text, frequency, TARGET_AROUND, SOURCE_AROUND, equal))
 
 
 def _holds(source_text: Column, target_text: Column, role: Column) -> Column:
@@ -173,8 +204,8 @@ def key_pairs(source: DataFrame, source_text: str, target: DataFrame, target_tex
     """
     s = distinct_keys(source, source_text, on).withColumnRenamed("copies", "source_copies")
     t = distinct_keys(target, target_text, on).drop("copies")
-    widths = key_widths(source, source_text), key_widths(target, target_text)
-    indexed_s, indexed_t = _index_sides(s, source_text, t, target_text, *widths, equal)
+    frequency = gram_frequency(source.select(source_text), target.select(target_text))
+    indexed_s, indexed_t = _index_sides(s, source_text, t, target_text, frequency, equal)
     return (indexed_s.join(indexed_t, ["contained_key", *on, "role"])
             .where(_holds(F.col(source_text), F.col(target_text), F.col("role")))
             .select(*on, source_text, target_text, "source_copies", "role"))
@@ -191,6 +222,19 @@ def match_contained(target: DataFrame, source: DataFrame) -> DataFrame:
     return (s.join(pairs, [*PLACE, "source_key"]).join(t, [*PLACE, "target_key"]).select(*PAIR_COLUMNS))
 
 
+def index_report(target: DataFrame, source: DataFrame) -> DataFrame:
+    """What the contained-number index holds of each side: different numbers, grams they ask with, numbers to be found."""
+    t, s = (distinct_keys(side, key, PLACE) for side, key in (
+        (_target_side(target), "target_key"), (_source_side(source), "source_key")))
+    frequency = gram_frequency(s.select("source_key"), t.select("target_key"))
+    indexed = zip(("source", "target"), _index_sides(s, "source_key", t, "target_key", frequency, equal=True),
+                  ((SOURCE_AROUND, TARGET_AROUND), (TARGET_AROUND, SOURCE_AROUND)))
+    rows = [side.agg(F.lit(name).alias("side"), F.count_if(F.col("role") == EQUAL).alias("numbers"),
+                     F.count_if(F.col("role") == around).alias("grams"), F.count_if(F.col("role") == whole).alias("findable"))
+            for name, side, (around, whole) in indexed]
+    return reduce(DataFrame.unionByName, rows)
+
+
 def key_report(target: DataFrame, source: DataFrame) -> DataFrame:
     """The match at the level of numbers: each pair of equal or contained numbers, with its leases and records counted.
 

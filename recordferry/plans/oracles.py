@@ -341,6 +341,12 @@ where t.record_id not in (select record_id from export_log where lease_id is not
     "source_only": matching(_source_only),
     "match_report": matching(report(_per_record)),
     "match_report_per_log_row": matching(report(_per_row)),
+    "match_index_rows": matching(""", keys as (
+ select distinct 'source' as side, record_date as day, county_name, lower(rtrim(record_number)) as number from src
+ union select distinct 'target', file_date, county_name, lower(rtrim(record_number)) from tgt)
+select side, count(*) as numbers, cast(sum(case when length(number) > 5 then len(list_distinct(list_transform(
+  range(1, length(number) - 3), lambda i: substr(number, i, 5)))) else 0 end) as bigint) as grams,
+ count(*) filter (where length(number) >= 5) as findable from keys where number is not null group by side"""),
     "match_union_distinct": matching(f"""select distinct p.* from ({_exact} union all {_volpage}) p
  {_unlogged_pairs}"""),
     "missing_in_target": oracle_with("src_lease", "tgt_record", "export_log") + f"""select lease_id, county_id,

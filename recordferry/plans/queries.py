@@ -206,6 +206,11 @@ def match_key_report(b):
     return normalize.render_dates(match.key_report(target_slice(b), source_slice(b)), "day")
 
 
+@query
+def match_index_rows(b):
+    return match.index_report(target_slice(b), source_slice(b))
+
+
 @query
 def match_union_distinct(b):
     return match.match_distinct(target_slice(b), source_slice(b), b.export_log)

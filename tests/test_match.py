@@ -80,7 +80,7 @@ def test_tiers_equal_brute_force(rows, seed):
 
 
 @pytest.mark.parametrize("seed", range(3))
-def test_numbers_longer_than_the_index_width(rows, seed):
+def test_long_numbers(rows, seed):
     """Long, repetitive numbers: anchors collide, pieces repeat."""
     targets, sources = sides(seed, n=40, alphabet="1122a", longest=60)
     base = "12" * 20
@@ -96,16 +96,42 @@ def test_numbers_longer_than_the_index_width(rows, seed):
 
 @settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 @given(st.lists(st.text("ab1 ", max_size=30), min_size=1, max_size=6))
-def test_contained_pieces_are_distinct_and_complete(rows, texts):
+def test_index_holds_each_gram_once_and_each_number_under_a_rarest_gram(rows, texts):
     df = rows("i int, text string", *enumerate(texts))
-    every_width = F.sequence(F.lit(1), F.lit(match.INDEX_WIDTH))
-    indexed = match.index_numbers(df, "text", every_width, 0, 1, equal=True)
+    indexed = match.index_numbers(df, "text", match.gram_frequency(df.select("text")), 0, 1, equal=True)
     got = Counter((r.i, r.role, r.contained_key) for r in indexed.collect())
-    want = Counter({(i, 0, t[a:a + w]) for i, t in enumerate(texts)
-                    for w in range(5, min(len(t) - 1, match.INDEX_WIDTH) + 1) for a in range(len(t) - w + 1)})
-    want += Counter((i, 1, t[:match.INDEX_WIDTH]) for i, t in enumerate(texts) if len(t) >= 5)
-    want += Counter((i, match.EQUAL, t[:match.INDEX_WIDTH]) for i, t in enumerate(texts))
-    assert got == want
+    own = [{t[a:a + 5] for a in range(len(t) - 4)} for t in texts]
+    held = Counter(g for grams in own for g in grams)
+    want = Counter({(i, 0, g) for i, t in enumerate(texts) if len(t) > 5 for g in own[i]})
+    want += Counter((i, match.EQUAL, t) for i, t in enumerate(texts))
+    wholes = {i: k for i, role, k in got if role == 1}
+    assert set(wholes) == {i for i, t in enumerate(texts) if len(t) >= 5}
+    # grams may share a bucket, which is very unlikely for so few
+    assert all(held[k] == min(held[g] for g in own[i]) for i, k in wholes.items())
+    assert got - Counter((i, 1, k) for i, k in wholes.items()) == want
+
+
+@pytest.mark.parametrize("buckets", [1, 3])
+def test_few_buckets_change_no_match(rows, monkeypatch, buckets):
+    monkeypatch.setattr(match, "GRAM_BUCKETS", buckets)
+    targets, sources = sides(7, n=50, alphabet="112a", longest=14)
+    t, s = rows(TARGET, *targets), rows(SOURCE, *sources)
+    assert pairs(match.match_contained(t, s)) == brute_contained(targets, sources)
+
+
+def test_a_frequent_gram_is_not_the_key(rows):
+    """A prefix that all numbers share: no number is indexed under it, so it joins with nothing."""
+    targets = [(f"t{i}", f"2020-00{i:05d}", DAY, 1, 1, "Eddy", 1) for i in range(200)]
+    sources = [(i, f"2020-00{i:05d}/A", DAY, 2, 2, "Eddy", 1) for i in range(200)]
+    t, s = rows(TARGET, *targets), rows(SOURCE, *sources)
+    report = {r.side: r for r in match.index_report(t, s).collect()}
+    assert report["target"].findable == 200 and report["target"].grams <= 200 * 8
+    numbers = (match.distinct_keys(match._source_side(s), "source_key", match.PLACE),
+               match.distinct_keys(match._target_side(t), "target_key", match.PLACE))
+    frequency = match.gram_frequency(numbers[0].select("source_key"), numbers[1].select("target_key"))
+    keys = match._index_sides(numbers[0], "source_key", numbers[1], "target_key", frequency)
+    assert keys[1].where("role = 0 and contained_key in ('2020-', '020-0', '20-00')").isEmpty()
+    assert pairs(match.match_contained(t, s)) == brute_contained(targets, sources)
 
 
 def test_one_county_day_holding_most_rows(rows):
