@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from recordferry.functions.rules import range_or_block
 from recordferry.functions.text import contains_word, is_filled, stable_id
 from recordferry.operators.changes import update_from
+from recordferry.operators.counted import UNSEEN, Steps
 from recordferry.operators.relational import explode_delimited
 from recordferry.operators.stage import Run, default, missing, run_time, source
 
@@ -82,23 +83,28 @@ def legal_texts(leases: DataFrame, document_mapping: DataFrame, abstract_mapping
 
 def land_base(texts: DataFrame, log: DataFrame, records: DataFrame, states: DataFrame, counties: DataFrame,
               run: Run, excluded_states: tuple[str, ...] = (), whole_words: bool = False,
-              mode: str = "intended") -> DataFrame:
+              mode: str = "intended", steps: Steps = UNSEEN) -> DataFrame:
     """Base rows, 39 columns; the parsed columns are still empty.
 
     Reference mode never falls back to the survey block and keeps repeated
     rows, because each had a fresh id; intended mode keeps one of them.
+
+    With `steps` the rows of each join are counted; a log row that finds its record, or a record that finds its
+    state or county, more than once shows as more rows out than in.
     """
-    wanted = texts.where(is_filled(F.col("descriptions"))
-                         & ~contains_word(F.col("descriptions"), EXCLUDED_WORDS, whole_words))
+    keeps = is_filled(F.col("descriptions")) & ~contains_word(F.col("descriptions"), EXCLUDED_WORDS, whole_words)
     named_states = states.where(~F.col("state_name").isin(*excluded_states)) if excluded_states else states
-    joined = (wanted.join(log.where("lease_id is not null").select("record_id", "lease_id"), "lease_id")
-              .join(records.select("record_id", "county_id", "state_id"), "record_id")
-              .join(named_states.select("state_id", "state_name"), "state_id")
-              .join(counties.select("county_id", "county_name"), "county_id"))
+    wanted = steps.see(steps.see(texts, "texts").where(keeps), "usable texts", "texts")
+    logged = steps.see(wanted.join(log.where("lease_id is not null").select("record_id", "lease_id"), "lease_id"),
+                       "with log row", "usable texts")
+    recorded = steps.see(logged.join(records.select("record_id", "county_id", "state_id"), "record_id"),
+                         "with record", "with log row")
+    stated = steps.see(recorded.join(named_states.select("state_id", "state_name"), "state_id"), "with state", "with record")
+    joined = steps.see(stated.join(counties.select("county_id", "county_name"), "county_id"), "with county", "with state")
     rows = joined.select(F.lower("record_id").alias("record_id"), "county_id", "county_name", "state_name",
                          "abstract_id", "abstract_no", "descriptions", "range_no", "range_dir", "survey_block")
     if mode != "reference":
-        rows = rows.distinct()
+        rows = steps.see(rows.distinct(), "different rows", "with county")
     shaped = rows.withColumns({
         "range_or_block": range_or_block(F.col("range_no"), F.col("range_dir"), F.col("survey_block"), mode),
         "land_description_id": stable_id(F.lit("land"), F.col("record_id"), F.col("abstract_id"),

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from recordferry.functions.rules import file_extension, source_path
 from recordferry.functions.text import (
     digits_number, digits_text, fold, iso_date, positive_key, stable_id)
+from recordferry.operators.counted import UNSEEN, Steps
 
 
 @dataclass(frozen=True)
@@ -85,11 +86,16 @@ def source_keys(leases: DataFrame, counties: DataFrame, county_ids: tuple[int, .
     )
 
 
-def lease_files(mappings: DataFrame, documents: DataFrame, files: DataFrame) -> DataFrame:
-    """Files of each lease through lease -> document -> file, both 1:n."""
-    return (mappings.join(documents.select("document_id"), "document_id", "left")
-            .join(files, "document_id", "left")
-            .select("lease_id", "path", "filename"))
+def lease_files(mappings: DataFrame, documents: DataFrame, files: DataFrame, steps: Steps = UNSEEN) -> DataFrame:
+    """Files of each lease through lease -> document -> file, both 1:n.
+
+    With `steps` the rows of each hop are counted; a mapping that finds its document twice is a `FanOut`.
+    """
+    mapped = steps.see(mappings, "mappings")
+    with_document = steps.see(mapped.join(documents.select("document_id"), "document_id", "left"),
+                              "with document", "mappings", keeps=True)
+    return steps.see(with_document.join(files, "document_id", "left").select("lease_id", "path", "filename"),
+                     "with files", "with document")
 
 
 def first_file(files: DataFrame) -> DataFrame:
@@ -120,7 +126,7 @@ def extra_files(source: DataFrame, files: DataFrame, share_root: str) -> DataFra
 
 
 def normalize_source(leases: DataFrame, issued_ids: DataFrame, counties: DataFrame, files: DataFrame,
-                     *, share_root: str, mode: str = "intended") -> DataFrame:
+                     *, share_root: str, mode: str = "intended", steps: Steps = UNSEEN) -> DataFrame:
     """Source slice with file columns and record ids, 28 columns.
 
     A lease keeps the record id issued to it earlier, else gets a stable one.
@@ -128,16 +134,22 @@ def normalize_source(leases: DataFrame, issued_ids: DataFrame, counties: DataFra
     lease's further files are the rows of `extra_files`.
     Reference mode gives one row per file, each with an id of its own unless
     one was issued.
+
+    With `steps` the rows of each join are counted.  Issued ids and counties must find a lease once, and so must
+    files in intended mode: a lookup with a repeated key is a `FanOut`.
     """
     per_lease = first_file(files) if mode == "intended" else files
     new_id = [F.lit("lease"), F.col("lease_id")]
     if mode == "reference":
         new_id += [F.col("path"), F.col("filename")]
     name = F.col("filename")
+    all_leases = steps.see(leases, "leases")
+    issued = steps.see(all_leases.join(issued_ids.select("lease_id", F.col("record_id").alias("issued_id")), "lease_id", "left"),
+                       "with issued id", "leases", keeps=True)
+    placed = steps.see(issued.join(counties.select("county_id", "county_name", "state_id"), "county_id", "left"),
+                       "with county", "with issued id", keeps=True)
     return (
-        leases.join(issued_ids.select("lease_id", F.col("record_id").alias("issued_id")), "lease_id", "left")
-        .join(counties.select("county_id", "county_name", "state_id"), "county_id", "left")
-        .join(per_lease, "lease_id", "left")
+        steps.see(placed.join(per_lease, "lease_id", "left"), "with file", "with county", keeps=mode == "intended")
         .select(
             "lease_id",
             F.coalesce("issued_id", stable_id(*new_id)).alias("generated_record_id"),

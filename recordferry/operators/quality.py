@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from recordferry.functions.text import fold, is_filled, on_day
+from recordferry.operators import bitmaps
 from recordferry.operators.relational import all_blank, any_filled, labelled_counts
 
 
@@ -110,11 +111,11 @@ def county_reconcile(leases: DataFrame, records: DataFrame, log: DataFrame, cros
     names = (crosswalk.where(F.col(record_county_key).isNotNull()).groupBy(record_county_key)
              .agg(F.min("county_name").alias("county_name"), F.min_by("state_id", "county_name").alias("state_id")))
     known = crosswalk.select(F.col("src_county_id").alias("county_id"), F.col(record_county_key).alias("_place")).distinct()
-    from_source = leases.join(known, "county_id", "left").groupBy("_place").agg(
-        F.count_distinct("lease_id").alias("source_leases"))
+    # Lease ids are dense numbers: bitmaps per county cross the network, not ids.
+    from_source = bitmaps.distinct_count(leases.join(known, "county_id", "left"), ["_place"], "lease_id", "source_leases")
     migrated = (records.select("record_id", F.col("county_id").alias("_at"))
-                .join(log.where("lease_id is not null").select("record_id", "lease_id"), "record_id")
-                .groupBy("_at").agg(F.count_distinct("lease_id").alias("target_leases")))
+                .join(log.where("lease_id is not null").select("record_id", "lease_id"), "record_id"))
+    migrated = bitmaps.distinct_count(migrated, ["_at"], "lease_id", "target_leases")
     nothing = F.lit(0).cast("bigint")
     both = (from_source.join(migrated, F.col("_place") == F.col("_at"), "full")
             .withColumn(record_county_key, F.coalesce("_place", "_at"))
@@ -144,6 +145,21 @@ def county_reconcile_global(leases: DataFrame, records: DataFrame, log: DataFram
         "county_name", "state_id", "source_leases", "target_leases", "difference")
 
 
+def target_counts(records: DataFrame, statuses: tuple[int, ...], tag: str) -> DataFrame:
+    """Lease records of some statuses, batch records, and the different ids of all and of the batch.
+
+    Rows are counted per id first, so both distinct counts come from one shuffle of ids and no row is expanded.
+    """
+    in_batch = F.col("remarks").ilike(f"%{tag}%")
+    per_id = records.groupBy("record_id").agg(
+        F.count_if((F.col("record_is_lease") == 1) & F.col("status_id").isin(*statuses)).alias("leases"),
+        F.count_if(in_batch).alias("batch"))
+    known, nothing = F.col("record_id").isNotNull(), F.lit(0).cast("bigint")
+    return labelled_counts(per_id, {
+        "lease records": F.coalesce(F.sum("leases"), nothing), "batch records": F.coalesce(F.sum("batch"), nothing),
+        "distinct records": F.count("record_id"), "distinct batch records": F.count_if(known & (F.col("batch") > 0))}, "measure")
+
+
 def funnel(df: DataFrame, steps: dict[str, Column], key: str = "record_id") -> DataFrame:
     """Distinct keys that reach each step, in step order.
 

@@ -473,10 +473,14 @@ select * exclude (new_lease, hit) replace (case when hit then new_lease else lea
     "narrowing_losses": candidates("""select lease_id, generated_record_id as record_id, 'records' as table_name,
  'RoyaltyAmount' as column_name, '12.500000' as value from cand where lease_id % 50 = 0
  union all select lease_id, generated_record_id, 'records', 'ExtensionBonus', '9000000000000' from cand where lease_id % 60 = 1"""),
-    "orphans_parties": PARTIES + """select "recordID" as missing_record_id, count(*) as entries from party
- where "recordID" not in (select record_id from tgt_record where outsource_id < 25) group by 1""",
-    "orphans_prior_refs": PRIOR_REFS + """select "recordID" as missing_record_id, count(*) as entries from prior
- where "recordID" not in (select record_id from tgt_record where outsource_id < 25) group by 1""",
+    "orphans_parties": oracle_with(*PARTY_VIEWS, "image_registry") + f""", {BATCH},
+ party as ({party('grantor')} union {party('grantee')}) select "recordID" as missing_record_id, count(*) as entries from party
+ where "recordID" not in (select record_id from image_registry) group by 1""",
+    "orphans_prior_refs": oracle_with("tgt_record", "export_log", "lease_deed", "image_registry") + f""", {BATCH}, {PRIOR}
+select "recordID" as missing_record_id, count(*) as entries from prior
+ where "recordID" not in (select record_id from image_registry) group by 1""",
+    "orphans_log": oracle_with("export_log", "tgt_record") + """select record_id as missing_record_id, count(*) as entries
+ from export_log where record_id not in (select record_id from tgt_record) group by 1""",
     "county_reconcile_shared": oracle_with(*MATCH_VIEWS, "shared_xwalk") + """, a as (select x.tgt_county_id as id,
  count(distinct lease_id) as n from src_lease l left join shared_xwalk x on x.src_county_id = l.county_id group by 1),
  b as (select case when outsource_id = 29 then 2999 else 2000 + r.county_id % 10 end as id, count(distinct e.lease_id) as n
@@ -487,8 +491,7 @@ select county_name, state_id, coalesce(a.n, 0) as source_leases, coalesce(b.n, 0
  coalesce(a.n, 0) - coalesce(b.n, 0) as difference from a full join b on b.id = a.id
  left join x on x.id = coalesce(a.id, b.id) where coalesce(a.n, 0) <> coalesce(b.n, 0)""",
     "name_coverage_partial": PARTIES + """select min("gName") as "gName", count(*) as occurrences from party
- where lower("gName") not in (select lower(name) from grantor where grantor_id % 3 <> 0
- union all select lower(name) from grantee where grantee_id % 3 <> 0) group by lower("gName")""",
+ where lower("gName") not in (select lower(name) from grantee) group by lower("gName")""",
     "instrument_volume": oracle_with("src_lease") +
     f"select {_case_map('instrument', INSTRUMENTS)} as instrument_type, count(*) as occurrences from src_lease group by 1",
     "day_counts": oracle_with("tgt_record", "full_log") + """select 'records received' as measure, count(*) as record_count
@@ -625,5 +628,70 @@ union all select 4, 'with deed reference', count(distinct r.record_id) from tgt_
 }
 
 
+def step_counts(*steps: tuple[str, int | None, str, bool]) -> str:
+    """Rows of the observed steps: name, number of the step before, what is counted, whether rows must be kept."""
+    counted = ", ".join(f"(select count(*) from {frame}) as n{i + 1}" for i, (_, _, frame, _) in enumerate(steps))
+    return f""", n as (select {counted}) """ + " union all ".join(
+        f"""select {i + 1} as step, '{name}' as step_name, {f'n{of}' if of else 'cast(null as bigint)'} as rows_in,
+ n{i + 1} as rows_out, {f'n{i + 1} = n{of}' if kept else 'cast(null as boolean)'} as kept from n"""
+        for i, (name, of, _, kept) in enumerate(steps))
+
+
+_ISSUED = "src_lease_terms l left join issued_ids i on i.lease_id = l.lease_id"
+_PLACED = f"{_ISSUED} left join county_xwalk x on x.src_county_id = l.county_id"
+_LEGAL = """(select l.lease_id, m.descriptions, a.abstract_id, a.abstract_no, a.range_no, a.range_dir, a.survey_block from src_lease l
+ join document_mapping d on d.lease_id = l.lease_id join abstract_mapping m on m.mapping_id = d.mapping_id
+ and rtrim(m.descriptions) <> '' join abstract a on a.abstract_id = m.abstract_id)"""
+_USABLE = f"""(select * from {_LEGAL} where descriptions not ilike '%all%' and descriptions not ilike '%below%'
+ and descriptions not ilike '%remarks%') u"""
+_LOGGED = f"{_USABLE} join export_log e on e.lease_id = u.lease_id"
+_RECORDED = f"{_LOGGED} join tgt_record_state r on r.record_id = e.record_id"
+_STATED = f"{_RECORDED} join (select * from state_lookup where state_name <> 'EUROPE') st on st.state_id = r.state_id"
+_COUNTIED = f"{_STATED} join county_xwalk x on x.src_county_id = r.county_id"
+_MOVED_ROWS = oracle_with("tgt_record", "export_log") + f"""select record_id, 'updated' as change, 'status_id' as column,
+ cast(status_id as varchar) as before, '4' as after, cast(1 as bigint) as copies
+ from tgt_record where {MOVED.format(630)} and status_id <> 4"""
+
+ORACLES.update({
+    "normalize_source_steps": oracle_with(*FULL_VIEWS) + step_counts(
+        ("leases", None, "src_lease_terms", False), ("with issued id", 1, _ISSUED, True), ("with county", 2, _PLACED, True),
+        ("with file", 3, f"{_PLACED} left join {ONE_FILE} f on f.lease_id = l.lease_id", True)),
+    "normalize_per_file_steps": oracle_with(*FULL_VIEWS) + step_counts(
+        ("leases", None, "src_lease_terms", False), ("with issued id", 1, _ISSUED, True), ("with county", 2, _PLACED, True),
+        ("with file", 3, f"{_PLACED} left join lease_file f on f.lease_id = l.lease_id", False)),
+    "lease_file_steps": oracle_with("document_mapping", "lease_file") + step_counts(
+        ("mappings", None, "document_mapping", False), ("with document", 1, "document_mapping", True),
+        ("with files", 2, "document_mapping d left join lease_file f on f.lease_id = d.lease_id", False)),
+    "land_base_steps": oracle_with(*LAND_VIEWS) + step_counts(
+        ("texts", None, _LEGAL, False), ("usable texts", 1, _USABLE, False), ("with log row", 2, _LOGGED, False),
+        ("with record", 3, _RECORDED, False), ("with state", 4, _STATED, False), ("with county", 5, _COUNTIED, False),
+        ("different rows", 6, f"""(select distinct r.record_id, r.county_id, x.county_name, st.state_name, u.abstract_id,
+ u.abstract_no, u.descriptions, u.range_no, u.range_dir, u.survey_block from {_COUNTIED})""", False)),
+    "parser_extract": f"""select "landDescriptionID", "CountyName" as "County", "StateName" as "State", "BriefLegal"
+ from ({ORACLES['land_base']})""",
+    "promoted_records": ORACLES["status_move"],
+    "status_move_parts": ORACLES["status_move"],
+    "delete_existing_parts": ORACLES["delete_existing"],
+    "log_fill_parts": ORACLES["log_fill_full_log"],
+    "append_counts": oracle_with("export_log", "tgt_record") + """select (select count(*) from export_log) as before,
+ (select count(*) from tgt_record) as appended,
+ (select count(*) from export_log) + (select count(*) from tgt_record) as after""",
+    "status_move_diff": _MOVED_ROWS,
+    "delete_diff": oracle_with("image_work", "image_registry") + """select record_id, 'deleted' as change, lease_id,
+ cast(null as varchar) as after, cast(1 as bigint) as copies from image_work
+ where record_id in (select record_id from image_registry)""",
+    "csv_rejects": oracle_with("land_desc") + """select case when county_id % 4 = 0 then land_description_id end as land_description_id,
+ case when county_id % 4 = 0 then county_id end as county_id, case county_id % 4 when 1 then land_description_id || ',x'
+ when 2 then land_description_id when 3 then land_description_id || ',' || cast(county_id as varchar) || ',more' end as line
+ from land_desc""",
+    "lease_counts_rollup": oracle_with("src_lease", "county_xwalk") + """, p as (select l.lease_id, x.state_id, x.county_name,
+ cast(year(record_date) as integer) as year from src_lease l left join county_xwalk x on x.src_county_id = l.county_id)
+select 3 as level, state_id, county_name, year, count(distinct lease_id) as leases from p group by all
+union all select 2, state_id, county_name, null, count(distinct lease_id) from p group by all
+union all select 1, state_id, null, null, count(distinct lease_id) from p group by all
+union all select 0, null, null, null, count(distinct lease_id) from p""",
+})
+
+
 def oracle_sql() -> dict[str, str]:
     return dict(ORACLES)

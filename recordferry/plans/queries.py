@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from recordferry.functions import rules as R
-from recordferry.operators import changes, images, land, match, normalize, quality, relational, stage
+from recordferry.operators import bitmaps, changes, counted, diff, images, land, match, normalize, quality, relational, stage
 from recordferry.operators import parties as people
 from recordferry.operators import prior_refs as prior
 from recordferry.operators.stage import Run
@@ -143,6 +143,33 @@ def lease_file_chain(b):
     return normalize.lease_files(mappings, mappings.select("document_id"), files)
 
 
+@query
+def normalize_source_steps(b):
+    """Rows in and out of each join; a lookup that multiplied leases would stop the job."""
+    steps = counted.Steps()
+    counted.run(normalize.normalize_source(b.src_lease_terms, b.issued_ids, counties(b), b.lease_file, share_root=SHARE, steps=steps))
+    steps.check()
+    return steps.report(b.spark)
+
+
+@query
+def normalize_per_file_steps(b):
+    steps = counted.Steps()
+    counted.run(normalize.normalize_source(b.src_lease_terms, b.issued_ids, counties(b), b.lease_file, share_root=SHARE,
+                                           mode="reference", steps=steps))
+    return steps.report(b.spark)
+
+
+@query
+def lease_file_steps(b):
+    mappings = b.document_mapping.select("lease_id", F.col("mapping_id").alias("document_id"))
+    files = b.lease_file.select(F.md5(F.col("lease_id").cast("string")).alias("document_id"), "path", "filename")
+    steps = counted.Steps()
+    counted.run(normalize.lease_files(mappings, mappings.select("document_id"), files, steps))
+    steps.check()
+    return steps.report(b.spark)
+
+
 @query
 def digits_key(b):
     target = normalize.digits_slice(b.tgt_record).select(
@@ -338,6 +365,20 @@ def land_base(b):
     return plain(land_rows(b))
 
 
+@query
+def land_base_steps(b):
+    texts = land.legal_texts(b.src_lease, b.document_mapping, b.abstract_mapping, b.abstract)
+    steps = counted.Steps()
+    counted.run(land.land_base(texts, b.export_log, b.tgt_record_state, b.state_lookup, counties(b), LAND_RUN,
+                               excluded_states=("EUROPE",), steps=steps))
+    return steps.report(b.spark)
+
+
+@query
+def parser_extract(b):
+    return land.parser_extract(land_rows(b))
+
+
 @query
 def land_base_reference(b):
     return plain(land_rows(b, "reference"))
@@ -487,6 +528,89 @@ def promote_table(b):
     return sinks.promote_table(b.spark, sinks.write_table(b.tgt_record, f"{folder}/work"), f"{folder}/live")
 
 
+@query
+def promoted_records(b):
+    """What readers of the live table see after two promotions."""
+    folder = sinks.shared_folder(b.spark)
+    moved = changes.move_status(b.tgt_record, b.export_log, "BATCH", "1997-07-01", (24, 25))
+    for work in (b.tgt_record, moved):
+        sinks.promote_table(b.spark, sinks.write_table(work, f"{folder}/work"), f"{folder}/live")
+    return plain(sinks.read_published(b.spark, f"{folder}/live"))
+
+
+def parted(b: Bindings, df: DataFrame, key: str) -> tuple[str, str]:
+    folder = sinks.shared_folder(b.spark)
+    sinks.write_parted(df, f"{folder}/table", key, bits=4)
+    return f"{folder}/table", f"{folder}/work"
+
+
+@query
+def status_move_parts(b):
+    """The status move, applied to the ranges of ids that hold a record to be moved."""
+    table, work = parted(b, b.tgt_record, "record_id")
+    moved = changes.rekeyed(b.tgt_record, b.export_log, "BATCH", "1997-07-01", (24, 25))
+    sinks.rewrite_parts(b.spark, table, moved.select("record_id"), lambda rows: changes.move_status(
+        rows, b.export_log, "BATCH", "1997-07-01", (24, 25)), work)
+    return plain(sinks.read_parted(b.spark, table))
+
+
+@query
+def delete_existing_parts(b):
+    table, work = parted(b, b.image_work, "record_id")
+    sinks.rewrite_parts(b.spark, table, b.image_registry.select("record_id"),
+                        lambda rows: changes.delete_matching(rows, b.image_registry, ["record_id"]), work)
+    return sinks.read_parted(b.spark, table)
+
+
+@query
+def log_fill_parts(b):
+    table, work = parted(b, b.full_log, "record_id")
+    choices = sinks.staged(match.log_fill_choices(b.export_log, target_slice(b), source_slice(b)), work)
+    sinks.rewrite_parts(b.spark, table, choices.select(F.col("target_record_id").alias("record_id")),
+                        lambda rows: changes.fill_log_leases(rows, choices, "BATCH(1)", RUN.at), work)
+    return plain(sinks.read_parted(b.spark, table))
+
+
+@query
+def append_counts(b):
+    """Rows before, appended (counted while they are written) and after."""
+    folder = sinks.shared_folder(b.spark)
+    steps = counted.Steps()
+    log = sinks.write_table(steps.see(b.export_log, "before"), f"{folder}/log")
+    added = sinks.append_table(b.tgt_record.withColumn("batch_tag", F.col("remarks")), log, ["record_id", "batch_tag"])
+    before = steps.counts()["before"]
+    return b.spark.read.parquet(log).agg(F.lit(before).cast("bigint").alias("before"), F.lit(added).cast("bigint").alias("appended"),
+                                         F.count("*").alias("after"))
+
+
+@query
+def status_move_diff(b):
+    """What `status_move` would change: one row per record and column."""
+    return diff.change_set(b.tgt_record, changes.move_status(b.tgt_record, b.export_log, "BATCH", "1997-07-01", (24, 25)), "record_id")
+
+
+@query
+def delete_diff(b):
+    left = changes.delete_matching(b.image_work, b.image_registry, ["record_id"])
+    gone = diff.change_set(b.image_work, left, "record_id")
+    return gone.select("record_id", "change", F.get_json_object("before", "$.lease_id").cast("bigint").alias("lease_id"), "after", "copies")
+
+
+@query
+def csv_rejects(b):
+    """Lines of which some have too many fields, too few, or text where a number belongs."""
+    folder = sinks.shared_folder(b.spark)
+    row, county = F.col("land_description_id"), F.col("county_id").cast("string")
+    line = (F.when(F.col("county_id") % 4 == 0, F.concat_ws(",", row, county)).when(F.col("county_id") % 4 == 1, F.concat_ws(",", row, F.lit("x")))
+            .when(F.col("county_id") % 4 == 2, row).otherwise(F.concat_ws(",", row, county, F.lit("more"))))
+    b.land_desc.select(line.alias("value")).write.text(f"{folder}/lines", lineSep="\n")
+    options = dict(tables.CSV_OPTIONS, header="false")
+    checked = sinks.staged(tables.csv_checked(b.spark, f"{folder}/lines", "land_description_id string, county_id int", options=options),
+                           f"{folder}/checked")
+    return tables.accepted(checked).select("land_description_id", "county_id", F.lit(None).cast("string").alias("line")).unionByName(
+        tables.rejected(checked).select(F.lit(None).cast("string").alias("land_description_id"), F.lit(None).cast("int").alias("county_id"), "line"))
+
+
 @query
 def append_load(b):
     folder = sinks.shared_folder(b.spark)
@@ -548,14 +672,19 @@ def orphans(b):
 
 @query
 def orphans_parties(b):
-    parties = staged_parties(b).select(F.col("recordID").alias("record_id"))
-    return quality.orphans(parties, b.tgt_record.where("outsource_id < 25"))
+    """Records with parties and no registered image."""
+    return quality.orphans(staged_parties(b).select(F.col("recordID").alias("record_id")), b.image_registry)
 
 
 @query
 def orphans_prior_refs(b):
-    refs = staged_prior_refs(b).select(F.col("recordID").alias("record_id"))
-    return quality.orphans(refs, b.tgt_record.where("outsource_id < 25"))
+    return quality.orphans(staged_prior_refs(b).select(F.col("recordID").alias("record_id")), b.image_registry)
+
+
+@query
+def orphans_log(b):
+    """Log rows of records that the target does not have."""
+    return quality.orphans(b.export_log, b.tgt_record)
 
 
 @query
@@ -607,8 +736,15 @@ def name_coverage(b):
 
 @query
 def name_coverage_partial(b):
-    """Against lists that lack a third of the people."""
-    return quality.name_coverage(staged_parties(b), b.grantor.where("grantor_id % 3 <> 0"), b.grantee.where("grantee_id % 3 <> 0"))
+    """Against one of the two lists."""
+    return quality.name_coverage(staged_parties(b), b.grantee)
+
+
+@query
+def lease_counts_rollup(b):
+    """Distinct leases by state, county and year, each level merged from the one below."""
+    placed = b.src_lease.join(counties(b), "county_id", "left").withColumn("year", F.year("record_date"))
+    return bitmaps.rollup_counts(placed, ["state_id", "county_name", "year"], "lease_id", "leases")
 
 
 @query
@@ -697,14 +833,7 @@ def batch_audit(b):
 
 @query
 def target_counts(b):
-    records = b.tgt_record
-    in_batch = F.col("remarks").ilike("%BATCH%")
-    return relational.labelled_counts(records, {
-        "lease records": F.count_if((F.col("record_is_lease") == 1) & F.col("status_id").isin(4, 10, 16, 18, 90)),
-        "batch records": F.count_if(in_batch),
-        "distinct records": F.count_distinct("record_id"),
-        "distinct batch records": F.count_distinct(F.when(in_batch, F.col("record_id"))),
-    }, "measure")
+    return quality.target_counts(b.tgt_record, (4, 10, 16, 18, 90), "BATCH")
 
 
 @query

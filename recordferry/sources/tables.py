@@ -71,6 +71,36 @@ def csv_table(spark: SparkSession, path: str, schema: str, multi_line: bool = Fa
                            if isinstance(f.dataType, T.StringType)})
 
 
+REJECTED, FROM_FILE = "_rejected", "_file"
+
+
+def csv_checked(spark: SparkSession, path: str, schema: str, encoded: bool = True, options: dict[str, str] = CSV_OPTIONS) -> DataFrame:
+    """All lines of a CSV: those that fit the schema as `csv_table` gives them, and beside them those that do not.
+
+    A line with too many or too few fields, or a value that its column's type cannot hold, has its text in
+    `_rejected` and its file in `_file`; its other columns are NULL.  Write the result once (`sinks.staged`) and part
+    it with `accepted` and `rejected`, so that the files are parsed once.  A line break inside quotes parts a line.
+    """
+    declared = T.StructType.fromDDL(schema)
+    df = (spark.read.options(**{**options, "mode": "PERMISSIVE"}, columnNameOfCorruptRecord=REJECTED)
+          .schema(T.StructType([*declared.fields, T.StructField(REJECTED, T.StringType())])).csv(path)
+          .withColumn(FROM_FILE, F.col("_metadata.file_path")))
+    fits = F.col(REJECTED).isNull()
+    decode = decode_lines if encoded else (lambda c: c)
+    values = [F.when(fits, blank_to_null(decode(F.col(f.name))) if isinstance(f.dataType, T.StringType) else F.col(f.name))
+              .alias(f.name) for f in declared.fields]
+    return df.select(*values, REJECTED, F.when(~fits, F.col(FROM_FILE)).alias(FROM_FILE))
+
+
+def accepted(checked: DataFrame) -> DataFrame:
+    return checked.where(F.col(REJECTED).isNull()).drop(REJECTED, FROM_FILE)
+
+
+def rejected(checked: DataFrame) -> DataFrame:
+    """file and line of each line that did not fit."""
+    return checked.where(F.col(REJECTED).isNotNull()).select(F.col(FROM_FILE).alias("file"), F.col(REJECTED).alias("line"))
+
+
 def object_listing(spark: SparkSession, root: str, glob: str = "*") -> DataFrame:
     """Keys and sizes of stored files under `root`; the contents are not read.
 
