@@ -233,6 +233,18 @@ def monthly_volume(df: DataFrame, counties: DataFrame, created: str, county_name
             .orderBy("county_name", "year", "month"))
 
 
+def hash_sample(df: DataFrame, by: list[str], ids: list[str], per_group: int, seed: str = "") -> DataFrame:
+    """The `per_group` rows of each group with the least hash of their ids: uniform, and the same in every run.
+
+    Unlike the rows with the least ids, these do not favour old records.  Each task keeps `per_group` rows of a group
+    at most before the shuffle, and samples of parts of the data can be sampled again to the sample of the whole.
+    """
+    mark = F.md5(F.concat_ws("/", F.lit(seed), *[F.col(c).cast("string") for c in ids]))
+    order = Window.partitionBy(*by).orderBy("_mark", *ids)
+    return (df.withColumn("_mark", mark).withColumn("rn", F.row_number().over(order))
+            .where(F.col("rn") <= per_group).drop("_mark"))
+
+
 def stratified_sample(results: DataFrame, records: DataFrame, strata: range = range(1, 11), per_stratum: int = 5,
                       ) -> DataFrame:
     """Up to `per_stratum` results of each page count, with the record's number.

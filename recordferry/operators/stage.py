@@ -10,6 +10,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from recordferry.functions import rules as R
 from recordferry.functions.text import iso_date, null_to_blank
@@ -180,14 +181,28 @@ def stage_log(candidates: DataFrame, run: Run) -> DataFrame:
     return apply_rules(candidates, LOG_RULES, run)
 
 
+WIDER = {"tinyint": ("smallint", "int", "bigint", "float", "double"), "smallint": ("int", "bigint", "float", "double"),
+         "int": ("bigint", "double"), "bigint": (), "float": ("double",), "date": ("timestamp", "timestamp_ntz")}
+
+
+def can_lose(given: T.DataType, kind: str) -> bool:
+    """Whether a cast from a type can turn a value into NULL: not to the same type, to text, or to a type that holds all."""
+    name = given.simpleString()
+    return not (name in (kind, "void") or kind == "string" or kind in WIDER.get(name, ()))
+
+
 def narrowing_losses(candidates: DataFrame, run: Run) -> DataFrame:
     """Every value that staging drops because it does not fit its column: one row per lease, table and column.
 
-    All rules of both tables are tested, whatever the type; no shuffle.
+    All rules of both tables are tested that can lose a value: those whose cast is to another type that does not hold
+    all values of the given one.  No shuffle.
     """
     losses = []
     for table, rules in (("records", RECORD_RULES), ("export_log", LOG_RULES)):
+        given = candidates.select(*[rule(run).alias(name) for name, _, rule in rules]).schema
         for name, kind, rule in rules:
+            if not can_lose(given[name].dataType, kind):
+                continue
             value = rule(run)
             gone = value.isNotNull() & value.try_cast(kind).isNull()
             losses.append(F.when(gone, F.struct(F.lit(table).alias("table_name"), F.lit(name).alias("column_name"),

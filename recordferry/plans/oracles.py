@@ -680,6 +680,23 @@ ORACLES.update({
     "delete_diff": oracle_with("image_work", "image_registry") + """select record_id, 'deleted' as change, lease_id,
  cast(null as varchar) as after, cast(1 as bigint) as copies from image_work
  where record_id in (select record_id from image_registry)""",
+    "profile_merged": oracle_with("tgt_record") + " union all ".join(
+        f"""select '{c}' as column_name, count({c}) as value_count, count(*) filter (where {c} is null{f" or rtrim({c}) = ''" if k == "string" else ""})
+ as null_count from tgt_record""" for c, k in RECORD_COLUMNS.items() if c != "remarks"),
+    "profile_drift": oracle_with("tgt_record") + " union all ".join(
+        f"""select '{c}' as column_name, count(*) filter (where not batch) as rows_before, count(*) filter (where batch) as rows_after,
+ count(*) filter (where not batch and gone)::double / count(*) filter (where not batch) as missing_before,
+ count(*) filter (where batch and gone)::double / count(*) filter (where batch) as missing_after
+ from (select remarks = 'BATCH(2)' as batch, {c} is null{f" or rtrim({c}) = ''" if k == "string" else ""} as gone from tgt_record)"""
+        for c, k in RECORD_COLUMNS.items()),
+    "missing_relations_staged": ORACLES["missing_relations"],
+    "object_folders": oracle_with("tgt_record") + """select distinct 'outsource_id=' || outsource_id || '/status_id=' || status_id as folder
+ from tgt_record""",
+    "image_register_table": f"select *, 'registered' as status from ({ORACLES['image_register']})",
+    "staged_and_removed": oracle_with("export_log") + """select batch_tag, count(*) as log_rows from export_log
+ where lease_id is not null group by 1""",
+    "record_sample": oracle_with("tgt_record") + """select outsource_id, record_id, record_number, row_number() over (
+ partition by outsource_id order by md5('qa/' || record_id), record_id) as rn from tgt_record qualify rn <= 5""",
     "csv_rejects": oracle_with("land_desc") + """select case when county_id % 4 = 0 then land_description_id end as land_description_id,
  case when county_id % 4 = 0 then county_id end as county_id, case county_id % 4 when 1 then land_description_id || ',x'
  when 2 then land_description_id when 3 then land_description_id || ',' || cast(county_id as varchar) || ',more' end as line

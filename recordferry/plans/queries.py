@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from recordferry.functions import rules as R
-from recordferry.operators import bitmaps, changes, counted, diff, images, land, match, normalize, quality, relational, stage
+from recordferry.operators import bitmaps, changes, counted, diff, images, land, match, normalize, profile, quality, relational, stage
 from recordferry.operators import parties as people
 from recordferry.operators import prior_refs as prior
 from recordferry.operators.stage import Run
@@ -655,6 +655,70 @@ def null_profile_rows(b):
     return quality.profile_rows(quality.null_profile(b.src_lease))
 
 
+@query
+def profile_merged(b):
+    """The profile of all records, from states of the batches."""
+    batches = profile.state(b.tgt_record, ["remarks"])
+    return profile.counts(profile.merged(batches)).select("column_name", "value_count", "null_count")
+
+
+@query
+def profile_drift(b):
+    """The batch against all other records."""
+    parts = profile.state(b.tgt_record.withColumn("batch", F.col("remarks") == "BATCH(2)"), ["batch"])
+    found = profile.drift(parts.where("not batch").drop("batch"), parts.where("batch").drop("batch"))
+    return found.select("column_name", "rows_before", "rows_after", "missing_before", "missing_after")
+
+
+@query
+def missing_relations_staged(b):
+    """As `missing_relations`, over tables staged by record id: nothing but the final counts is shuffled."""
+    folder = sinks.shared_folder(b.spark)
+
+    def by_record(df: DataFrame) -> DataFrame:
+        return sinks.bucketed(df, folder, "record_id", 8)
+
+    return quality.missing_relations(by_record(batch(b).where("record_is_lease = 1").select("record_id")), {
+        "land descriptions": by_record(b.land_desc.select("record_id")),
+        "grantor/grantee entries": by_record(staged_parties(b).select(F.col("recordID").alias("record_id"))),
+        "volume/page references": by_record(staged_prior_refs(b).select(F.col("recordID").alias("record_id"))),
+        "export log": by_record(b.export_log.select("record_id"))})
+
+
+@query
+def object_folders(b):
+    """The folders of a stored table, from a listing of its files."""
+    folder = sinks.shared_folder(b.spark)
+    b.tgt_record.select("record_id", "outsource_id", "status_id").repartition("outsource_id").write.partitionBy("outsource_id", "status_id").parquet(folder)
+    files = tables.object_walk(b.spark, folder).where(F.col("object_key").endswith(".parquet") & (F.col("size_bytes") > 0))
+    return files.select(F.regexp_replace("object_key", "/[^/]*$", "").alias("folder")).distinct()
+
+
+@query
+def image_register_table(b):
+    """The registry rows as a checked table: no NULL where the declaration forbids it, ids unique."""
+    rows = images.register(resolved_images(b), b.export_log, "LEGACY", RUN).withColumn("status", F.lit("registered"))
+    return plain(b.spark.read.parquet(sinks.write_table(rows, f"{sinks.shared_folder(b.spark)}/registry", sinks.IMAGE_REGISTRY_SCHEMA,
+                                                        unique=["recordID"])))
+
+
+@query
+def staged_and_removed(b):
+    """A result outlives the work tables that it was made from."""
+    folder = sinks.shared_folder(b.spark)
+    work = sinks.staged(b.export_log.where("lease_id is not null"), f"{folder}/work")
+    kept = sinks.write_table(work.groupBy("batch_tag").agg(F.count("*").alias("log_rows")), f"{folder}/kept")
+    sinks.remove_folder(b.spark, f"{folder}/work")
+    return b.spark.read.parquet(kept)
+
+
+@query
+def record_sample(b):
+    """Five records of each outsource id, drawn by hash."""
+    drawn = quality.hash_sample(b.tgt_record, ["outsource_id"], ["record_id"], 5, "qa")
+    return drawn.select("outsource_id", "record_id", "record_number", "rn")
+
+
 @query
 def blank_counts(b):
     return quality.blank_counts(b.src_lease, ("record_number", "vol", "deed_vol", "deed_pg"))

@@ -106,6 +106,27 @@ def append_table(df: DataFrame, path: str, columns: list[str]) -> int:
     return steps.counts()["appended"]
 
 
+# ---- bucketed staging ------------------------------------------------------------------
+
+def bucketed(df: DataFrame, folder: str, key: str, buckets: int) -> DataFrame:
+    """Stage a frame that several jobs join, count or test by `key`: bucketed and sorted by it, under `folder`.
+
+    Joins and aggregates by the key of frames staged with as many buckets need no shuffle.  The table is known to the
+    session alone; `drop_bucketed` forgets it, the flow removes the folder.  Choose as many buckets as make one bucket
+    fit a task; rows of one key, NULL included, share a bucket.
+    """
+    name = f"staged_{uuid.uuid4().hex}"
+    (df.repartition(buckets, key).write.mode("errorifexists").bucketBy(buckets, key).sortBy(key)
+     .option("path", f"{folder}/{name}").saveAsTable(name))
+    return df.sparkSession.table(name)
+
+
+def drop_bucketed(spark: SparkSession) -> None:
+    """Forget the staged tables of this session; their files stay until their folder is removed."""
+    for table in spark.catalog.listTables(pattern="staged_*"):
+        spark.sql(f"drop table if exists {table.name}")
+
+
 # ---- published tables ------------------------------------------------------------------
 # A published table is a folder of versions and one small pointer file that names the version to read.  A version is
 # never changed; publishing replaces the pointer in one rename, so readers see the old table or the new one, whole.

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -118,6 +120,46 @@ def object_listing(spark: SparkSession, root: str, glob: str = "*") -> DataFrame
     return listed.select(F.col("path").substr(start, 2**31 - 1).alias("object_key"), F.col("length").alias("size_bytes"))
 
 
+def object_walk(spark: SparkSession, root: str) -> DataFrame:
+    """object_key and size_bytes of all files under `root`, however many: folders are listed by tasks, level by level.
+
+    Each round lists the folders that the round before found, spread over tasks, and writes what it finds to the
+    shared folder; the driver sees the number of folders only.  Keys start below `root`.  `root` is a URI or a path
+    that all executors reach through Arrow's file systems.  Rounds are as many as the tree is deep.
+    """
+    from recordferry.sources import sinks
+
+    uri = root if "://" in root or root.startswith("file:") else f"file://{root}"
+    work, rounds = sinks.shared_folder(spark), []
+
+    def listed(batches):
+        import pyarrow as pa
+        from pyarrow import fs
+
+        for batch in batches:
+            rows = []
+            store, base = fs.FileSystem.from_uri(uri)
+            for folder in batch["folder"].to_pylist():
+                place = f"{base.rstrip('/')}/{folder}".rstrip("/")
+                for entry in store.get_file_info(fs.FileSelector(place)):
+                    key = entry.path[len(base.rstrip("/")) + 1:]
+                    rows.append((key, entry.size, entry.type == fs.FileType.Directory))
+            keys, sizes, folders = list(zip(*rows)) or ([], [], [])
+            yield pa.record_batch({"object_key": pa.array(keys, pa.string()), "size_bytes": pa.array(sizes, pa.int64()),
+                                   "is_folder": pa.array(folders, pa.bool_())})
+
+    folders = spark.range(1).select(F.lit("").alias("folder"))
+    while True:
+        found = sinks.staged(folders.mapInArrow(listed, "object_key string, size_bytes bigint, is_folder boolean"), work)
+        rounds.append(found)
+        below = found.where("is_folder")
+        n = below.count()
+        if not n:
+            break
+        folders = below.select(F.col("object_key").alias("folder")).repartition(min(n, 2000), "folder")
+    return reduce(DataFrame.unionByName, rounds).where("not is_folder").select("object_key", "size_bytes")
+
+
 def object_inventory(spark: SparkSession, path: str, key: str = "object_key", size: str = "size_bytes",
                      pages: str | None = None) -> DataFrame:
     """The same from a Parquet inventory, read in parallel, with page counts if it has them."""
