@@ -13,10 +13,11 @@ it, from more than one left extension, is a maximal repeat of l + K + r bytes.
 
 Scale: only anchor hashes that occur twice or more go on; counting them is one shuffle of (hash, document, place), and texts
 are shuffled once, used to cut the records and again for the result.  Records with equal bytes on both sides count once per
-bucket, in a stream, so memory grows with different contexts only.  Anchors that a sample finds in a hundredth of the
-documents are dealt over SALTS buckets, which pass on one occurrence per context.  These, of which there may be one in each
-document, are dealt again by each MIN-byte window around the anchor, and the earliest row of a window is joined to the others:
-no task holds them all.  The sample decides where rows go, never what counts.
+bucket, in a stream, so memory grows with different contexts only.  Anchors with more than BUCKET records, and those that a
+sample finds in a hundredth of the documents, are dealt over SALTS buckets, which pass on one occurrence per context.  These,
+of which there may be one in each document, are dealt again by the bytes that a repeat must share at one of a few split points;
+records that share them with others meet the earliest of these, and only what it does not share is cut into MIN-byte windows,
+whose earliest row is joined to the others: no task holds them all.  Size and sample decide where rows go, never what counts.
 
 Null text is empty.  Texts under MIN bytes lose nothing.  Each row is a document, also where ids repeat or are null: such rows
 are ordered by id (null first) and hash of the text.  An empty table gives an empty result.  Hashes of K bytes have 64 bits;
@@ -34,10 +35,11 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from recordferry.llm.common import NO_ID, join_counted, numbered, stored
+from recordferry.llm.common import NO_ID, numbered, stored
 
 MIN, K = 100, 40
 SALTS, SAMPLE, HOT = 64, 4000, 40
+BUCKET = 50_000        # records of one anchor that a task may hold
 BLOCK = 1 << 15
 HOT_BIT = 1 << 62
 ROOT = 0x9E3779B97F4A7C15
@@ -108,21 +110,62 @@ def find_anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def keep_repeated(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Of rows (hash, doc, info) sorted by hash, those that are hot or whose hash occurs twice or more."""
-    held = None  # the last row, as long as its hash stands alone so far
-    last = None
+    """Of rows (hash, doc, info) sorted by hash, those that are hot or whose hash occurs twice or more.
+
+    A hash with more than BUCKET rows is hot from here on; at most BUCKET rows are held until that is known.
+    """
+    held: list[pa.RecordBatch] = []  # of the hash that the last batch ended with
+    last, n, hot = None, 0, False
+
+    def marked(rows: pa.RecordBatch, heat: np.ndarray | bool) -> pa.RecordBatch:
+        info = rows.column(2).to_numpy()
+        return pa.RecordBatch.from_arrays([rows.column(0), rows.column(1), pa.array(np.where(heat, info | HOT_BIT, info))], names=rows.schema.names)
+
+    def end() -> Iterator[pa.RecordBatch]:
+        for rows in held:
+            if n > 1:
+                yield rows
+            else:
+                yield rows.filter(pa.array(rows.column(2).to_numpy() >= HOT_BIT))
+        held.clear()
+
     for batch in batches:
         if not batch.num_rows:
             continue
         h = batch.column(0).to_numpy()
-        before = np.concatenate([[last == h[0] if last is not None else False], h[1:] == h[:-1]])
-        after = np.concatenate([before[1:], [False]])
-        keep = before | after | (batch.column(2).to_numpy() >= HOT_BIT)
-        if held is not None and before[0]:
-            yield held
-        alone = not keep[-1]
-        yield batch.filter(pa.array(keep))
-        held, last = (batch.slice(batch.num_rows - 1), h[-1]) if alone else (None, h[-1])
+        starts = np.concatenate([[0], np.flatnonzero(h[1:] != h[:-1]) + 1])
+        if last is not None and h[0] != last:
+            yield from end()
+            n, hot = 0, False
+        elif last is not None:
+            starts = starts[1:]
+            head = batch.slice(0, starts[0] if len(starts) else batch.num_rows)
+            n += head.num_rows
+            held.append(head)
+            if n > BUCKET:
+                hot = True
+            if hot:
+                yield from (marked(rows, True) for rows in held)
+                held.clear()
+            if not len(starts):
+                continue
+            yield from end()
+            n, hot = 0, False
+        # whole groups, then the one that may go on
+        first, tail = starts[0], starts[-1]
+        if tail > first:
+            counts = np.diff(starts)
+            size = np.repeat(counts, counts)
+            rows = batch.slice(first, tail - first)
+            keep = (size > 1) | (rows.column(2).to_numpy() >= HOT_BIT)
+            yield marked(rows, size > BUCKET).filter(pa.array(keep))
+        rest = batch.slice(tail)
+        last, n, hot = h[-1], rest.num_rows, rest.num_rows > BUCKET
+        if hot:
+            yield marked(rest, True)
+        else:
+            held.append(rest)
+    yield from end()
 
 
 def cut_records(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -195,37 +238,44 @@ def bucket_repeats(contexts: list[tuple[bytes, bytes, tuple]], shortest: int = M
             stack.append([r, best])
 
 
+SCANNED = "doc bigint, start bigint, end bigint, of_doc bigint, of_start bigint, hash bigint, left binary, right binary"
+
+
 def find_repeats(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Records sorted by (hash, salt, left, right, doc, place) to (doc, start, end, of_doc, of_start).
+    """Records sorted by (hash, salt, left, right, doc, place) to SCANNED.
 
     An occurrence with the bytes of an earlier one on both sides is reported at once; different contexts are kept until
-    their bucket ends.  Salted buckets only do the former.
+    their bucket ends.  Salted buckets only do the former, and pass on the earliest record of each context, as (doc, place as
+    start, hash, left, right).
     """
-    names = ["doc", "start", "end", "of_doc", "of_start"]
+    names = [c.split()[0] for c in SCANNED.split(", ")]
+    kinds = [pa.int64()] * 6 + [pa.binary()] * 2
     bucket, contexts, out = None, [], []
 
     def close() -> None:
         if len(contexts) > 1 and not bucket[1]:
             for (doc, place), (of_doc, of_place), left, right in bucket_repeats(contexts):
-                out.append((doc, place - left, place + K + right, of_doc, of_place - left))
+                out.append((doc, place - left, place + K + right, of_doc, of_place - left, None, None, None))
 
     def flush() -> pa.RecordBatch:
-        columns = list(zip(*out)) or [[]] * 5
+        columns = list(zip(*out)) or [[]] * 8
         out.clear()
-        return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names=names)
+        return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names=names)
 
     for batch in batches:
         for h, doc, place, left, right, salt in zip(*(batch.column(c).to_pylist() for c in range(6))):
-            if bucket is None or bucket[0] != h or bucket[1] != salt:
+            fresh = bucket is None or bucket[0] != h or bucket[1] != salt
+            if fresh:
                 close()
-                bucket, contexts = (h, salt), [(left, right, (doc, place))]
-                continue
-            same_left, same_right, first = contexts[-1]
-            if left == same_left and right == same_right:
+                bucket, contexts = (h, salt), []
+            elif contexts[-1][0] == left and contexts[-1][1] == right:
+                first = contexts[-1][2]
                 if first != (doc, place):
-                    out.append((doc, place - len(left), place + K + len(right), first[0], first[1] - len(left)))
-            elif salt:
+                    out.append((doc, place - len(left), place + K + len(right), first[0], first[1] - len(left), None, None, None))
+                continue
+            if salt:
                 contexts = [(left, right, (doc, place))]
+                out.append((doc, place, None, None, None, h, left, right))
             else:
                 contexts.append((left, right, (doc, place)))
         yield flush()
@@ -257,51 +307,92 @@ def repeats(texts: DataFrame) -> DataFrame:
     if hot is not None:
         marked = F.when(F.col("hot"), F.col("info").bitwiseOR(F.lit(HOT_BIT))).otherwise(F.col("info"))
         anchors = anchors.join(F.broadcast(hot), "hash", "left").select("hash", "doc", marked.alias("info"))
-    repeated = (anchors.repartition("hash", _salt("info")).sortWithinPartitions("hash")
-                .mapInArrow(keep_repeated, "hash bigint, doc bigint, info bigint"))
+    repeated = stored(anchors.repartition("hash", _salt("info")).sortWithinPartitions("hash")
+                      .mapInArrow(keep_repeated, "hash bigint, doc bigint, info bigint"))
     per_doc = repeated.groupBy("doc").agg(F.collect_list(F.struct("info", "hash")).alias("anchors"))
-
-    def records(found: DataFrame) -> DataFrame:
-        return (found.join(texts, "doc").select("doc", "text", "anchors")
-                .mapInArrow(cut_records, "hash bigint, doc bigint, place bigint, left binary, right binary")
-                .select("hash", "doc", F.col("place").bitwiseAND(F.lit(HOT_BIT - 1)).alias("place"), "left", "right",
-                        _salt("place").alias("salt")))
-
-    found = _scan(records(per_doc))
-    if hot is None:
-        return found
-    # One occurrence per context and salt is left of every hot anchor; equal surroundings leave few, different ones many.
-    hot_only = per_doc.withColumn("anchors", F.filter("anchors", lambda a: a["info"] >= HOT_BIT)).filter(F.size("anchors") > 0)
-    left = records(hot_only).groupBy("hash", "left", "right", "salt").agg(F.min(F.struct("doc", "place")).alias("first"))
-    return found.union(same_windows(left.select("hash", "first.doc", "first.place", "left", "right")))
-
-
-def cut_windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(hash, doc, place, left, right) to (window, doc, place, before): a digest of each MIN-byte window that has the anchor
-    `before` bytes after its start."""
+    records = (per_doc.join(texts, "doc").select("doc", "text", "anchors")
+               .mapInArrow(cut_records, "hash bigint, doc bigint, place bigint, left binary, right binary")
+               .select("hash", "doc", F.col("place").bitwiseAND(F.lit(HOT_BIT - 1)).alias("place"), "left", "right",
+                       _salt("place").alias("salt")))
+    scanned = (records.repartition("hash", "salt").sortWithinPartitions("hash", "salt", "left", "right", "doc", "place")
+               .mapInArrow(find_repeats, SCANNED))
+    spans = ["doc", "start", "end", "of_doc", "of_start"]
+    if repeated.filter(F.col("info") >= HOT_BIT).isEmpty():
+        return scanned.select(*spans)
+    # One record per context and salt is left of every hot anchor; equal surroundings leave few, different ones many.
+    scanned = stored(scanned)
+    contexts = scanned.filter("hash is not null").select("hash", "doc", F.col("start").alias("place"), "left", "right")
+    return scanned.filter("hash is null").select(*spans).union(same_windows(contexts))
+
+
+#: A repeat shares l bytes to the left of its anchor and r to the right, l + r >= MIN - K.  With l in [a, a + STEP), it shares a
+#: to the left and MIN - K - STEP - a to the right: records that share this with no other record at any a are in no repeat.
+STEP = 10
+
+
+def cut_splits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(hash, doc, place, left, right) to (split, at, hash, doc, place, left, right): a digest of the bytes shared at each split."""
+    names = ["split", "at", "hash", "doc", "place", "left", "right"]
+    kinds = [pa.binary(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.binary()]
+    spare = MIN - K - STEP
     for batch in batches:
-        for at in range(0, batch.num_rows, 1000):
+        for start in range(0, batch.num_rows, 1000):
             out = []
-            for h, doc, place, left, right in zip(*(c.to_pylist() for c in batch.slice(at, 1000).columns)):
+            for h, doc, place, left, right in zip(*(c.to_pylist() for c in batch.slice(start, 1000).columns)):
+                head = h.to_bytes(8, "little", signed=True)
+                for at in range(0, spare + 1, STEP):
+                    if at <= len(left) and spare - at <= len(right):
+                        shared = left[len(left) - at:] + right[:spare - at]
+                        out.append((xxhash.xxh3_128_digest(head + bytes([at]) + shared), at, h, doc, place, left, right))
+            columns = list(zip(*out)) or [[]] * 7
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names=names)
+
+
+def meet_first(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Records (at, hash, doc, place, left, right) with the earliest record of their split, `first`, to (doc, start, end, of_doc,
+    of_start) of what they share with it, and to (window, doc, start, before) of what is left.
+
+    `window` is a digest of a MIN-byte window with the anchor `before` bytes after its start (here, `start` is the anchor's place):
+    of those that belong to the split `at`, the ones that the earliest record does not share.
+    """
+    names = ["doc", "start", "end", "of_doc", "of_start", "window", "before"]
+    kinds = [pa.int64()] * 5 + [pa.binary(), pa.int32()]
+    need = MIN - K
+    for batch in batches:
+        for start in range(0, batch.num_rows, 1000):
+            out = []
+            for at, h, doc, place, left, right, first in zip(*(c.to_pylist() for c in batch.slice(start, 1000).columns)):
+                if (first["doc"], first["place"]) == (doc, place):
+                    continue
+                l, r = common(left[::-1], first["left"][::-1]), common(right, first["right"])
+                if l + r >= need:
+                    out.append((doc, place - l, place + K + r, first["doc"], first["place"] - l, None, None))
                 context, head = left + right, h.to_bytes(8, "little", signed=True)
-                for before in range(max(0, MIN - K - len(right)), min(MIN - K, len(left)) + 1):
-                    start = len(left) - before
-                    out.append((xxhash.xxh3_128_digest(head + bytes([before]) + context[start:start + MIN - K]), doc, place, before))
-            columns = list(zip(*out)) or [[]] * 4
-            kinds = [pa.binary(), pa.int64(), pa.int64(), pa.int32()]
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names=["window", "doc", "place", "before"])
+                last = at + STEP if at + STEP < need else need + 1  # the last split has one more
+                for before in range(max(at, need - len(right)), min(last - 1, len(left)) + 1):
+                    if not need - r <= before <= l:
+                        begin = len(left) - before
+                        digest = xxhash.xxh3_128_digest(head + bytes([before]) + context[begin:begin + need])
+                        out.append((doc, place, None, None, None, digest, before))
+            columns = list(zip(*out)) or [[]] * 7
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names=names)
 
 
 def same_windows(contexts: DataFrame) -> DataFrame:
     """Repeats among records (hash, doc, place, left, right), one row for each pair of a later and an earliest occurrence."""
-    windows = stored(contexts.mapInArrow(cut_windows, "window binary, doc bigint, place bigint, before int"))
+    splits = stored(contexts.mapInArrow(cut_splits, "split binary, at int, hash bigint, doc bigint, place bigint, left binary, right binary"))
+    shared = (splits.groupBy("split").agg(F.min(F.struct("doc", "place", "left", "right")).alias("first"), F.count("*").alias("n"))
+              .filter("n > 1").select("split", "first"))
+    met = stored(splits.join(shared, "split").select("at", "hash", "doc", "place", "left", "right", "first").mapInArrow(
+        meet_first, "doc bigint, start bigint, end bigint, of_doc bigint, of_start bigint, window binary, before int"))
+    windows = met.filter("window is not null").select("window", "doc", F.col("start").alias("place"), "before")
     first = windows.groupBy("window").agg(F.min(F.struct("doc", "place")).alias("first"), F.count("*").alias("n")).filter("n > 1")
-    met = join_counted(windows, first, "window", "n", windows.count())
-    later = met.filter("n is not null and (doc <> first.doc or place <> first.place)")
+    later = windows.join(first.select("window", "first"), "window").filter("doc <> first.doc or place <> first.place")
     pairs = later.groupBy("doc", "place", F.col("first.doc").alias("of_doc"), F.col("first.place").alias("of_place")).agg(
         F.min("before").alias("low"), F.max("before").alias("high"))
-    return pairs.select("doc", (F.col("place") - F.col("high")).alias("start"), (F.col("place") + MIN - F.col("low")).alias("end"),
-                        "of_doc", (F.col("of_place") - F.col("high")).alias("of_start"))
+    return met.filter("window is null").select("doc", "start", "end", "of_doc", "of_start").union(pairs.select(
+        "doc", (F.col("place") - F.col("high")).alias("start"), (F.col("place") + MIN - F.col("low")).alias("end"),
+        "of_doc", (F.col("of_place") - F.col("high")).alias("of_start")))
 
 
 def _salt(marked: str) -> Column:
@@ -309,11 +400,6 @@ def _salt(marked: str) -> Column:
     return F.when(F.col(marked) >= HOT_BIT, F.pmod(F.xxhash64("doc"), F.lit(SALTS)).cast("int") + 1).otherwise(0)
 
 
-def _scan(records: DataFrame) -> DataFrame:
-    return (records.repartition("hash", "salt").sortWithinPartitions("hash", "salt", "left", "right", "doc", "place")
-            .mapInArrow(find_repeats, "doc bigint, start bigint, end bigint, of_doc bigint, of_start bigint"))
-
-
 def merged(spans: list[int], n: int) -> list[tuple[int, int]]:
     """Maximal runs of bytes under the spans (start << 8 | length: a row spans less than 2 * MIN bytes)."""
     runs: list[list[int]] = []

@@ -45,10 +45,11 @@ def corpus(seed):
     return docs
 
 
-@pytest.mark.parametrize("seed, hot", [(1, 40), (2, 2), (3, 4)])
-def test_equals_brute_force(documents, monkeypatch, seed, hot):
-    """Also with every anchor that a few documents share taken as hot."""
+@pytest.mark.parametrize("seed, hot, bucket", [(1, 40, 50_000), (2, 2, 50_000), (3, 4, 50_000), (4, 40, 1), (5, 40, 3)])
+def test_equals_brute_force(documents, monkeypatch, seed, hot, bucket):
+    """Also with every anchor that a few documents share taken as hot, by the sample or by its size."""
     monkeypatch.setattr(suffix, "HOT", hot)
+    monkeypatch.setattr(suffix, "BUCKET", bucket)
     monkeypatch.setattr(suffix, "SALTS", 3)
     docs = corpus(seed)
     rows = suffix.digests(documents(*docs.items())).collect()
@@ -128,3 +129,36 @@ def test_different_contexts_of_a_hot_anchor_are_not_held_in_one_bucket(documents
     rows = suffix.digests(documents(*docs.items())).collect()
     assert {r[0]: tuple(r)[1:] for r in rows} == brute(docs)
     assert sum(r.n_removed for r in rows) > 0
+
+
+def test_repeated_rows_are_kept_over_any_batches():
+    import numpy as np
+    import pyarrow as pa
+    rng = random.Random(8)
+    for _ in range(200):
+        h = sorted(rng.choices(range(12), k=rng.randint(0, 30)))
+        info = [suffix.HOT_BIT | i if rng.random() < .1 else i for i in range(len(h))]
+        cuts = sorted(rng.choices(range(len(h) + 1), k=3))
+        parts = [pa.record_batch({"hash": pa.array(h[a:b], pa.int64()), "doc": pa.array(h[a:b], pa.int64()), "info": pa.array(info[a:b], pa.int64())})
+                 for a, b in zip([0, *cuts], [*cuts, len(h)])]
+        suffix.BUCKET, before = 4, suffix.BUCKET
+        try:
+            got = sorted((r["hash"], r["info"]) for b in suffix.keep_repeated(iter(parts)) for r in b.to_pylist())
+        finally:
+            suffix.BUCKET = before
+        want = sorted((x, i | suffix.HOT_BIT if h.count(x) > 4 else i) for x, i in zip(h, info) if h.count(x) > 1 or i >= suffix.HOT_BIT)
+        assert got == want
+
+
+def test_a_short_line_that_all_share_makes_no_windows(documents, monkeypatch):
+    """80 equal bytes in different surroundings are no repeat, and cost six rows a record."""
+    monkeypatch.setattr(suffix, "HOT", 2)
+    rng = random.Random(9)
+    line = text(rng, 80, "abcdefgh")
+    rows = [(i, text(rng, 120, "ijklmnop") + line + text(rng, 120, "ijklmnop")) for i in range(150)]
+    made = []
+    real = suffix.stored
+    monkeypatch.setattr(suffix, "stored", lambda df: made.append((df.columns[0], real(df))) or made[-1][1])
+    assert suffix.repeats(suffix.keyed(documents(*rows))).count() == 0
+    counts = {name: df.count() for name, df in made}
+    assert counts["split"] > 0 and [df.count() for _, df in made if "window" in df.columns] == [0]
