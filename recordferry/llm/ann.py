@@ -9,7 +9,7 @@ queries meet it in blocks, so a task holds one shard and one block.
 
 Every valid vector is indexed.  Vectors that are null, zero, or hold null or non-finite numbers neither query nor answer;
 vectors of different lengths do not meet.  Distances are Euclidean in double precision; ties go to the smaller id.  Repeated
-rows (same id and vector) are one candidate.  An empty table, or fewer candidates than asked for, gives what there is.
+rows are one, and of rows with one id and several vectors the least vector counts (`valid`).  An empty table, or fewer candidates than asked for, gives what there is.
 """
 
 from __future__ import annotations
@@ -117,8 +117,9 @@ def _matrix(column: pa.ChunkedArray) -> np.ndarray:
 def valid(vectors: DataFrame, vec_id: str = "vec_id", embedding: str = "embedding") -> DataFrame:
     rows = vectors.select(vectors[vec_id].alias("vec_id"), vectors[embedding].cast("array<double>").alias("vector"))
     finite = F.forall("vector", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
-    return rows.filter(F.col("vec_id").isNotNull() & F.col("vector").isNotNull()).filter(
+    usable = rows.filter(F.col("vec_id").isNotNull() & F.col("vector").isNotNull()).filter(
         finite & F.exists("vector", lambda x: x != 0))
+    return usable.groupBy("vec_id").agg(F.min("vector").alias("vector"))
 
 
 def index(vectors: DataFrame, k: int = 10, shard_rows: int = SHARD) -> DataFrame:

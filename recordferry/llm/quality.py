@@ -11,6 +11,8 @@ sample alone come to the driver.  Scoring reads every whole text once, in tasks,
 Null and empty texts have all-zero features and get the score of that point, like any other text.  Null labels or ids train
 nothing; contradicting labels of one id are both used.
 Of rows that share an id the least text trains.  Without two classes in the sample every score is 1 or 0 by majority.
+Columns of the input named score or predicted are replaced, and the text may be read from one of them; other columns stay.  A
+very long text is held whole, with the counts of its different words, by the task that scores it.
 """
 
 from __future__ import annotations

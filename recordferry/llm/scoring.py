@@ -14,7 +14,7 @@ Scale: the models grow with the corpus and are never in one place.  Documents ar
 chunk counts its different grams once and sends them, as packed arrays, to buckets by gram hash.  A bucket adds up all chunks
 and answers each with the counts of its own grams only; what follows a word is summed in a second round in the same way.
 So a chunk or a bucket is all that a task holds, and a gram that is everywhere is one number per chunk.  Documents are read
-twice and must come in the same partitions both times, as files do; a chunk that differs stops the job.
+twice and must come in the same partitions both times, as files do; a chunk whose grams differ, by their checksum, stops the job.
 
 Null and empty texts have 0 tokens and null losses.  Repeated rows count as often as they occur.  Empty corpora give uniform
 models over the unknown word.
@@ -37,7 +37,7 @@ from recordferry.llm.common import stored
 from recordferry.llm.minhash import GOLDEN, mixed
 
 STRENGTH = 32.0
-CHUNK = 1 << 23
+CHUNK = 1 << 22
 BLOCKS = "bucket bigint, chunk bigint, heads binary, runs binary, grams binary, counts binary"
 ANSWERS = "kind int, key bigint, at bigint, keys binary, b binary, t binary"
 COUNTS, AFTER, WORDS, SUMS = range(4)
@@ -70,6 +70,10 @@ def unpacked(x: bytes) -> np.ndarray:
     return np.frombuffer(zlib.decompress(x), np.int64)
 
 
+def checksum(grams: np.ndarray) -> bytes:
+    return xxhash.xxh3_64_digest(grams.tobytes())
+
+
 def bucket_of(grams: np.ndarray, buckets: int) -> np.ndarray:
     """Ranges of the hash, so that sorted grams are sorted by bucket."""
     return ((grams >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)).astype(np.int64)
@@ -115,9 +119,17 @@ class Grams:
         self.word, self.pair = place[:len(words)], np.full(len(words), -1)
         self.pair[inside] = place[len(words):]
 
+    def starts(self) -> np.ndarray:
+        return np.flatnonzero(np.concatenate([[True], self.bucket[1:] != self.bucket[:-1]])) if len(self.bucket) else np.zeros(0, np.int64)
+
+    def checksums(self) -> list[tuple[int, bytes]]:
+        """Bucket and checksum of its grams, in order."""
+        starts = self.starts().tolist()
+        return [(int(self.bucket[lo]), checksum(self.gram[lo:hi])) for lo, hi in zip(starts, [*starts[1:], len(self.bucket)])]
+
     def blocks(self, chunk: int) -> Iterator[tuple]:
         """Rows of BLOCKS: heads once each, with the length of their run."""
-        starts = np.flatnonzero(np.concatenate([[True], self.bucket[1:] != self.bucket[:-1]])) if len(self.bucket) else []
+        starts = self.starts()
         for lo, hi in zip(starts, [*starts[1:], len(self.bucket)]):
             heads, runs = np.unique(self.head[lo:hi], return_counts=True)
             yield (int(self.bucket[lo]), chunk, heads.tobytes(), packed(runs), self.gram[lo:hi].tobytes(), packed(self.n[lo:hi]))
@@ -192,7 +204,7 @@ def merged(blocks: DataFrame, buckets: int) -> DataFrame:
                 p = place[start:start + len(mine)]
                 start += len(mine)
                 if r[1] > 0:
-                    out.append((COUNTS, r[1], bucket, None, packed(b[p]), packed(t[p])))
+                    out.append((COUNTS, r[1], bucket, checksum(mine), packed(b[p]), packed(t[p])))
                     out.append((WORDS, bucket, r[1], mine[word[p] & model[p]].tobytes(), None, None))
             heads, p = np.unique(head[model & ~word], return_inverse=True)
             after = [np.bincount(p.ravel(), x[model & ~word], len(heads)).astype(np.int64) for x in (b, t)]
@@ -202,11 +214,12 @@ def merged(blocks: DataFrame, buckets: int) -> DataFrame:
                 out.append((AFTER, int(to), bucket, heads[some].tobytes(), packed(after[0][some]), packed(after[1][some])))
             yield table_of(out, ANSWER)
 
-    return (blocks.repartition("bucket").sortWithinPartitions("bucket", "chunk")
+    # as many partitions as buckets: Arrow batches have up to 10,000 rows, so a task must not get many buckets
+    return (blocks.repartition(buckets, "bucket").sortWithinPartitions("bucket", "chunk")
             .mapInArrow(lambda b: renamed(run(b), ANSWERS), ANSWERS))
 
 
-def followed(answers: DataFrame) -> DataFrame:
+def followed(answers: DataFrame, buckets: int) -> DataFrame:
     """AFTER answers to (chunk, bucket), in the order of the chunk's WORDS."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows in by_key(batches, 1):
@@ -222,7 +235,7 @@ def followed(answers: DataFrame) -> DataFrame:
             yield table_of(out, ANSWER)
 
     wanted = answers.filter(F.col("kind").isin(AFTER, WORDS))
-    return (wanted.repartition("key").sortWithinPartitions("key", "kind", "at")
+    return (wanted.repartition(buckets, "key").sortWithinPartitions("key", "kind", "at")
             .mapInArrow(lambda b: renamed(run(b), ANSWERS), ANSWERS))
 
 
@@ -269,18 +282,18 @@ def score(docs: DataFrame, target: DataFrame, text: str = "text", doc_id: str =
             counts, after = ([np.concatenate([unpacked(r[c]) for r in rows if r[1] == kind] or [np.zeros(0, np.int64)]) for c in (3, 4)]
                              for kind in (COUNTS, AFTER))
             texts = [r[:6] for r in texts]
-            rows.clear()
-            if len(counts[0]) != len(grams.gram):
+            if [(r[2], r[7]) for r in rows if r[1] == COUNTS] != grams.checksums():
                 raise ValueError("the documents were not in the same partitions when read again")
+            rows.clear()
             t, b = losses(grams, counts, after, sums)
             out = [(r[5], int(n), *((float(x), float(y), float(x - y)) if n else (None,) * 3)) for r, n, x, y in zip(texts, grams.sizes, t, b)]
             yield table_of(out, kinds)
 
     none = F.lit(None)
-    told = answers.filter(F.col("kind") == COUNTS).union(followed(answers)).select(
-        F.col("key").alias("chunk"), "kind", "at", "b", "t", none.cast("long").alias("doc_id"), none.cast("string").alias("text"))
+    told = answers.filter(F.col("kind") == COUNTS).union(followed(answers, buckets)).select(
+        F.col("key").alias("chunk"), "kind", "at", "b", "t", none.cast("long").alias("doc_id"), none.cast("string").alias("text"), "keys")
     asked = chunks.select("chunk", F.lit(-1).alias("kind"), none.cast("long").alias("at"), none.cast("binary").alias("b"),
-                          none.cast("binary").alias("t"), "doc_id", "text")
+                          none.cast("binary").alias("t"), "doc_id", "text", none.cast("binary").alias("keys"))
     # Documents come first in both unions, so that their tasks, which number the chunks, are the same.
-    return (asked.union(told).repartition("chunk").sortWithinPartitions("chunk", "kind", "at")
+    return (asked.union(told).repartition(buckets, "chunk").sortWithinPartitions("chunk", "kind", "at")
             .mapInArrow(lambda b: renamed(run(b), schema), schema))

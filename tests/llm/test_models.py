@@ -1,6 +1,8 @@
 """Quality score, LM scoring and neighbour search against plain Python, brute force and held-out labels."""
 
 import math
+import random
+import re
 from collections import Counter
 
 import numpy as np
@@ -146,3 +148,89 @@ def test_several_shards_ties_and_odd_vectors(spark):
     assert got[1000] == want[1000] == [(1000 + i, 0.0) for i in range(1, 11)]
     assert got.keys() == want.keys() and np.mean([len(set(got[q]) & set(want[q])) / 10 for q in want]) >= .95
     assert ann.search(ann.index(vectors.limit(0)), wanted.limit(0)).count() == 0
+
+
+def test_query_over_repeated_rows_and_ids(spark, tmp_path):
+    """Rows that are there three times are one; of one id with two vectors the least vector counts."""
+    rng = random.Random(12)
+    data = [(i, [rng.gauss(0, 1) for _ in range(6)], 0) for i in range(260)]
+    data += [data[100], data[100], data[101], (200, [-9.0] * 6, 0), (7, [9.0] * 6, 0), (None, [1.0] * 6, 0), (300, None, 0), (400, [0.0] * 6, 0)]
+    spark.createDataFrame(data, "vec_id bigint, embedding array<float>, label int").write.parquet(f"{tmp_path}/embeddings.parquet")
+    got = queries.op6_neighbours(spark, str(tmp_path)).collect()
+    stored = {}
+    for r in spark.read.parquet(f"{tmp_path}/embeddings.parquet").collect():
+        if r.vec_id is not None and r.embedding and any(r.embedding):
+            stored[r.vec_id] = min(stored.get(r.vec_id, list(r.embedding)), list(r.embedding))
+    assert {r.query_id for r in got} == {0, 100, 200}
+    for q in (0, 100, 200):
+        want = sorted((math.dist(stored[q], v), i) for i, v in stored.items() if i != q)[:10]
+        mine = sorted((r["rank"], r.vec_id, r.score) for r in got if r.query_id == q)
+        assert [m[0] for m in mine] == list(range(1, 11)) and len({m[1] for m in mine}) == 10
+        assert [m[1] for m in mine] == [i for _, i in want]
+
+
+def test_documents_in_other_partitions_stop_the_job(documents, spark, monkeypatch):
+    """As many grams, other words: the count alone would not tell."""
+    monkeypatch.setattr(scoring, "CHUNK", 64)
+    docs = documents(*[(i, f"a{i} b{i} c{i}") for i in range(40)])
+    target = spark.createDataFrame([("a1 b1",)], "text string")
+    want = {r.doc_id: r.difference for r in scoring.score(docs, target).collect()}
+    assert len(want) == 40
+    grams = scoring.Grams(["a b c", "d e"], 3)
+    other = scoring.Grams(["a b x", "d e"], 3)
+    assert len(grams.gram) == len(other.gram) and grams.checksums() != other.checksums()
+    checksums = scoring.Grams.checksums
+    monkeypatch.setattr(scoring.Grams, "checksums", lambda self: [(b, b"other") for b, _ in checksums(self)])
+    with pytest.raises(Exception, match="same partitions"):
+        scoring.score(docs, target).collect()
+
+
+def plain_features(text):
+    """The features of a text, word by word."""
+    words = [w for w in re.split("[ \t\n\x0b\x0c\r]+", text or "") if w]
+    out = [0.0] * (quality.FEATURES + quality.HASHED)
+    if not words:
+        return out
+    n, letters = len(words), [c for c in text if c.isascii() and c.isalpha()]
+    lines = [line for line in text.split("\n") if re.search("[^ \t\n\x0b\x0c\r]", line)]
+    threes = [tuple(words[i:i + 3]) for i in range(n - 2)]
+    repeated = {i + k for i, t in enumerate(threes) if threes.count(t) > 1 for k in range(3)}
+    data = [w.encode() for w in words]
+    out[:quality.FEATURES] = [
+        1, math.log1p(n) / 10, sum(map(len, words)) / n / 10, min(sum(c in "#*$%&|<>" for c in text) / n, 3),
+        (len(lines) - len(set(lines))) / max(len(lines), 1), len(repeated) / n, sum(c.isupper() for c in letters) / max(len(letters), 1),
+        len(set(words)) / n, max(words.count(w) for w in set(words)) / n, min(sum(c in ".!?" for c in text) / n, 2),
+        len(letters) / len(text.encode()), sum(a == b for a, b in zip(words, words[1:])) / n]
+    for w in dict.fromkeys(data):
+        h = int.from_bytes(w[:3], "little") * 0x9E3779B1 >> 7
+        out[quality.FEATURES + h % quality.HASHED] += (1 if h >> 13 & 1 else -1) * (data.count(w) / n)
+    return out
+
+
+def test_fit_and_scores_equal_plain_gradient_steps(documents, rows):
+    """The same pairs, features from plain Python, and the loss brought down by small steps instead of Newton's."""
+    rng = random.Random(21)
+    good = [" ".join(rng.choices(["the", "of", "and", "House", "river", "walks", "quietly."], k=rng.randint(20, 60))) for _ in range(60)]
+    bad = [" ".join(rng.choices(["BUY", "###", "now", "now", "now", "$$", "click!"], k=rng.randint(5, 60))) for _ in range(50)]
+    texts = {i: t for i, t in enumerate(good + bad + ["", None, "one\ntwo\none\ntwo"])}
+    labels = {i: int(i < 60) if rng.random() > .15 else int(i >= 60) for i in range(110)}  # some are wrong, so the classes overlap
+    frame = documents(*texts.items())
+    pairs = 400
+    model = quality.train(frame, rows("doc_id bigint, label int", *labels.items()), pairs=pairs)
+    got = {r.doc_id: r.score for r in quality.score(frame.selectExpr("*", "9 as score", "'x' as predicted"), model).collect()}
+
+    x = {i: np.array(plain_features(t)) for i, t in texts.items()}
+    order = sorted(labels, key=lambda i: (labels[i], *reversed(x[i])))
+    ones, zeros = ([x[i] for i in order if labels[i] == k] for k in (1, 0))
+    draw = np.random.default_rng(1)
+    first, second = draw.integers(len(ones), size=pairs), draw.integers(len(zeros), size=pairs)
+    d = np.array([ones[a] - zeros[b] for a, b in zip(first, second)])
+    w = np.zeros(d.shape[1])
+    for _ in range(60_000):
+        w += 2.0 * (d.T @ (1 / (1 + np.exp(d @ w))) / pairs - 1e-3 * w)
+    ranks = sorted(float(x[i] @ w) for i in labels)
+    place = sum(v == 0 for v in labels.values()) / len(labels) * (len(ranks) - 1)
+    at = (ranks[math.floor(place)] + ranks[math.ceil(place)]) / 2
+    for i, t in texts.items():
+        want = 1 / (1 + math.exp(-(float(x[i] @ w) - at + math.log(.3 / .7))))
+        assert abs(got[i] - want) < 1e-4, (i, got[i], want)
