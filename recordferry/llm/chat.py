@@ -1,6 +1,6 @@
 """Chat formatting with Spark expressions only.
 
-The turns of a conversation are collected as structs and sorted by (turn, role, text).  Adjacent turns of one role share a
+The turns of a conversation are sorted by (turn, role, text) and collected as structs.  Adjacent turns of one role share a
 block.  The template:
 
     <|role|>text<+>text<|end|>        a block; <+> parts the texts of merged turns
@@ -9,12 +9,12 @@ Texts and roles are escaped (& < | become &amp; &lt; &bar;), so no control strin
 reverse order gives them back.  `loss_spans` are the [start, end) code-point offsets of the assistant texts in `formatted`.
 
 Null text or role counts as empty, a null turn sorts first, rows with a null conversation id form one conversation, repeated
-rows stay repeated turns.  Rows of a conversation are gathered per task before they are shuffled.
+rows stay repeated turns.  Turns are shuffled once, by conversation.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 ESCAPES = (("&", "&amp;"), ("<", "&lt;"), ("|", "&bar;"))
@@ -33,31 +33,28 @@ def unescape(text: Column) -> Column:
 
 
 def format_chats(turns: DataFrame, assistant: str = "assistant") -> DataFrame:
-    """conv_id, formatted, loss_spans array<struct<start,end>> from rows (conv_id, turn, role, text)."""
-    collected = turns.groupBy(turns["conv_id"]).agg(F.sort_array(F.collect_list(F.struct(
-        turns["turn"], escape(F.coalesce(turns["role"], F.lit(""))).alias("role"),
-        F.coalesce(turns["text"], F.lit("")).alias("raw")))).alias("turns"))
-
-    def piece(turn: Column, at: Column) -> Column:
-        before = F.get("turns", at - 1)["role"]
-        opening = F.concat(F.lit("<|"), turn["role"], F.lit("|>"))
-        head = (F.when(at == 0, opening).when(before == turn["role"], F.lit("<+>"))
-                .otherwise(F.concat(F.lit("<|end|>"), opening)))
-        return F.struct(head.alias("head"), escape(turn["raw"]).alias("body"), (turn["role"] == assistant).alias("loss"))
-
-    pieces = collected.select("conv_id", F.transform("turns", piece).alias("pieces"))
-
-    def step(state: Column, p: Column) -> Column:
-        start = state["at"] + F.char_length(p["head"])
-        end = start + F.char_length(p["body"])
-        span = F.struct(start.alias("start"), end.alias("end"))
-        return F.struct(end.alias("at"), F.when(p["loss"], F.concat(state["spans"], F.array(span)))
-                        .otherwise(state["spans"]).alias("spans"))
-
-    none = F.array().cast("array<struct<start:bigint,end:bigint>>")
-    spans = F.aggregate("pieces", F.struct(F.lit(0).cast("long").alias("at"), none.alias("spans")), step)
-    text = F.array_join(F.transform("pieces", lambda p: F.concat(p["head"], p["body"])), "")
-    return pieces.select("conv_id", F.concat(text, F.lit("<|end|>")).alias("formatted"), spans["spans"].alias("loss_spans"))
+    """conv_id, formatted, loss_spans array<struct<start,end>> from rows (conv_id, turn, role, text).
+
+    Offsets are running sums over the turns, made before the turns are collected, so a conversation costs its length.
+    """
+    rows = turns.select(turns["conv_id"].alias("conv_id"), turns["turn"].alias("turn"),
+                        escape(F.coalesce(turns["role"], F.lit(""))).alias("role"), F.coalesce(turns["text"], F.lit("")).alias("raw"))
+    order = Window.partitionBy("conv_id").orderBy(F.col("turn").asc_nulls_first(), "role", "raw")
+    opening = F.concat(F.lit("<|"), F.col("role"), F.lit("|>"))
+    before = F.lag("role").over(order)
+    head = (F.when(before.isNull(), opening).when(before == F.col("role"), F.lit("<+>"))
+            .otherwise(F.concat(F.lit("<|end|>"), opening)))
+    pieces = rows.select("conv_id", "role", F.row_number().over(order).alias("at"), "turn", "raw", head.alias("head"), escape(F.col("raw")).alias("body"))
+    size = F.char_length("body")
+    end = F.sum(F.char_length("head") + size).over(
+        Window.partitionBy("conv_id").orderBy("at").rowsBetween(Window.unboundedPreceding, 0))
+    placed = pieces.select("conv_id", F.struct(
+        "at", F.concat("head", "body").alias("piece"), (F.col("role") == assistant).alias("loss"),
+        (end - size).alias("start"), end.alias("end")).alias("piece"))
+    collected = placed.groupBy("conv_id").agg(F.sort_array(F.collect_list("piece")).alias("pieces"))
+    spans = F.transform(F.filter("pieces", lambda p: p["loss"]), lambda p: F.struct(p["start"].alias("start"), p["end"].alias("end")))
+    return collected.select("conv_id", F.concat(F.array_join("pieces.piece", ""), F.lit("<|end|>")).alias("formatted"),
+                            spans.alias("loss_spans"))
 
 
 def read_turns(formatted: Column) -> Column:

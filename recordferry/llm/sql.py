@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from recordferry.llm import urls
+
 WORDS = r"'[^\x20\x09-\x0D]+'"
 
 OP4 = rf"""
@@ -61,6 +63,56 @@ select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, fail
 from f
 """
 
+def _strength(table: str, bad: str, n: str, parent: str) -> str:
+    """The strength of a level's beta prior, by the method of moments, between 0.5 and 1000."""
+    noise = f"{parent} * (1 - {parent})"
+    return f"""(select case when excess <= 0 or room <= 0 then 1000.0 else least(greatest(room / excess - 1, 0.5), 1000.0) end from (
+  select coalesce(sum({n} * ({bad}::double / {n} - {parent}) * ({bad}::double / {n} - {parent})), 0) - coalesce(sum({noise}), 0) as excess,
+         coalesce(sum(({n} - 1) * {noise}), 0) as room from {table} where {n} > 0))"""
+
+
+def _fits(rule: str) -> str:
+    on, _, under = rule.partition("/")
+    return f"(host = '{on}' or ends_with(host, '.{on}')) and starts_with(path, '/{under}')"
+
+
+_RULES = sorted(urls.RULES, key=lambda r: -len(r[0]))
+_CAPITALS = urls.CAPITALS
+OP8 = rf"""
+with u as (
+  select page_id, instr(url, '://') > 0 as whole, substr(url, instr(url, '://') + 3) as rest from pages),
+p as (
+  select page_id, case when whole then translate(regexp_extract(rest, '^([^/?#]*)', 1), '{_CAPITALS}', '{_CAPITALS.lower()}') else '' end as host,
+         case when whole then regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) else '' end as path from u),
+o as (
+  select doc_id as page_id, max(((quality = 0) or (toxic = 1))::int) as bad from labels
+  where doc_id is not null and ((quality = 0) or (toxic = 1)) is not null group by doc_id),
+h as (
+  select host, coalesce(sum(bad), 0)::bigint as bad, count(bad) as n, regexp_replace(host, ':[0-9]*$', '') as bare
+  from p left join o using (page_id) group by host),
+l as (
+  select host, bad, n, bare, regexp_matches(bare, '^([0-9]+(\.[0-9]+){{3}}|\[.*\])$') as address,
+         array_to_string(string_split(bare, '.')[-2:], '.') as two, array_to_string(string_split(bare, '.')[-3:], '.') as three,
+         string_split(bare, '.')[-1] as one from h),
+named as (
+  select host, bad, n, case when address then 'address' when two in {urls.SUFFIXES} then two else one end as suffix,
+         case when address then bare when two in {urls.SUFFIXES} then three else two end as domain from l),
+d as (select domain, suffix, sum(bad) as d_bad, sum(n) as d_n from named group by all),
+s as (
+  select suffix, sum(d_bad) as s_bad, sum(d_n) as s_n,
+         (select case when sum(n) > 0 then (sum(bad) + 0.5) / (sum(n) + 1.0) else 0 end from named)::double as all_mean from d group by suffix),
+sm as (select suffix, (s_bad + k * all_mean) / (s_n + k) as s_mean from s, (select {_strength('s', 's_bad', 's_n', 'all_mean')} as k)),
+ds as (select d.*, s_mean from d join sm using (suffix)),
+dm as (select domain, (d_bad + k * s_mean) / (d_n + k) as d_mean from ds, (select {_strength('ds', 'd_bad', 'd_n', 's_mean')} as k)),
+hd as (select named.*, d_mean from named join dm using (domain)),
+ab as (select host, k * d_mean + bad as a, k * (1 - d_mean) + n - bad as b from hd, (select {_strength('hd', 'bad', 'n', 'd_mean')} as k)),
+low as (select host, a / (a + b) - {urls.Z} * sqrt(a * b / ((a + b) * (a + b) * (a + b + 1))) as low from ab),
+r as (select page_id, host, path, case {" ".join(f"when {_fits(rule)} then '{rule}'" for rule, _ in _RULES)} end as rule from p)
+select page_id, host, path, rule,
+       case {" ".join(f"when rule = '{rule}' then '{says}'" for rule, says in _RULES)} when low > {urls.LIMIT} then 'block' else 'allow' end as verdict
+from r join low using (host)
+"""
+
 OP9 = r"""
 with t as (
   select conv_id, turn, coalesce(role, '') as role, coalesce(text, '') as text from conversations
@@ -134,4 +186,4 @@ from n join s on s.key = n.key left join k on k.key = n.key left join ended on e
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op4_mixing": OP4, "op5_rules": OP5, "op9_chat": OP9, "op11_negatives": OP11, "op12_trie": OP12}
+    return {"op4_mixing": OP4, "op5_rules": OP5, "op8_urls": OP8, "op9_chat": OP9, "op11_negatives": OP11, "op12_trie": OP12}

@@ -1,7 +1,8 @@
 """URL filters: path rules first, empirical-Bayes host reputation for the rest.  DataFrame functions only.
 
-Reputation: labelled page outcomes (bad or not) are counted per host, registered domain (last two labels) and suffix (last
-label).  Each level shrinks to the one above: a suffix to the rate of all outcomes, a domain to its suffix, a host to its
+Reputation: labelled page outcomes (bad or not) are counted per host, registered domain and suffix.  The suffix is the last
+label, or the last two where they are one of SUFFIXES; the registered domain has one label more.  A port does not count; an
+address of numbers is a domain of its own, and all such addresses share one suffix.  Each level shrinks to the one above: a suffix to the rate of all outcomes, a domain to its suffix, a host to its
 domain.  Given the parent's mean m, the prior of a level is Beta(k m, k (1 - m)); its strength k is estimated from the
 spread of that level's observed rates around their parents' means (method of moments).  A host is blocked where the lower
 bound of its posterior bad rate, mean - Z * standard deviation, exceeds LIMIT.  Hosts without outcomes stand at their
@@ -20,6 +21,15 @@ from recordferry.llm.common import join_counted, saved
 
 #: (rule, verdict); a rule is a host and a path prefix.
 RULES = (("net/", "block"), ("example.net/en/", "allow"), ("example.com/de/", "block"), ("org/fr/", "allow"))
+#: Public suffixes of two labels, under which names are registered.
+SUFFIXES = tuple("""
+co.uk org.uk ac.uk gov.uk me.uk ltd.uk plc.uk net.uk sch.uk nhs.uk com.au net.au org.au edu.au gov.au id.au co.nz org.nz net.nz
+ac.nz govt.nz co.jp or.jp ne.jp ac.jp go.jp co.kr or.kr ne.kr go.kr com.cn net.cn org.cn gov.cn edu.cn com.tw org.tw edu.tw
+com.hk org.hk com.sg edu.sg com.my com.ph com.vn com.pk co.id or.id co.th in.th co.in net.in org.in gov.in ac.in com.tr org.tr
+com.br net.br org.br gov.br com.mx org.mx gob.mx com.ar com.co com.pe com.ve com.uy com.ec co.za org.za com.ng co.ke com.eg
+com.sa co.il org.il ac.il com.pl net.pl org.pl com.ua com.ru com.gr com.pt com.es
+""".split())
+ADDRESS = r"^([0-9]+(\.[0-9]+){3}|\[.*\])$"
 LIMIT, Z = 0.5, 1.645
 STRENGTH = (0.5, 1000.0)
 CAPITALS = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
@@ -46,6 +56,14 @@ def rule_for(host: Column, path: Column, rules=RULES) -> Column:
     return found
 
 
+def suffix_and_domain(host: Column) -> tuple[Column, Column]:
+    bare = F.regexp_replace(host, ":[0-9]*$", "")
+    address, two = bare.rlike(ADDRESS), F.substring_index(bare, ".", -2)
+    long = two.isin(*SUFFIXES)
+    suffix = F.when(address, "address").when(long, two).otherwise(F.substring_index(bare, ".", -1))
+    return suffix, F.when(address, bare).when(long, F.substring_index(bare, ".", -3)).otherwise(two)
+
+
 def _mean(bad: str, n: str, k: float, parent: str) -> Column:
     return (F.col(bad) + F.lit(k) * F.col(parent)) / (F.col(n) + F.lit(k))
 
@@ -67,18 +85,19 @@ def reputation(hosts: DataFrame) -> DataFrame:
 
     Sums per domain and suffix are pre-aggregated and joined back to hosts, never to pages.
     """
-    label = F.split("host", r"\.")
-    named = hosts.select("host", "bad", "n", F.element_at(label, -1).alias("suffix"), F.substring_index("host", ".", -2).alias("domain"))
+    suffix, domain = suffix_and_domain(F.col("host"))
+    named = hosts.select("host", "bad", "n", suffix.alias("suffix"), domain.alias("domain"))
     # one domain lies in one suffix, one host in one domain, so each level is summed from the one below
-    domains = saved(named.groupBy("domain", "suffix").agg(F.sum("bad").alias("d_bad"), F.sum("n").alias("d_n")))
-    suffixes = domains.groupBy("suffix").agg(F.sum("d_bad").alias("s_bad"), F.sum("d_n").alias("s_n"))
-    bad, n = domains.agg(F.sum("d_bad"), F.sum("d_n")).first()
+    domains = saved(named.groupBy("domain", "suffix").agg(F.sum("bad").alias("d_bad"), F.sum("n").alias("d_n"), F.count("*").alias("hosts")))
+    suffixes = domains.groupBy("suffix").agg(F.sum("d_bad").alias("s_bad"), F.sum("d_n").alias("s_n"), F.count("*").alias("domains"))
+    bad, n, n_hosts, n_domains = domains.agg(F.sum("d_bad"), F.sum("d_n"), F.sum("hosts"), F.count("*")).first()
     overall = (bad + 0.5) / (n + 1.0) if n else 0.0
     suffixes = suffixes.withColumn("all_mean", F.lit(float(overall)))
     suffixes = suffixes.withColumn("s_mean", _mean("s_bad", "s_n", strength(suffixes, "s_bad", "s_n", "all_mean"), "all_mean"))
-    domains = saved(domains.join(suffixes.select("suffix", "s_mean"), "suffix"))
+    # a suffix may hold most domains, a domain most hosts
+    domains = saved(join_counted(domains, suffixes.select("suffix", "domains", "s_mean"), "suffix", "domains", n_domains or 0))
     domains = domains.withColumn("d_mean", _mean("d_bad", "d_n", strength(domains, "d_bad", "d_n", "s_mean"), "s_mean"))
-    named = saved(named.join(domains.select("domain", "d_mean"), "domain"))
+    named = saved(join_counted(named, domains.select("domain", "hosts", "d_mean"), "domain", "hosts", n_hosts or 0))
     k = F.lit(strength(named, "bad", "n", "d_mean"))
     a, b = k * F.col("d_mean") + F.col("bad"), k * (1 - F.col("d_mean")) + F.col("n") - F.col("bad")
     shaped = named.select("host", a.alias("a"), b.alias("b"))

@@ -39,6 +39,21 @@ def test_long_conversation_extra_columns_and_empty(rows):
     assert read(data.limit(0)) == {}
 
 
+def test_very_long_conversation(spark):
+    """50,000 turns cost their length; the spans are those of a running sum."""
+    n = 50_000
+    turns = spark.range(n).selectExpr("1L as conv_id", "id as turn", "if(id % 2 = 0, 'user', 'assistant') as role", "concat('é', id % 100) as text")
+    row = chat.format_chats(turns).first()
+    at, want = 0, []
+    for i in range(n):
+        role, body = ("user", "assistant")[i % 2], f"é{i % 100}"
+        at += len(f"<|{role}|>") + (7 if i else 0)
+        if i % 2:
+            want.append((at, at + len(body)))
+        at += len(body)
+    assert [tuple(s) for s in row.loss_spans] == want and len(row.formatted) == at + 7
+
+
 def test_url_parts(rows):
     cases = {"http://A.Example.COM/p/q?x#y": ("a.example.com", "/p/q"), "https://host": ("host", ""), "x://h?q/z": ("h", ""), "h/p": ("", ""),
              "://h#f": ("h", ""), "http://h/a#b?c": ("h", "/a"), "a://b://c/d": ("b:", "//c/d"), "": ("", ""), None: ("", ""),
@@ -47,6 +62,15 @@ def test_url_parts(rows):
     assert {r[0]: (r[1], r[2]) for r in got} == cases
 
 
+def test_suffixes_of_two_labels_ports_and_addresses(rows):
+    cases = {"a.b.co.uk": ("co.uk", "b.co.uk"), "x.co.uk": ("co.uk", "x.co.uk"), "co.uk": ("co.uk", "co.uk"), "a.b.example.com:8080": ("com", "example.com"),
+             "10.20.30.40": ("address", "10.20.30.40"), "10.20.30.41:80": ("address", "10.20.30.41"), "[::1]": ("address", "[::1]"), "": ("", ""),
+             "localhost": ("localhost", "localhost"), "uk": ("uk", "uk"), "co.uk.com": ("com", "uk.com")}
+    suffix, domain = urls.suffix_and_domain(F.col("host"))
+    got = rows("host string", *[(h,) for h in cases]).select("host", suffix, domain).collect()
+    assert {r[0]: (r[1], r[2]) for r in got} == cases
+
+
 def test_longest_rule_wins(rows):
     cases = {("a.example.net", "/en/1"): "example.net/en/", ("example.net", "/en"): "net/", ("badexample.net", "/en/"): "net/", ("net", "/"): "net/",
              ("x.org", "/fr/"): "org/fr/", ("x.org", "/en/"): None, ("a.net", ""): None, ("x.example.com", "/de/a"): "example.com/de/", ("", ""): None}
