@@ -37,7 +37,7 @@ from recordferry.llm.common import stored
 from recordferry.llm.minhash import GOLDEN, mixed
 
 STRENGTH = 32.0
-CHUNK = 1 << 22
+CHUNK = 1 << 23
 BLOCKS = "bucket bigint, chunk bigint, heads binary, runs binary, grams binary, counts binary"
 ANSWERS = "kind int, key bigint, at bigint, keys binary, b binary, t binary"
 COUNTS, AFTER, WORDS, SUMS = range(4)
@@ -79,18 +79,19 @@ def bucket_of(grams: np.ndarray, buckets: int) -> np.ndarray:
     return ((grams >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)).astype(np.int64)
 
 
-def chunked(texts: DataFrame, sign: int = 1) -> DataFrame:
-    """(chunk, doc_id, text) of (doc_id, text); chunks of the target have negative numbers."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        first, held = (TaskContext.get().partitionId() << 32) + 1, 0
-        for batch in batches:
-            size = pc.fill_null(pc.binary_length(batch.column(1)), 0).to_numpy(zero_copy_only=False).astype(np.int64)
-            ends = held + np.cumsum(size)
-            chunk = sign * (first + (ends - size) // CHUNK)
-            held = int(ends[-1]) if len(ends) else held
-            yield pa.RecordBatch.from_arrays([pa.array(chunk), *batch.columns], names=["chunk", "doc_id", "text"])
+def in_chunks(batches: Iterator[pa.RecordBatch], sign: int = 1) -> Iterator[pa.RecordBatch]:
+    """(doc_id, text) to (chunk, doc_id, text); chunks of the target have negative numbers."""
+    first, held = (TaskContext.get().partitionId() << 32) + 1, 0
+    for batch in batches:
+        size = pc.fill_null(pc.binary_length(batch.column(1)), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+        ends = held + np.cumsum(size)
+        chunk = sign * (first + (ends - size) // CHUNK)
+        held = int(ends[-1]) if len(ends) else held
+        yield pa.RecordBatch.from_arrays([pa.array(chunk), *batch.columns], names=["chunk", "doc_id", "text"])
+
 
-    return texts.mapInArrow(run, "chunk bigint, doc_id bigint, text string")
+def chunked(texts: DataFrame) -> DataFrame:
+    return texts.mapInArrow(in_chunks, "chunk bigint, doc_id bigint, text string")
 
 
 class Grams:
@@ -145,14 +146,14 @@ def renamed(batches: Iterator[pa.RecordBatch], schema: str) -> Iterator[pa.Recor
         yield batch.rename_columns([c.split()[0] for c in schema.split(", ")])
 
 
-def counted(chunks: DataFrame, buckets: int) -> DataFrame:
-    """BLOCKS of the chunks, each of which is in one task, one after the other."""
+def counted(rows: DataFrame, buckets: int, sign: int = 1) -> DataFrame:
+    """BLOCKS of the chunks of rows (doc_id, text), each of which is in one task, one after the other."""
     kinds = [pa.int64()] * 2 + [pa.binary()] * 4
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         now, texts = None, []
-        for batch in batches:
-            for chunk, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+        for batch in in_chunks(batches, sign):
+            for chunk, text in zip(batch.column(0).to_pylist(), (t.as_py() for t in batch.column(2))):
                 if chunk != now:
                     if texts:
                         yield table_of(list(Grams(texts, buckets).blocks(now)), kinds)
@@ -161,7 +162,8 @@ def counted(chunks: DataFrame, buckets: int) -> DataFrame:
         if texts:
             yield table_of(list(Grams(texts, buckets).blocks(now)), kinds)
 
-    return chunks.select("chunk", "text").mapInArrow(lambda b: renamed(run(b), BLOCKS), BLOCKS)
+    # numbered and counted in one pass, so that a task has one Python worker
+    return rows.mapInArrow(lambda b: renamed(run(b), BLOCKS), BLOCKS)
 
 
 def by_key(batches: Iterator[pa.RecordBatch], key: int = 0) -> Iterator[list[tuple]]:
@@ -268,7 +270,7 @@ def score(docs: DataFrame, target: DataFrame, text: str = "text", doc_id: str =
     size = rows.union(aims).agg(F.sum(F.octet_length("text"))).first()[0] or 0
     buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-size // CHUNK))
     chunks = chunked(rows)
-    answers = stored(merged(counted(chunks, buckets).union(counted(chunked(aims, -1), buckets)), buckets))
+    answers = stored(merged(counted(rows, buckets).union(counted(aims, buckets, -1)), buckets))
     sums = np.zeros(5, np.int64)
     for row in answers.filter(F.col("kind") == SUMS).select("keys").toLocalIterator():
         sums = sums + unpacked(row[0])
