@@ -11,10 +11,11 @@ The loss of a token is -log P(w | v); of a first token, or after an unknown word
 target loss minus its mean background loss: the lower, the closer to the target.
 
 Scale: the models grow with the corpus and are never in one place.  Documents are dealt into chunks of about CHUNK bytes; a
-chunk counts its different grams once and sends them, as packed arrays, to buckets by gram hash.  A bucket adds up all chunks
-and answers each with the counts of its own grams only; what follows a word is summed in a second round in the same way.
-So a chunk or a bucket is all that a task holds, and a gram that is everywhere is one number per chunk.  Documents are read
-twice and must come in the same partitions both times, as files do; a chunk whose grams differ, by their checksum, stops the job.
+chunk counts its different grams once and sends them to buckets by gram hash, sorted and packed: the distances of the hashes,
+not the hashes (11 to 13 bytes for a gram with its head and count).  A bucket adds up all chunks and answers each with the
+counts of its own grams only; what follows a word is summed in a second round in the same way.  So a chunk or a bucket is all
+that a task holds, and a gram that is everywhere is one number per chunk.  Documents are read twice and must come in the same
+partitions both times, as files do; a chunk whose grams differ, by their checksum, stops the job.
 
 Null and empty texts have 0 tokens and null losses.  Repeated rows count as often as they occur.  Empty corpora give uniform
 models over the unknown word.
@@ -38,7 +39,8 @@ from recordferry.llm.minhash import GOLDEN, mixed
 
 STRENGTH = 32.0
 CHUNK = 1 << 23
-BLOCKS = "bucket bigint, chunk bigint, heads binary, runs binary, grams binary, counts binary"
+NOISE = 5
+BLOCKS = "bucket bigint, chunk bigint, heads binary, places binary, grams binary, counts binary"
 ANSWERS = "kind int, key bigint, at bigint, keys binary, b binary, t binary"
 COUNTS, AFTER, WORDS, SUMS = range(4)
 
@@ -63,11 +65,45 @@ def found(sorted_keys: np.ndarray, keys: np.ndarray) -> tuple[np.ndarray, np.nda
 
 
 def packed(x: np.ndarray) -> bytes:
-    return zlib.compress(x.astype(np.int64).tobytes(), 1)
+    """Numbers from 0 on, byte by byte: all lowest bytes, all second ones and so on, up to the highest that is not 0 everywhere."""
+    x = x.astype(np.uint64)
+    used = max(1, -(-int(x.max(initial=0)).bit_length() // 8))
+    out = []
+    for column in np.ascontiguousarray(x.view(np.uint8).reshape(-1, 8).T[:used]):
+        stream = zlib.compressobj(1, zlib.DEFLATED, -zlib.MAX_WBITS, 8, zlib.Z_RLE)
+        out += [stream.compress(column), stream.flush()]
+    return b"".join(out)
 
 
 def unpacked(x: bytes) -> np.ndarray:
-    return np.frombuffer(zlib.decompress(x), np.int64)
+    columns = []
+    while x:
+        stream = zlib.decompressobj(-zlib.MAX_WBITS)
+        columns.append(np.frombuffer(stream.decompress(x), np.uint8))
+        x = stream.unused_data
+    out = np.zeros((len(columns[0]), 8), np.uint8)
+    out[:, :len(columns)] = np.stack(columns, 1)
+    return out.view(np.int64).ravel()
+
+
+def spaced(x: np.ndarray) -> bytes:
+    """Sorted hashes as the first one and the distances; of these the NOISE low bytes are kept as they are, the others packed."""
+    if not len(x):
+        return b""
+    apart = np.diff(x)
+    low = apart.view(np.uint8).reshape(-1, 8)[:, :NOISE]
+    return x[:1].tobytes() + np.int64(len(x)).tobytes() + low.tobytes() + packed(apart >> np.uint64(8 * NOISE))
+
+
+def unspaced(x: bytes) -> np.ndarray:
+    if not x:
+        return np.zeros(0, np.uint64)
+    first, size = np.frombuffer(x, np.uint64, 2)
+    ends = 16 + NOISE * (int(size) - 1)
+    low = np.zeros((int(size) - 1, 8), np.uint8)
+    low[:, :NOISE] = np.frombuffer(x[16:ends], np.uint8).reshape(-1, NOISE)
+    apart = low.view(np.uint64).ravel() + (unpacked(x[ends:]).view(np.uint64) << np.uint64(8 * NOISE))
+    return np.cumsum(np.concatenate([[first], apart]), dtype=np.uint64)
 
 
 def checksum(grams: np.ndarray) -> bytes:
@@ -95,7 +131,7 @@ def chunked(texts: DataFrame) -> DataFrame:
 
 
 class Grams:
-    """The different words and bigrams of a chunk's texts, by (bucket, head, gram); a word is its own head.
+    """The different words and bigrams of a chunk's texts, sorted; a word is its own head.
 
     `word` and `pair` are the places of each token's word and of the bigram that ends in it (-1: none).
     """
@@ -108,15 +144,10 @@ class Grams:
         first[np.concatenate([[0], np.cumsum(self.sizes)])] = True
         inside = np.flatnonzero(~first[:-1])
         pairs = pair_hashes(words)[inside - 1] if len(words) else words
-        gram, at, place, n = np.unique(np.concatenate([words, pairs]).view(np.uint64), return_index=True, return_inverse=True,
-                                       return_counts=True)
-        head = np.concatenate([words, words[inside - 1]]).view(np.uint64)[at]
-        bucket = bucket_of(gram, buckets)
-        order = np.lexsort((head, bucket))
-        self.gram, self.head, self.n, self.bucket = gram[order], head[order], n[order], bucket[order]
-        rank = np.empty(len(order), np.int64)
-        rank[order] = np.arange(len(order))
-        place = rank[place.ravel()]
+        self.gram, at, place, self.n = np.unique(np.concatenate([words, pairs]).view(np.uint64), return_index=True, return_inverse=True,
+                                                 return_counts=True)
+        self.head = np.concatenate([words, words[inside - 1]]).view(np.uint64)[at]
+        self.bucket, place = bucket_of(self.gram, buckets), place.ravel()
         self.word, self.pair = place[:len(words)], np.full(len(words), -1)
         self.pair[inside] = place[len(words):]
 
@@ -129,11 +160,20 @@ class Grams:
         return [(int(self.bucket[lo]), checksum(self.gram[lo:hi])) for lo, hi in zip(starts, [*starts[1:], len(self.bucket)])]
 
     def blocks(self, chunk: int) -> Iterator[tuple]:
-        """Rows of BLOCKS: heads once each, with the length of their run."""
+        """Rows of BLOCKS: the heads of bigrams once each, and the place of each gram's head among them, from 1 on (0: a word)."""
         starts = self.starts()
         for lo, hi in zip(starts, [*starts[1:], len(self.bucket)]):
-            heads, runs = np.unique(self.head[lo:hi], return_counts=True)
-            yield (int(self.bucket[lo]), chunk, heads.tobytes(), packed(runs), self.gram[lo:hi].tobytes(), packed(self.n[lo:hi]))
+            gram, head = self.gram[lo:hi], self.head[lo:hi]
+            pair, places = head != gram, np.zeros(hi - lo, np.int64)
+            heads, at = np.unique(head[pair], return_inverse=True)
+            places[pair] = at.ravel() + 1
+            yield (int(self.bucket[lo]), chunk, spaced(heads), packed(places), spaced(gram), packed(self.n[lo:hi]))
+
+
+def heads_of(grams: np.ndarray, heads: bytes, places: bytes) -> np.ndarray:
+    """The head of each gram of a block."""
+    at = unpacked(places)
+    return np.where(at > 0, np.concatenate([np.zeros(1, np.uint64), unspaced(heads)])[at], grams)
 
 
 def table_of(rows: list[tuple], kinds: list) -> pa.RecordBatch:
@@ -190,8 +230,8 @@ def merged(blocks: DataFrame, buckets: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows in by_key(batches):
             out, bucket = [], rows[0][0]
-            grams = [np.frombuffer(r[4], np.uint64) for r in rows]
-            head = np.concatenate([np.repeat(np.frombuffer(r[2], np.uint64), unpacked(r[3])) for r in rows])
+            grams = [unspaced(r[4]) for r in rows]
+            head = np.concatenate([heads_of(g, r[2], r[3]) for g, r in zip(grams, rows)])
             n = np.concatenate([unpacked(r[5]) for r in rows])
             target = np.repeat([r[1] < 0 for r in rows], [len(g) for g in grams])
             gram, at, place = np.unique(np.concatenate(grams), return_index=True, return_inverse=True)
@@ -207,13 +247,13 @@ def merged(blocks: DataFrame, buckets: int) -> DataFrame:
                 start += len(mine)
                 if r[1] > 0:
                     out.append((COUNTS, r[1], bucket, checksum(mine), packed(b[p]), packed(t[p])))
-                    out.append((WORDS, bucket, r[1], mine[word[p] & model[p]].tobytes(), None, None))
+                    out.append((WORDS, bucket, r[1], spaced(mine[word[p] & model[p]]), None, None))
             heads, p = np.unique(head[model & ~word], return_inverse=True)
             after = [np.bincount(p.ravel(), x[model & ~word], len(heads)).astype(np.int64) for x in (b, t)]
             of = bucket_of(heads, buckets)
             for to in np.unique(of):
                 some = slice(*np.searchsorted(of, [to, to + 1]))
-                out.append((AFTER, int(to), bucket, heads[some].tobytes(), packed(after[0][some]), packed(after[1][some])))
+                out.append((AFTER, int(to), bucket, spaced(heads[some]), packed(after[0][some]), packed(after[1][some])))
             yield table_of(out, ANSWER)
 
     # as many partitions as buckets: Arrow batches have up to 10,000 rows, so a task must not get many buckets
@@ -226,12 +266,12 @@ def followed(answers: DataFrame, buckets: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows in by_key(batches, 1):
             parts = [r for r in rows if r[0] == AFTER]
-            heads, p = np.unique(np.concatenate([np.frombuffer(r[3], np.uint64) for r in parts] or [np.zeros(0, np.uint64)]),
+            heads, p = np.unique(np.concatenate([unspaced(r[3]) for r in parts] or [np.zeros(0, np.uint64)]),
                                  return_inverse=True)
             sums = [np.bincount(p.ravel(), np.concatenate([unpacked(r[c]) for r in parts] or [np.zeros(0)]), len(heads)) for c in (4, 5)]
             out = []
             for _, bucket, chunk, words, _, _ in (r for r in rows if r[0] == WORDS):
-                at, there = found(heads, np.frombuffer(words, np.uint64))
+                at, there = found(heads, unspaced(words))
                 b, t = (np.where(there, s[at], 0) if len(s) else np.zeros(len(at)) for s in sums)
                 out.append((AFTER, chunk, bucket, None, packed(b), packed(t)))
             yield table_of(out, ANSWER)
