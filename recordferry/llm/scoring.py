@@ -143,12 +143,24 @@ class Grams:
         first = np.zeros(len(words) + 1, bool)
         first[np.concatenate([[0], np.cumsum(self.sizes)])] = True
         inside = np.flatnonzero(~first[:-1])
-        pairs = pair_hashes(words)[inside - 1] if len(words) else words
-        self.gram, at, place, self.n = np.unique(np.concatenate([words, pairs]).view(np.uint64), return_index=True, return_inverse=True,
-                                                 return_counts=True)
-        self.head = np.concatenate([words, words[inside - 1]]).view(np.uint64)[at]
-        self.bucket, place = bucket_of(self.gram, buckets), place.ravel()
-        self.word, self.pair = place[:len(words)], np.full(len(words), -1)
+        both = np.concatenate([words, pair_hashes(words)[inside - 1] if len(words) else words]).view(np.uint64)
+        del hashes, first
+        # one stable sort, its parts freed as soon as they are used: a chunk is what a task's memory holds
+        order = np.argsort(both, kind="stable")
+        both = both[order]
+        new = np.concatenate([[True], both[1:] != both[:-1]])[:len(both)]
+        self.gram = both[new]
+        del both
+        self.n = np.diff(np.flatnonzero(new), append=len(new))
+        place = np.empty(len(order), np.int32)
+        place[order] = np.cumsum(new, dtype=np.int32) - 1
+        at = order[new]
+        del order, new
+        pair = at >= len(words)
+        self.head = self.gram.copy()
+        self.head[pair] = words.view(np.uint64)[inside[at[pair] - len(words)] - 1]
+        self.bucket = bucket_of(self.gram, buckets)
+        self.word, self.pair = place[:len(words)], np.full(len(words), -1, np.int32)
         self.pair[inside] = place[len(words):]
 
     def starts(self) -> np.ndarray:
@@ -256,8 +268,8 @@ def merged(blocks: DataFrame, buckets: int) -> DataFrame:
                 out.append((AFTER, int(to), bucket, spaced(heads[some]), packed(after[0][some]), packed(after[1][some])))
             yield table_of(out, ANSWER)
 
-    # as many partitions as buckets: Arrow batches have up to 10,000 rows, so a task must not get many buckets
-    return (blocks.repartition(buckets, "bucket").sortWithinPartitions("bucket", "chunk")
+    # a partition for each bucket: Arrow batches have up to 10,000 rows, so a task must not get many buckets
+    return (blocks.repartitionById(buckets, F.col("bucket").cast("int")).sortWithinPartitions("bucket", "chunk")
             .mapInArrow(lambda b: renamed(run(b), ANSWERS), ANSWERS))
 
 
@@ -277,7 +289,7 @@ def followed(answers: DataFrame, buckets: int) -> DataFrame:
             yield table_of(out, ANSWER)
 
     wanted = answers.filter(F.col("kind").isin(AFTER, WORDS))
-    return (wanted.repartition(buckets, "key").sortWithinPartitions("key", "kind", "at")
+    return (wanted.repartitionById(buckets, F.col("key").cast("int")).sortWithinPartitions("key", "kind", "at")
             .mapInArrow(lambda b: renamed(run(b), ANSWERS), ANSWERS))
 
 
@@ -296,9 +308,8 @@ def losses(grams: Grams, counts: list, after: list, sums: np.ndarray) -> list[np
         p = (np.where(known, counts[side], total - kept)[grams.word] + 1.0) / (total + size + 1.0)
         follows = np.zeros(len(known))
         follows[known] = after[side]
-        loss = p.copy()
-        loss[then] = (counts[side][grams.pair[then]] + STRENGTH * p[then]) / (follows[grams.word[then - 1]] + STRENGTH)
-        out.append(np.bincount(doc, -np.log(loss), len(grams.sizes)) / np.maximum(grams.sizes, 1))
+        p[then] = (counts[side][grams.pair[then]] + STRENGTH * p[then]) / (follows[grams.word[then - 1]] + STRENGTH)
+        out.append(-np.bincount(doc, np.log(p, out=p), len(grams.sizes)) / np.maximum(grams.sizes, 1))
     return out
 
 

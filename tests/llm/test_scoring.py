@@ -4,6 +4,7 @@ import random
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 from test_models import brute_losses
 
 from recordferry.llm import scoring
@@ -51,3 +52,11 @@ def test_losses_over_many_chunks_and_buckets_equal_brute_force(spark, documents,
             assert abs(got[key].target_loss - loss("t", text)) < 1e-9 and abs(got[key].background_loss - loss("b", text)) < 1e-9
         else:
             assert got[key].difference is None and got[key].n_tokens == 0
+
+
+def test_each_bucket_has_a_partition_of_its_own(spark, documents):
+    """Dealt by the hash of the bucket, as before, some partitions got several buckets and others none."""
+    docs = documents(*enumerate(zipf_texts(7, 40, 100, 3000))).select("doc_id", "text")
+    answers = scoring.merged(scoring.counted(docs, 16), 16)
+    rows = answers.filter(F.col("kind") == scoring.SUMS).select("key", F.spark_partition_id().alias("part")).collect()
+    assert sorted((r.key, r.part) for r in rows) == [(i, i) for i in range(16)]
