@@ -23,6 +23,7 @@ models over the unknown word.
 
 from __future__ import annotations
 
+import struct
 import zlib
 from collections.abc import Iterator
 
@@ -39,7 +40,8 @@ from recordferry.llm.minhash import GOLDEN, mixed
 
 STRENGTH = 32.0
 CHUNK = 1 << 23
-NOISE = 5
+NOISE, FEW, CUT = 5, 1000, 255
+SHAPE = "<IBB"
 BLOCKS = "bucket bigint, chunk bigint, heads binary, places binary, grams binary, counts binary"
 ANSWERS = "kind int, key bigint, at bigint, keys binary, b binary, t binary"
 COUNTS, AFTER, WORDS, SUMS = range(4)
@@ -64,46 +66,50 @@ def found(sorted_keys: np.ndarray, keys: np.ndarray) -> tuple[np.ndarray, np.nda
     return at, sorted_keys[at] == keys
 
 
-def packed(x: np.ndarray) -> bytes:
-    """Numbers from 0 on, byte by byte: all lowest bytes, all second ones and so on, up to the highest that is not 0 everywhere."""
-    x = x.astype(np.uint64)
-    used = max(1, -(-int(x.max(initial=0)).bit_length() // 8))
-    out = []
-    for column in np.ascontiguousarray(x.view(np.uint8).reshape(-1, 8).T[:used]):
+def packed(x: np.ndarray, noise: int = 0) -> bytes:
+    """Numbers from 0 on, byte by byte, up to the highest byte that is not 0 everywhere.
+
+    The lowest `noise` bytes are kept as they are, and each of the others is compressed as a column of its own.  Where there is
+    noise, FEW numbers or less are cut to the bits of the largest instead: at scale there are many such arrays, and a compressor
+    costs more time than it saves room.
+    """
+    bits, columns = int(x.max(initial=0)).bit_length(), x.astype(np.uint64, copy=False).view(np.uint8).reshape(-1, 8)
+    if noise and len(x) <= FEW:
+        return struct.pack(SHAPE, len(x), bits, CUT) + np.packbits(np.unpackbits(columns, 1, bits, "little"), bitorder="little").tobytes()
+    used = (bits + 7) // 8
+    kept = min(noise, used)
+    out = [struct.pack(SHAPE, len(x), used, kept), columns[:, :kept].tobytes()]
+    for i in range(kept, used):
         stream = zlib.compressobj(1, zlib.DEFLATED, -zlib.MAX_WBITS, 8, zlib.Z_RLE)
-        out += [stream.compress(column), stream.flush()]
+        out += [stream.compress(columns[:, i].tobytes()), stream.flush()]
     return b"".join(out)
 
 
 def unpacked(x: bytes) -> np.ndarray:
-    columns = []
-    while x:
+    size, used, kept = struct.unpack_from(SHAPE, x)
+    out, rest = np.zeros((size, 8), np.uint8), x[struct.calcsize(SHAPE):]
+    if kept == CUT:
+        bits = np.unpackbits(np.frombuffer(rest, np.uint8), count=size * used, bitorder="little").reshape(size, used)
+        out[:, :(used + 7) // 8] = np.packbits(bits, 1, "little")
+        return out.view(np.int64).ravel()
+    out[:, :kept] = np.frombuffer(rest[:size * kept], np.uint8).reshape(size, kept)
+    rest = rest[size * kept:]
+    for i in range(kept, used):
         stream = zlib.decompressobj(-zlib.MAX_WBITS)
-        columns.append(np.frombuffer(stream.decompress(x), np.uint8))
-        x = stream.unused_data
-    out = np.zeros((len(columns[0]), 8), np.uint8)
-    out[:, :len(columns)] = np.stack(columns, 1)
+        out[:, i] = np.frombuffer(stream.decompress(rest), np.uint8)
+        rest = stream.unused_data
     return out.view(np.int64).ravel()
 
 
 def spaced(x: np.ndarray) -> bytes:
-    """Sorted hashes as the first one and the distances; of these the NOISE low bytes are kept as they are, the others packed."""
-    if not len(x):
-        return b""
-    apart = np.diff(x)
-    low = apart.view(np.uint8).reshape(-1, 8)[:, :NOISE]
-    return x[:1].tobytes() + np.int64(len(x)).tobytes() + low.tobytes() + packed(apart >> np.uint64(8 * NOISE))
+    """Sorted hashes as the first one and the distances, whose NOISE lowest bytes cannot be compressed."""
+    return x[:1].tobytes() + packed(x[1:] - x[:-1], NOISE) if len(x) else b""
 
 
 def unspaced(x: bytes) -> np.ndarray:
     if not x:
         return np.zeros(0, np.uint64)
-    first, size = np.frombuffer(x, np.uint64, 2)
-    ends = 16 + NOISE * (int(size) - 1)
-    low = np.zeros((int(size) - 1, 8), np.uint8)
-    low[:, :NOISE] = np.frombuffer(x[16:ends], np.uint8).reshape(-1, NOISE)
-    apart = low.view(np.uint64).ravel() + (unpacked(x[ends:]).view(np.uint64) << np.uint64(8 * NOISE))
-    return np.cumsum(np.concatenate([[first], apart]), dtype=np.uint64)
+    return np.cumsum(np.concatenate([np.frombuffer(x, np.uint64, 1), unpacked(x[8:]).view(np.uint64)]), dtype=np.uint64)
 
 
 def checksum(grams: np.ndarray) -> bytes:
@@ -179,7 +185,7 @@ class Grams:
             pair, places = head != gram, np.zeros(hi - lo, np.int64)
             heads, at = np.unique(head[pair], return_inverse=True)
             places[pair] = at.ravel() + 1
-            yield (int(self.bucket[lo]), chunk, spaced(heads), packed(places), spaced(gram), packed(self.n[lo:hi]))
+            yield (int(self.bucket[lo]), chunk, spaced(heads), packed(places, 1), spaced(gram), packed(self.n[lo:hi]))
 
 
 def heads_of(grams: np.ndarray, heads: bytes, places: bytes) -> np.ndarray:

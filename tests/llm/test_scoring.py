@@ -30,9 +30,11 @@ def test_blocks_cost_few_bytes_a_gram_and_lose_nothing(buckets, most):
     assert np.array_equal(np.concatenate([scoring.unpacked(b[5]) for b in blocks]), grams.n)
 
 
-@pytest.mark.parametrize("values", [[], [0], [0, 0, 0], [1], [255, 256], [0, 1 << 62, 3], list(range(70_000)), [1] * 9])
+@pytest.mark.parametrize("values", [[], [0], [0, 0, 0], [1], [255, 256], [0, 1 << 62, 3], list(range(70_000)), [1] * 9,
+                                    [0] * 1000, [0] * 1001, [3, 1 << 40] * 500, [3, 1 << 40] * 501])
 def test_packed_numbers_come_back(values):
-    assert scoring.unpacked(scoring.packed(np.array(values, np.int64))).tolist() == values
+    for noise in (0, 1, 5):
+        assert scoring.unpacked(scoring.packed(np.array(values, np.int64), noise)).tolist() == values
 
 
 @pytest.mark.parametrize("values", [[], [0], [(1 << 64) - 1], [0, (1 << 64) - 1], [5, 5, 6], [1 << 63, (1 << 63) + 1, (1 << 64) - 2]])
